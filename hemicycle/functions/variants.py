@@ -107,6 +107,10 @@ def canonical_items(v: Column) -> Column:
     return F.coalesce(elements(v), single.otherwise(F.array(v)))
 
 
-def first_truthy(*texts: Column) -> Column:
-    """First value that is neither null, empty nor a numeric zero, which is what `or` picks."""
-    return F.coalesce(*[F.when((t != "") & (t != "0") & (t != "0.0") & (t != "false"), t) for t in texts])
+def first_truthy(v: Column, *paths: tuple[str | int, ...]) -> Column:
+    """Text of the first sub-value that `or` would pick: not null, '', 0 or false. Nested values are passed over."""
+    found = []
+    for path in paths:
+        value = field(v, *path, as_type="variant")
+        found.append(F.when(~F.to_json(value).isin('""', "0", "false", "null"), scalar_text(value)))
+    return F.coalesce(*found)

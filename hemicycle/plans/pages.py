@@ -56,8 +56,11 @@ def _page(rows: DataFrame, order: Sequence[Column], limit: int | None, tie_break
 
 
 def _sorted(rows: DataFrame, order: Sequence[Column], limit: int | None, tie_break: Sequence[str]) -> DataFrame:
-    """Page order again after a join; unbounded frames are left unsorted."""
-    return rows if limit is None else rows.orderBy(*order, *[up(c) for c in tie_break])
+    """Page order again after a join; unbounded frames are left unsorted.
+
+    Stating the limit a second time lets Spark merge sorted heads instead of range-partitioning.
+    """
+    return rows if limit is None else top(rows, order, limit, tie_break)
 
 
 def _decorate(rows: DataFrame, other: DataFrame, on: Sequence[str], cells: Sequence[Column], limit: int | None):
@@ -433,18 +436,11 @@ def questions(
     )
     columns = ["Id", "Nr", "Tipo", "ReqTipo", "Assunto", "DataEnvio", "Ficheiro"]
     page = _page(rows.select(*columns), ranking, limit, ["Id"])
-    full = _decorate(page, tables["pergunta_autores"], ["Id"], [ordered_text_list("GP").alias("gps")], limit)
-    full = full.join(
-        _decorate(
-            page.select("Id"),
-            tables["pergunta_destinatarios"],
-            ["Id"],
-            [ordered_text_list("nomeEntidade").alias("destinatarios")],
-            limit,
-        ),
-        "Id",
-        "left",
-    )
+    signed, addressed = tables["pergunta_autores"], tables["pergunta_destinatarios"]
+    if limit is not None:
+        signed, addressed = having(signed, page, ["Id"]), having(addressed, page, ["Id"])
+    full = attach(page, signed, ["Id"], [ordered_text_list("GP").alias("gps")])
+    full = attach(full, addressed, ["Id"], [ordered_text_list("nomeEntidade").alias("destinatarios")])
     return _sorted(full, ranking, limit, ["Id"]).select(
         F.col("Id").alias("id_p"),
         F.col("Nr").alias("nr"),
