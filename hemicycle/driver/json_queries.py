@@ -13,7 +13,7 @@ from hemicycle.plans.dynamic import long_rows
 _VALID = "CASE WHEN json_valid({c}) THEN {c}::JSON END"
 
 
-def _items(column: str, table: str = "registos", keys: str = "_legislatura, Id") -> str:
+def _items(column: str, table: str = "registos", keys: str = "_legislatura, IdRegisto") -> str:
     """DuckDB rows of a JSON column: list items, single values, nothing for empty ones."""
     return f"""parsed AS (SELECT {keys}, {_VALID.format(c=column)} AS j FROM {table}),
     items AS (SELECT {keys}, CAST(e.key AS BIGINT) AS _json_idx, e.value AS item FROM parsed, json_each(j) e
@@ -26,28 +26,28 @@ _NESTED = """CASE WHEN json_type(item->'$.{k}') IN ('OBJECT', 'ARRAY') AND CAST(
     THEN CAST(item->'$.{k}' AS VARCHAR) END"""
 _VALUE = """CASE WHEN json_type(item) = 'ARRAY' AND CAST(item AS VARCHAR) <> '[]' THEN CAST(item AS VARCHAR)
     WHEN json_type(item) NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN item->>'$' END"""
-_WIDE = f"""_json_idx, {_NESTED.format(k='autor')} AS autor_json, {_TEXT.format(k='id')} AS id_, {_TEXT.format(k='"k y"')} AS k_y,
+_WIDE = f"""_json_idx, {_NESTED.format(k='autor')} AS autor_json, {_TEXT.format(k='id')} AS id, {_TEXT.format(k='"k y"')} AS k_y,
     CAST(NULL AS VARCHAR) AS nota, {_NESTED.format(k='partes')} AS partes_json, CAST(NULL AS VARCHAR) AS vazio_json,
     {_VALUE} AS _value"""
 
 add_civic(
     "json_explode_list",
-    lambda t: json_explode.explode_column(t["registos"], "Votacao_json", ["_legislatura", "Id"]),
-    f"""WITH {_items('Votacao_json')} SELECT _legislatura, Id, {_WIDE.replace('AS id_', 'AS item_id')} FROM items""",
+    lambda t: json_explode.explode_column(t["registos"], "Votacao_json", ["_legislatura", "IdRegisto"]),
+    f"""WITH {_items('Votacao_json')} SELECT _legislatura, IdRegisto, {_WIDE} FROM items""",
 )
 add_civic(
     "json_explode_object",
-    lambda t: json_explode.explode_column(t["registos"], "EstadoFinal_json", ["_legislatura", "Id"]),
-    """SELECT _legislatura, Id, CAST(0 AS BIGINT) AS _json_idx, EstadoFinal_json->>'$.estado' AS estado FROM registos
+    lambda t: json_explode.explode_column(t["registos"], "EstadoFinal_json", ["_legislatura", "IdRegisto"]),
+    """SELECT _legislatura, IdRegisto, CAST(0 AS BIGINT) AS _json_idx, EstadoFinal_json->>'$.estado' AS estado FROM registos
     WHERE EstadoFinal_json IS NOT NULL""",
 )
 add_civic(
     "json_explode_lenient",
-    lambda t: json_explode.explode_column(t["registos"], "Votacao_json", ["Id"], strict=False).select(
-        "Id", "_json_idx", "_value"
+    lambda t: json_explode.explode_column(t["registos"], "Votacao_json", ["IdRegisto"], strict=False).select(
+        "IdRegisto", "_json_idx", "_value"
     ),
-    f"""WITH {_items('Votacao_json')} SELECT Id, _json_idx, {_VALUE} AS _value FROM items
-    UNION ALL SELECT Id, 0, Votacao_json FROM registos WHERE Votacao_json = 'sem conteúdo'""",
+    f"""WITH {_items('Votacao_json')} SELECT IdRegisto, _json_idx, {_VALUE} AS _value FROM items
+    UNION ALL SELECT IdRegisto, 0, Votacao_json FROM registos WHERE Votacao_json = 'sem conteúdo'""",
 )
 add(
     "json_explode_props",
@@ -56,30 +56,30 @@ add(
 )
 add_civic(
     "json_explode_long",
-    lambda t: long_rows(json_explode.json_items(t["registos"], "Votacao_json", ["Id"]), ["Id", "_json_idx"]),
-    f"""WITH {_items('Votacao_json', keys='Id')} SELECT Id, _json_idx, e.key,
+    lambda t: long_rows(json_explode.json_items(t["registos"], "Votacao_json", ["IdRegisto"]), ["IdRegisto", "_json_idx"]),
+    f"""WITH {_items('Votacao_json', keys='IdRegisto')} SELECT IdRegisto, _json_idx, e.key,
       CASE WHEN json_type(e.value) IN ('OBJECT', 'ARRAY') THEN nullif(nullif(CAST(e.value AS VARCHAR), '[]'), '{{}}')
         WHEN json_type(e.value) <> 'NULL' THEN e.value->>'$' END AS value
     FROM (SELECT * FROM items WHERE json_type(item) = 'OBJECT'), json_each(item) e""",
 )
 add_civic(
     "json_satellite",
-    lambda t: json_explode.satellite(t["registos"].withColumnRenamed("Id", "IniId"), "iniciativas", "Votacao_json").select(
+    lambda t: json_explode.satellite(t["registos"].withColumnRenamed("IdRegisto", "IniId"), "iniciativas", "Votacao_json").select(
         "_legislatura", "IniId", "_json_idx", F.col("id").alias("vote_id"), "_source_table", "_source_col", "_normalizer"
     ),
-    f"""WITH {_items('Votacao_json')} SELECT _legislatura, Id AS IniId, _json_idx, {_TEXT.format(k='id')} AS vote_id,
+    f"""WITH {_items('Votacao_json')} SELECT _legislatura, IdRegisto AS IniId, _json_idx, {_TEXT.format(k='id')} AS vote_id,
       'iniciativas' AS _source_table, 'Votacao_json' AS _source_col, 'json_explode' AS _normalizer FROM items""",
 )
 add_civic(
     "json_second_pass",
     lambda t: json_explode.explode_column(
-        json_explode.explode_column(t["registos"], "Votacao_json", ["Id"]).withColumnRenamed("_json_idx", "voto_idx"),
+        json_explode.explode_column(t["registos"], "Votacao_json", ["IdRegisto"]).withColumnRenamed("_json_idx", "voto_idx"),
         "partes_json",
-        ["Id", "voto_idx"],
+        ["IdRegisto", "voto_idx"],
     ),
-    f"""WITH {_items('Votacao_json', keys='Id')}, partes AS (SELECT Id, _json_idx AS voto_idx, e.key, e.value AS item
+    f"""WITH {_items('Votacao_json', keys='IdRegisto')}, partes AS (SELECT IdRegisto, _json_idx AS voto_idx, e.key, e.value AS item
       FROM (SELECT * FROM items WHERE json_type(item) = 'OBJECT'), json_each(item, '$.partes') e)
-    SELECT Id, voto_idx, CAST(key AS BIGINT) AS _json_idx, CASE WHEN json_type(item) = 'OBJECT' THEN item->>'$.n' END AS n,
+    SELECT IdRegisto, voto_idx, CAST(key AS BIGINT) AS _json_idx, CASE WHEN json_type(item) = 'OBJECT' THEN item->>'$.n' END AS n,
       CASE WHEN json_type(item) <> 'OBJECT' THEN item->>'$' END AS _value FROM partes""",
 )
 add_civic(
@@ -87,12 +87,12 @@ add_civic(
     lambda t: json_explode.dry_run(t["registos"], "registos", "Votacao_json"),
     f"""WITH {_items('Votacao_json')} SELECT 'registos_votacao' AS satellite, count(*) AS rows_total,
       string_agg(DISTINCT _legislatura, ',' ORDER BY _legislatura) AS legislaturas,
-      'Id,IdAutor,_json_idx,_value,autor_json,id,k_y,nota,partes_json,vazio_json' AS schema FROM items""",
+      'IdAutor,IdRegisto,_json_idx,_value,autor_json,id,k_y,nota,partes_json,vazio_json' AS schema FROM items""",
 )
 
 # Inventory ----------------------------------------------------------------------------------
 
-_BLANK = """(NOT json_valid({c}) OR json_type({c}) = 'NULL' OR CAST({c} AS VARCHAR) IN ('""', '[]', '{{}}'))"""
+_BLANK = f"""(coalesce(CAST({_VALID} AS VARCHAR), 'null') IN ('""', '[]', '{{{{}}}}', 'null'))"""
 
 
 def _statistics(column: str) -> str:
@@ -141,10 +141,10 @@ add_civic(
 )
 add_civic(
     "json_inventory_sampled",
-    lambda t: json_inventory.sampled(t["registos"], 25, ["Id"]),
-    """WITH v AS (SELECT _legislatura, Id, 'Votacao_json' AS "column", Votacao_json AS value FROM registos
-      UNION ALL SELECT _legislatura, Id, 'EstadoFinal_json', EstadoFinal_json FROM registos)
-    SELECT _legislatura, "column", value FROM (SELECT *, row_number() OVER (PARTITION BY _legislatura, "column" ORDER BY Id)
+    lambda t: json_inventory.sampled(t["registos"], 25, ["IdRegisto"]),
+    """WITH v AS (SELECT _legislatura, IdRegisto, 'Votacao_json' AS "column", Votacao_json AS value FROM registos
+      UNION ALL SELECT _legislatura, IdRegisto, 'EstadoFinal_json', EstadoFinal_json FROM registos)
+    SELECT _legislatura, "column", value FROM (SELECT *, row_number() OVER (PARTITION BY _legislatura, "column" ORDER BY IdRegisto)
       AS rn FROM v WHERE value IS NOT NULL) WHERE rn <= 25""",
 )
 
@@ -152,18 +152,18 @@ add_civic(
 
 
 def _nodes(t, list_sample=None):
-    docs = t["registos"].select("Id", parse(F.col("Votacao_json")).alias("v"))
-    return json_profile.walk(docs, ["Id"], list_sample=list_sample, max_depth=6)
+    docs = t["registos"].select("IdRegisto", parse(F.col("Votacao_json")).alias("v"))
+    return json_profile.walk(docs, ["IdRegisto"], list_sample=list_sample, max_depth=6)
 
 
-_TREE = r"""WITH d AS (SELECT Id, CASE WHEN json_valid(Votacao_json) THEN Votacao_json::JSON END AS j FROM registos),
-  n AS (SELECT Id, replace(regexp_replace(fullkey, '\[\d+\]', '[]', 'g'), '"', '') AS path,
+_TREE = r"""WITH d AS (SELECT IdRegisto, CASE WHEN json_valid(Votacao_json) THEN Votacao_json::JSON END AS j FROM registos),
+  n AS (SELECT IdRegisto, replace(regexp_replace(fullkey, '\[\d+\]', '[]', 'g'), '"', '') AS path,
       CASE e.type WHEN 'OBJECT' THEN 'dict' WHEN 'ARRAY' THEN 'list' WHEN 'VARCHAR' THEN 'str' WHEN 'UBIGINT' THEN 'int'
         WHEN 'BIGINT' THEN 'int' WHEN 'DOUBLE' THEN 'float' WHEN 'BOOLEAN' THEN 'bool' ELSE 'NoneType' END AS type,
       CASE WHEN e.type = 'ARRAY' THEN json_array_length(e.value) END AS length,
       CASE WHEN e.type NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN left(e.value->>'$', 80) END AS sample
     FROM (SELECT * FROM d WHERE j IS NOT NULL), json_tree(j) e),
-  walked AS (SELECT Id, path, type, length, sample,
+  walked AS (SELECT IdRegisto, path, type, length, sample,
       CAST(length(regexp_replace(path, '[^.\[]', '', 'g')) AS BIGINT) AS depth FROM n)"""
 _TYPE_COUNTS = ", ".join(f"count(*) FILTER (WHERE type = '{t}') AS type_{t}" for t in json_profile.TYPES)
 _LENGTHS = ", ".join(f"count(*) FILTER (WHERE least(length, 10) = {i}) AS list_len_{i}" for i in range(11))
@@ -186,16 +186,16 @@ add_civic(
 )
 add_civic(
     "json_document_profile",
-    lambda t: json_profile.documents(_nodes(t), ["Id"]),
-    f"""{_TREE} SELECT Id, max(type) FILTER (WHERE path = '$') AS root_type,
+    lambda t: json_profile.documents(_nodes(t), ["IdRegisto"]),
+    f"""{_TREE} SELECT IdRegisto, max(type) FILTER (WHERE path = '$') AS root_type,
       CASE WHEN max(type) FILTER (WHERE path = '$') IN ('dict', 'list') THEN count(*) FILTER (WHERE depth = 1) END AS root_len,
       count(DISTINCT path) AS num_paths, max(depth) AS max_depth FROM walked GROUP BY 1""",
 )
 add_civic(
     "json_top_fields",
-    lambda t: json_profile.top_fields(_nodes(t), ["Id"], 4),
-    f"""{_TREE} SELECT Id, field, rank FROM (SELECT Id, field, row_number() OVER (PARTITION BY Id ORDER BY field) AS rank
-      FROM (SELECT DISTINCT Id, substr(path, 3) AS field FROM walked WHERE depth = 1 AND path NOT LIKE '%[]%')) WHERE rank <= 4""",
+    lambda t: json_profile.top_fields(_nodes(t), ["IdRegisto"], 4),
+    f"""{_TREE} SELECT IdRegisto, field, rank FROM (SELECT IdRegisto, field, row_number() OVER (PARTITION BY IdRegisto ORDER BY field) AS rank
+      FROM (SELECT DISTINCT IdRegisto, substr(path, 3) AS field FROM walked WHERE depth = 1 AND path NOT LIKE '%[]%')) WHERE rank <= 4""",
 )
 add(
     "json_props_profile",
@@ -213,7 +213,7 @@ add(
 )
 add_civic(
     "json_type_counters",
-    lambda t: t["registos"].select("Id", entry_count(parse(F.col("Votacao_json"))).alias("n_Votacao")),
-    f"""SELECT Id, CAST(CASE json_type(j) WHEN 'ARRAY' THEN json_array_length(j) WHEN 'OBJECT' THEN 1 ELSE 0 END AS BIGINT)
-      AS n_Votacao FROM (SELECT Id, {_VALID.format(c='Votacao_json')} AS j FROM registos)""",
+    lambda t: t["registos"].select("IdRegisto", entry_count(parse(F.col("Votacao_json"))).alias("n_Votacao")),
+    f"""SELECT IdRegisto, CAST(CASE json_type(j) WHEN 'ARRAY' THEN json_array_length(j) WHEN 'OBJECT' THEN 1 ELSE 0 END AS BIGINT)
+      AS n_Votacao FROM (SELECT IdRegisto, {_VALID.format(c='Votacao_json')} AS j FROM registos)""",
 )

@@ -11,7 +11,7 @@ from hemicycle.plans.json_explode import explode_all
 from hemicycle.plans.normalise import Category, normalise
 from hemicycle.sinks.tables import finalise, replace_partitions
 from hemicycle.sources.raw import read_category, stage
-from hemicycle.sources.store import read_table
+from hemicycle.sources.store import partition_paths, read_table
 
 
 def store_category(
@@ -66,10 +66,7 @@ def explode_store(
 
     def write(name: str, rows: DataFrame) -> None:
         path = f"{store}/tables/{name}"
-        try:
-            before = [r["_legislatura"] for r in read_table(spark, path).select("_legislatura").distinct().collect()]
-        except Exception:  # noqa: BLE001 - the satellite does not exist yet
-            before = []
+        before = list(partition_paths(spark, path))
         replace_partitions(rows, path, before)
 
     return explode_all(read, write, tables, column, passes)

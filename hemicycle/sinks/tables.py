@@ -51,7 +51,8 @@ def finalise(
     path = f"{store}/tables/{table}"
     stamped = stamp(df, normalizer, hashes)
     replace_partitions(stamped, path, legislatures)
-    written = read_table(spark, path).filter(F.col(PARTITION).isin(list(legislatures)))
+    own = f"_source_file string, _source_sha256 string, {PARTITION} string"
+    written = spark.read.schema(own).parquet(path).filter(F.col(PARTITION).isin(list(legislatures)))
     counted = written.groupBy(PARTITION).agg(
         F.count("*").alias("rows"), F.max("_source_file").alias("source_file"), F.max("_source_sha256").alias("source_sha256")
     )
