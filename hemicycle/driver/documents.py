@@ -10,11 +10,14 @@ orders after a null and a plain value that belong to no row but count in the num
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.driver.roles import read_source
 from hemicycle.functions.variants import parse
+from hemicycle.operators.partitioning import widen
 from hemicycle.plans.normalise import Category, Field, Table
 
 KEY = "o_orderkey"
@@ -140,16 +143,21 @@ def _item(category: Category, lists: tuple, level: int) -> str:
             for f in table.columns:
                 if f.compute is None:
                     fields.setdefault(f.path, field_json(f, level))
-        elif table.lists[: len(lists)] == lists and len(table.lists) == len(lists) + 1:
-            deeper.append(table.lists)
+        elif table.lists[: len(lists)] == lists and len(table.lists) > len(lists):
+            deeper.append(table.lists[: len(lists) + 1])
     for below in dict.fromkeys(deeper):
         fields[below[-1]] = list_json(_item(category, below, level + 1), level + 1)
     return tree(list(fields.items()))
 
 
-def document_sql(category: Category, extra: dict[tuple, str] | None = None) -> str:
-    """SQL (Spark) text of a whole document; `extra` adds fields the declared tables compute."""
+def document_sql(category: Category, extra: dict[tuple, str] | None = None, only: str | None = None) -> str:
+    """SQL (Spark) text of a document; `extra` adds fields the declared tables compute.
+
+    With `only` the document holds the fields one table reads and lacks all others.
+    """
     fields = {path: sql for path, sql in (extra or {}).items()}
+    tables = tuple(t for t in category.tables if only is None or t.name == only)
+    category = replace(category, tables=tables)
     for table in category.tables:
         for f in (*table.keys, *(() if table.lists else table.columns)):
             if f.compute is None and f.path not in fields:
@@ -162,7 +170,7 @@ def document_sql(category: Category, extra: dict[tuple, str] | None = None) -> s
 
 def documents(spark: SparkSession, sf_dir: str, sql: str, category: str) -> DataFrame:
     """Documents as the engine reads them: origin columns and the VARIANT `v`."""
-    orders = read_source(spark, sf_dir, "orders")
+    orders = widen(read_source(spark, sf_dir, "orders"))
     term = F.expr(TERM)
     return orders.select(
         term.alias("_legislatura"),

@@ -46,8 +46,8 @@ def _register(category, name: str, sql: str, check: str) -> None:
 
 
 def _register_all(category, extra: dict | None = None, computed: dict[str, str] | None = None) -> None:
-    sql = document_sql(category, extra)
     for table in category.tables:
+        sql = document_sql(category, None if table.lists else extra, only=table.name)
         _register(category, table.name, sql, table_check(table, category.name, computed))
 
 
@@ -57,12 +57,17 @@ def _spans(first: str, column: str) -> str:
       FROM (SELECT unnest(range(CAST({KEY} % 4 AS BIGINT))) AS i)) d)"""
 
 
+def _quoted(sql: str) -> str:
+    return f"""coalesce('"' || {sql} || '"', 'null')"""
+
+
 # Categories whose columns are all copied.
 for _name in ("perguntas_e_requerimentos", "peticoes", "diplomas_aprovados", "informacao_base", "orcamento_do_estado"):
     _register_all(CATEGORIES[_name])
 
 _register_all(
     INITIATIVES,
+    extra={("IniEventos",): list_json(tree([(("DataFase",), _quoted(f"({date_text('DataFase', 1, False)})"))]), 1)},
     computed={
         "legislatura_ingest": TERM,
         "data_entrada": f"CAST(TRY_CAST({_spans('min', 'DataFase')} AS TIMESTAMP) AS VARCHAR)",
@@ -96,10 +101,6 @@ def _moment(name: str) -> str:
     return f"CAST({parsed} + {shift} AS VARCHAR)"
 
 
-def _quoted(sql: str) -> str:
-    return f"""coalesce('"' || {sql} || '"', 'null')"""
-
-
 _AGENDA_DATES = {
     "EventStartDate": date_text("EventStartDate", 0, True),
     "EventEndDate": date_text("EventEndDate", 0, True),
@@ -157,7 +158,7 @@ for _category in DELEGATIONS:
         _extra = {(k,): _quoted(v) for k, v in _day.items()}
         if _table is GROUP_MEMBERS:
             _extra[_table.lists[0]] = list_json(tree([(f.path, field_json(f, 1)) for f in _table.columns]), 1)
-        _sql = document_sql(_category, _extra)
+        _sql = document_sql(_category, _extra, only=_table.name)
         _check = table_check(
             _table, _category.name, {"data_inicio": _stamp(f"coalesce({_filled})"), "data_fim": _stamp(_day["DataFim"])}
         )

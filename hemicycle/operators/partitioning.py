@@ -1,0 +1,16 @@
+"""Parallelism of inputs that come in fewer pieces than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a plain scan over all cores when its files give fewer splits than that.
+
+    Worth its shuffle only ahead of work that is heavy per row, such as parsing JSON. An input
+    with enough splits, as any large one has, is left alone. Meant for scans: asking a joined
+    frame for its partitions would run it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -18,7 +18,6 @@ from hemicycle.functions.variants import (
     members,
     node,
 )
-from hemicycle.operators.reshape import union_all
 from hemicycle.plans.dynamic import discover, layout, same_name, spread
 from hemicycle.plans.normalise import (
     ORIGIN,
@@ -518,11 +517,13 @@ def _organ_members(docs: DataFrame) -> DataFrame:
     organ = F.col("organ")
     own_id = first_truthy(organ, *[("DetalheOrgao", k) for k in ("oId", "Id", "id", "cargoId")])
 
-    def history(key: str, suffix: str) -> DataFrame:
-        kind = F.concat(F.col("tipo_orgao"), F.lit(suffix)).alias("tipo_orgao")
-        return organs(docs).select(*ORIGIN, kind, own_id.alias("orgao_id"), F.explode(elements(organ, key)).alias("item"))
+    def history(key: str, suffix: str) -> Column:
+        kind = F.concat(F.col("tipo_orgao"), F.lit(suffix))
+        return F.transform(elements(organ, key), lambda m: F.struct(kind.alias("kind"), m.alias("item")))
 
-    items = union_all([history("HistoricoComposicao", ""), history("HistoricoComposicaoCPC", ".CPC")])
+    every = F.array_compact(F.array(history("HistoricoComposicao", ""), history("HistoricoComposicaoCPC", ".CPC")))
+    members_of = organs(docs).select(*ORIGIN, own_id.alias("orgao_id"), F.explode(F.flatten(every)).alias("m"))
+    items = members_of.select(*ORIGIN, F.col("m.kind").alias("tipo_orgao"), "orgao_id", F.col("m.item").alias("item"))
     items = items.filter(is_object(F.col("item")))
     kept = (*ORIGIN, "tipo_orgao", "orgao_id")
     columns = layout(discover(items), same_name, taken=["tipo_orgao", "orgao_id"])
