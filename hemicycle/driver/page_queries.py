@@ -25,7 +25,7 @@ def _option_list(select: str) -> str:
 # Summary
 add_civic(
     "summary_counts",
-    lambda t: pages.summary_counts({**t, "deputados": t["deputados"]}, TERM),
+    lambda t: pages.summary_counts(t, TERM),
     """SELECT 'iniciativas' AS tabela, count(*) AS n FROM iniciativas WHERE _legislatura = '1997'
     UNION ALL SELECT 'intervencoes', count(*) FROM intervencoes WHERE _legislatura = '1997'
     UNION ALL SELECT 'deputados', count(*) FROM deputados WHERE _legislatura = '1997'

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hemicycle.operators.ordering import top
+
 Key = str | tuple[str, str]
 
 
@@ -19,38 +21,42 @@ def _pairs(on: Sequence[Key]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in on]
 
 
-def _keys_of(other: DataFrame, on: Sequence[Key], where: Column | None) -> tuple[DataFrame, list[str]]:
-    rows = other if where is None else other.filter(where)
-    pairs = _pairs(on)
-    named = [F.col(theirs).alias(f"__k{i}") for i, (_, theirs) in enumerate(pairs)]
-    return rows.select(*named).distinct(), [ours for ours, _ in pairs]
+def _ids(other: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return other.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(columns)]).distinct()
 
 
-def _match(df: DataFrame, keys: DataFrame, ours: list[str]) -> list[Column]:
-    return [df[name] == keys[f"__k{i}"] for i, name in enumerate(ours)]
+def _matching(df: DataFrame, ids: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
+    same = [F.col(c) == F.col(f"__k{i}") for i, c in enumerate(columns)]
+    return df.join(ids, same, how)
 
 
 def having(df: DataFrame, other: DataFrame, on: Sequence[Key], where: Column | None = None) -> DataFrame:
     """Rows of `df` for which `other` has a row with the same key that satisfies `where`."""
-    keys, ours = _keys_of(other, on, where)
-    return df.join(keys, _match(df, keys, ours), "left_semi")
+    ours, theirs = zip(*_pairs(on))
+    return _matching(df, _ids(other if where is None else other.filter(where), theirs), ours, "left_semi")
 
 
 def lacking(df: DataFrame, other: DataFrame, on: Sequence[Key], where: Column | None = None) -> DataFrame:
     """Rows of `df` for which `other` has no such row."""
-    keys, ours = _keys_of(other, on, where)
-    return df.join(keys, _match(df, keys, ours), "left_anti")
+    ours, theirs = zip(*_pairs(on))
+    return _matching(df, _ids(other if where is None else other.filter(where), theirs), ours, "left_anti")
 
 
-def attach(df: DataFrame, other: DataFrame, on: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    """Left join to per-key aggregates; the aggregation happens before the join."""
-    return df.join(other.groupBy(*on).agg(*aggregates), list(on), "left")
+def page_ids(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int) -> DataFrame:
+    """Keys of the first `limit` rows, for `among`.
 
+    Filters and semi joins run here, on the key and order columns alone. The limit gives the
+    result a proven bound, so every use of it is a broadcast, and since all uses share one plan
+    Spark evaluates it once and reuses the broadcast.
+    """
+    return _ids(top(rows, order, limit, keys), keys)
 
-def attach_to_page(page: DataFrame, other: DataFrame, on: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
-    """`attach` for a frame bounded by a limit.
 
-    The other side is first cut down to the keys on the page. A limit gives the key list a proven
-    bound, so Spark broadcasts it and the large side is never shuffled whole.
-    """
-    return attach(page, having(other, page, on), on, aggregates)
+def among(df: DataFrame, ids: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is on the page."""
+    return _matching(df, ids, keys, "left_semi")
+
+
+def attach(df: DataFrame, other: DataFrame, on: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """Left join to per-key aggregates; the aggregation happens before the join."""
+    return df.join(other.groupBy(*on).agg(*aggregates), list(on), "left")

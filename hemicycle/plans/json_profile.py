@@ -7,10 +7,9 @@ and no level is computed twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.functions.variants import elements, members
 from hemicycle.operators.ordering import first_per_group
 
 # Type names as the profile reports them.
@@ -18,66 +17,49 @@ TYPES = ("dict", "list", "str", "int", "float", "bool", "NoneType")
 LONGEST_BUCKET = 10
 
 
-def _scalar_type(v: Column) -> Column:
-    kind = F.schema_of_variant(v)
-    return (
-        F.when(kind == "STRING", "str")
-        .when(kind == "BIGINT", "int")
-        .when(kind == "BOOLEAN", "bool")
-        .when(kind == "VOID", "NoneType")
-        .otherwise("float")
-    )
-
-
-def _node(path: Column, depth: Column, v: Column) -> Column:
-    """A value on its way through the passes: unopened while `open` is set."""
-    is_dict, is_list = members(v).isNotNull(), elements(v).isNotNull()
-    kind = F.when(is_dict, "dict").when(is_list, "list").otherwise(_scalar_type(v))
-    sample = F.when(~is_dict & ~is_list & ~F.is_variant_null(v), F.left(v.try_cast("string"), F.lit(80)))
-    return F.struct(
-        path.alias("path"),
-        depth.alias("depth"),
-        kind.alias("type"),
-        F.size(elements(v)).alias("length"),
-        sample.alias("sample"),
-        F.when(is_dict | is_list, v).alias("open"),
-    )
-
+# What a row keeps of a value `v` whose JSON text starts with `mark`.
+_DESCRIBED = {
+    "type": """CASE WHEN mark = '{' THEN 'dict' WHEN mark = '[' THEN 'list' WHEN mark = '"' THEN 'str'
+      WHEN mark IN ('t', 'f') THEN 'bool' WHEN mark = 'n' THEN 'NoneType'
+      WHEN schema_of_variant(v) = 'BIGINT' THEN 'int' ELSE 'float' END""",
+    "length": "CASE WHEN mark = '[' THEN size(try_variant_get(v, '$', 'array<variant>')) END",
+    "sample": "CASE WHEN mark NOT IN ('{', '[') THEN left(try_cast(v AS string), 80) END",
+    "open": "CASE WHEN mark IN ('{', '[') THEN v END",
+}
 
-def _closed(n: Column) -> Column:
-    return n.withField("open", F.lit(None).cast("variant"))
 
-
-def _children(n: Column, list_sample: int | None) -> Column:
-    deeper = n["depth"] + 1
-    items = elements(n["open"])
-    if list_sample is not None:
-        items = F.slice(items, 1, list_sample)
-    of_list = F.transform(items, lambda c: _node(F.concat(n["path"], F.lit("[]")), deeper, c))
-    of_dict = F.transform(
-        F.map_entries(members(n["open"])),
-        lambda e: _node(F.concat(n["path"], F.lit("."), e["key"]), deeper, e["value"]),
-    )
-    return F.coalesce(of_dict, of_list)
-
-
-def walk(docs: DataFrame, keys: list[str], column: str = "v", list_sample: int | None = None, max_depth: int = 12) -> DataFrame:
+def walk(docs: DataFrame, keys: list[str], column: str = "v", list_sample: int | None = None, max_depth: int = 8) -> DataFrame:
     """One row per value of each document: the keys, path, depth, type, list length and sample.
 
     `list_sample` looks at only the first items of every list; by default all are visited. A
     document nested deeper than `max_depth` stops the query with an error; nothing is left out.
     """
-    n = F.col("n")
-    nodes = docs.filter(F.col(column).isNotNull()).select(*keys, _node(F.lit("$"), F.lit(0), F.col(column)).alias("n"))
-    for _ in range(max_depth):
-        grown = F.when(n["open"].isNull(), F.array(n)).otherwise(
-            F.concat(F.array(_closed(n)), _children(n, list_sample))
+    carried = ", ".join(f"`{k}`" for k in keys)
+    described = ", ".join(f"{sql} AS {name}" for name, sql in _DESCRIBED.items())
+    grown = ", ".join(
+        f"if(grow, {sql}, {name if name != 'open' else 'NULL'}) AS {name}" for name, sql in _DESCRIBED.items()
+    )
+    sampled = "" if list_sample is None else f" AND (NOT grow OR key IS NOT NULL OR pos < {list_sample})"
+    levels = [
+        f"""l0 AS (SELECT {carried}, '$' AS path, 0 AS depth, {described} FROM (
+          SELECT {carried}, `{column}` AS v, left(to_json(`{column}`), 1) AS mark FROM {{docs}} WHERE `{column}` IS NOT NULL))"""
+    ]
+    for level in range(max_depth):
+        # Each unopened value stays as it is and is followed by its children.
+        levels.append(
+            f"""l{level + 1} AS (SELECT {carried}, if(grow, path || coalesce('.' || key, '[]'), path) AS path,
+              if(grow, depth + 1, depth) AS depth, {grown}
+            FROM (SELECT {carried}, path, depth, type, length, sample, grow, key, c.value AS v,
+                if(grow, left(to_json(c.value), 1), NULL) AS mark
+              FROM (SELECT *, explode(if(open IS NULL, array(false), array(false, true))) AS grow FROM l{level}) p,
+                LATERAL variant_explode_outer(if(p.grow, p.open, NULL)) AS c
+              WHERE (NOT grow OR c.value IS NOT NULL){sampled}))"""
         )
-        nodes = nodes.select(*keys, F.explode(grown).alias("n"))
-    holds_more = F.coalesce(F.size(members(n["open"])), F.size(elements(n["open"])), F.lit(0)) > 0
-    too_deep = F.raise_error(F.lit(f"a document is nested deeper than {max_depth} levels"))
-    path = F.when(holds_more, too_deep).otherwise(n["path"])
-    return nodes.select(*keys, path.alias("path"), *[n[f].alias(f) for f in ("depth", "type", "length", "sample")])
+    rest = "coalesce(size(try_variant_get(open, '$', 'map<string,variant>')), size(try_variant_get(open, '$', 'array<variant>')), 0)"
+    too_deep = f"raise_error('a document is nested deeper than {max_depth} levels')"
+    query = f"""WITH {", ".join(levels)} SELECT {carried}, if({rest} > 0, {too_deep}, path) AS path,
+      depth, type, length, sample FROM l{max_depth}"""
+    return docs.sparkSession.sql(query.replace("'{'", "'{{'"), docs=docs)
 
 
 def paths(nodes: DataFrame, *by: str) -> DataFrame:

@@ -11,6 +11,7 @@ rows on the page instead of whole tables.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -43,7 +44,7 @@ from hemicycle.operators.filters import (
     search,
     within_or_null,
 )
-from hemicycle.operators.joins import attach, attach_to_page, having
+from hemicycle.operators.joins import among, attach, having, page_ids
 from hemicycle.operators.ordering import down, latest, number_down, top, up
 
 Tables = Mapping[str, DataFrame]
@@ -51,20 +52,36 @@ Dates = tuple[date, date] | None
 Values = Sequence[str]
 
 
-def _page(rows: DataFrame, order: Sequence[Column], limit: int | None, tie_break: Sequence[str]) -> DataFrame:
-    return rows if limit is None else top(rows, order, limit, tie_break)
+@dataclass(frozen=True)
+class _Page:
+    """The rows a page shows: the ids of the first `limit` matches, or all matches without a limit.
 
+    `rows` and `satellite` cut a table down to those ids, so decorating joins see the page only.
+    """
 
-def _sorted(rows: DataFrame, order: Sequence[Column], limit: int | None, tie_break: Sequence[str]) -> DataFrame:
-    """Page order again after a join; unbounded frames are left unsorted.
+    keys: list[str]
+    order: list[Column]
+    limit: int | None
+    ids: DataFrame | None
 
-    Stating the limit a second time lets Spark merge sorted heads instead of range-partitioning.
-    """
-    return rows if limit is None else top(rows, order, limit, tie_break)
+    @staticmethod
+    def of(matches: DataFrame, keys: list[str], order: list[Column], limit: int | None) -> _Page:
+        return _Page(keys, order, limit, None if limit is None else page_ids(matches, keys, order, limit))
+
+    def rows(self, base: DataFrame, matches: DataFrame) -> DataFrame:
+        """Page rows, from the table before its semi joins where the ids already stand for those."""
+        return matches if self.ids is None else among(base, self.ids, self.keys)
 
+    def satellite(self, table: DataFrame) -> DataFrame:
+        return table if self.ids is None else among(table, self.ids, self.keys)
 
-def _decorate(rows: DataFrame, other: DataFrame, on: Sequence[str], cells: Sequence[Column], limit: int | None):
-    return attach(rows, other, on, cells) if limit is None else attach_to_page(rows, other, on, cells)
+    def sorted(self, rows: DataFrame) -> DataFrame:
+        """Page order after the joins; stating the limit again merges sorted heads instead of a full sort."""
+        return rows if self.limit is None else top(rows, self.order, self.limit, self.keys)
+
+
+def _first(rows: DataFrame, order: Sequence[Column], limit: int | None, tie_break: Sequence[str]) -> DataFrame:
+    return rows if limit is None else top(rows, order, limit, tie_break)
 
 
 def _ranked(orders: dict[str, list[Column]], name: str) -> list[Column]:
@@ -146,7 +163,7 @@ def initiatives(
     """
     key = ["IniId", LEGISLATURE] if same_legislature else ["IniId"]
     rows = tables["iniciativas"]
-    rows = keep(
+    base = matches = keep(
         rows,
         in_legislature(legislature),
         within_or_null(rows, "data_entrada", dates),
@@ -159,7 +176,7 @@ def initiatives(
         ("iniciativa_eventos_votacao", "resultado", results),
     ):
         if values:
-            rows = having(rows, tables[table], key, one_of(column, values))
+            matches = having(matches, tables[table], key, one_of(column, values))
     ranking = _ranked(
         {
             "date_desc": [down("data_entrada")],
@@ -169,22 +186,15 @@ def initiatives(
         },
         order,
     )
-    page = _page(
-        rows.select("IniId", "IniNr", "IniDescTipo", "IniTitulo", "data_entrada", "IniLinkTexto"),
-        ranking,
-        limit,
-        ["IniId"],
-    )
-    votes = keep(tables["iniciativa_eventos_votacao"], in_legislature(legislature))
-    if limit is not None:
-        votes = having(votes, page, ["IniId"])
+    page = _Page.of(matches, ["IniId"], ranking, limit)
+    votes = page.satellite(keep(tables["iniciativa_eventos_votacao"], in_legislature(legislature)))
     last = latest(
         votes.select("IniId", "resultado", "unanime", "data", "_json_idx", *vote_tie_break),
         ["IniId"],
         [as_date(F.col("data")).desc_nulls_last(), down("_json_idx"), *[down(c) for c in vote_tie_break]],
     )
-    joined = page.join(last.select("IniId", "resultado", "unanime"), "IniId", "left")
-    return _sorted(joined, ranking, limit, ["IniId"]).select(
+    joined = page.rows(base, matches).join(last.select("IniId", "resultado", "unanime"), "IniId", "left")
+    return page.sorted(joined).select(
         F.col("IniNr").alias("nr"),
         F.col("IniDescTipo").alias("tipo"),
         F.col("IniTitulo").alias("titulo"),
@@ -252,10 +262,10 @@ def votes(
     ranking = [down("data_vot")]
     if kinds or text:
         matching = keep(details, one_of("IniDescTipo", kinds), search(["IniTitulo"], text))
-        page = _page(rows.join(matching, on), ranking, limit, tie_break)
+        page = _first(rows.join(matching, on), ranking, limit, tie_break)
     else:
-        page = _page(rows, ranking, limit, tie_break).join(details, on, "left")
-    return _sorted(page, ranking, limit, tie_break).select(
+        page = _first(rows, ranking, limit, tie_break).join(details, on, "left")
+    return _first(page, ranking, limit, tie_break).select(
         F.col("IniId").alias("ini_id"),
         F.col("IniNr").alias("nr"),
         F.col("IniDescTipo").alias("tipo"),
@@ -329,7 +339,7 @@ def interventions(
         },
         order,
     )
-    return _page(rows, ranking, limit, ["Id"]).select(
+    return _first(rows, ranking, limit, ["Id"]).select(
         F.col("DataReuniaoPlenaria").alias("data_reu"),
         F.col("dep_GP").alias("gp"),
         F.col("dep_nome").alias("deputado"),
@@ -417,15 +427,17 @@ def questions(
 ) -> DataFrame:
     """Questions and requests with the parties that signed and the bodies addressed."""
     rows = tables["perguntas_e_requerimentos"]
-    rows = keep(
+    base = keep(
         rows,
         in_legislature(legislature),
         within_or_null(rows, "DataEnvio", dates),
         search(["Assunto"], text),
+        one_of("Tipo", kinds),
+        one_of("ReqTipo", request_kinds),
     )
-    rows = _question_filter(tables, rows, parties, kinds, request_kinds, recipients)
+    matches = _question_filter(tables, base, parties, (), (), recipients)
     if authors:
-        rows = having(rows, tables["pergunta_autores"], ["Id"], one_of("nome", authors))
+        matches = having(matches, tables["pergunta_autores"], ["Id"], one_of("nome", authors))
     ranking = _ranked(
         {
             "date_desc": [down("DataEnvio")],
@@ -434,14 +446,14 @@ def questions(
         },
         order,
     )
-    columns = ["Id", "Nr", "Tipo", "ReqTipo", "Assunto", "DataEnvio", "Ficheiro"]
-    page = _page(rows.select(*columns), ranking, limit, ["Id"])
-    signed, addressed = tables["pergunta_autores"], tables["pergunta_destinatarios"]
-    if limit is not None:
-        signed, addressed = having(signed, page, ["Id"]), having(addressed, page, ["Id"])
-    full = attach(page, signed, ["Id"], [ordered_text_list("GP").alias("gps")])
-    full = attach(full, addressed, ["Id"], [ordered_text_list("nomeEntidade").alias("destinatarios")])
-    return _sorted(full, ranking, limit, ["Id"]).select(
+    page = _Page.of(matches, ["Id"], ranking, limit)
+    full = page.rows(base, matches)
+    for table, cell in (
+        ("pergunta_autores", ordered_text_list("GP").alias("gps")),
+        ("pergunta_destinatarios", ordered_text_list("nomeEntidade").alias("destinatarios")),
+    ):
+        full = attach(full, page.satellite(tables[table]), ["Id"], [cell])
+    return page.sorted(full).select(
         F.col("Id").alias("id_p"),
         F.col("Nr").alias("nr"),
         F.col("Tipo").alias("tipo"),
@@ -486,7 +498,7 @@ def petitions(
 ) -> DataFrame:
     """Petitions with their signatures as a number and the committees that handled them."""
     rows = tables["peticoes"]
-    rows = keep(
+    base = matches = keep(
         rows,
         in_legislature(legislature),
         within_or_null(rows, "PetDataEntrada", dates),
@@ -495,7 +507,7 @@ def petitions(
         search(["PetAssunto", "PetAutor"], text),
     )
     if committees:
-        rows = having(rows, tables["peticao_dados_comissao"], ["PetId"], one_of("Nome", committees))
+        matches = having(matches, tables["peticao_dados_comissao"], ["PetId"], one_of("Nome", committees))
     ranking = _ranked(
         {
             "date_desc": [down("PetDataEntrada")],
@@ -504,11 +516,10 @@ def petitions(
         },
         order,
     )
-    columns = ["PetId", "PetNr", "PetDataEntrada", "PetAutor", "PetAssunto", "PetSituacao", "PetNrAssinaturas", "PetUrlTexto"]
-    page = _page(rows.select(*columns), ranking, limit, ["PetId"])
-    names = [ordered_text_list("Nome").alias("comissoes")]
-    full = _decorate(page, tables["peticao_dados_comissao"], ["PetId"], names, limit)
-    return _sorted(full, ranking, limit, ["PetId"]).select(
+    page = _Page.of(matches, ["PetId"], ranking, limit)
+    committees_of = page.satellite(tables["peticao_dados_comissao"])
+    full = attach(page.rows(base, matches), committees_of, ["PetId"], [ordered_text_list("Nome").alias("comissoes")])
+    return page.sorted(full).select(
         F.col("PetNr").alias("nr"),
         F.col("PetDataEntrada").alias("data_ent"),
         F.col("PetAutor").alias("autor"),
@@ -555,14 +566,14 @@ def approved_acts(
     limit: int | None = 200,
 ) -> DataFrame:
     """Approved acts with their first publication and the initiatives they came from."""
-    rows = keep(
+    base = matches = keep(
         tables["diplomas_aprovados"],
         in_legislature(legislature),
         one_of("Tipo", kinds),
         one_of("AnoCivil", years),
         one_of("Sessao", sessions),
         search(["Titulo"], text),
-    ).select("Id", "Tipo", "Numero", "AnoCivil", "Titulo", "LinkTexto")
+    )
     published = tables["diploma_publicacao"]
     ranking = _ranked(
         {
@@ -572,15 +583,14 @@ def approved_acts(
         },
         order,
     )
-    if order == "published_desc" or limit is None:
-        # The order needs the publication date of every match.
-        rows = attach(rows, published, ["Id"], first_publication())
-        page = _page(rows, ranking, limit, ["Id"])
-    else:
-        page = attach_to_page(_page(rows, ranking, limit, ["Id"]), published, ["Id"], first_publication())
+    if order == "published_desc":
+        # This order needs the publication date of every match, and only that.
+        matches = attach(base, published, ["Id"], first_publication()[:1])
+    page = _Page.of(matches, ["Id"], ranking, limit)
+    full = attach(page.rows(base, base), page.satellite(published), ["Id"], first_publication())
     origin = [ordered_text_list("IniTipo || ' ' || IniNr").alias("iniciativas_origem")]
-    full = _decorate(page, tables["diploma_iniciativas"], ["Id"], origin, limit)
-    return _sorted(full, ranking, limit, ["Id"]).select(
+    full = attach(full, page.satellite(tables["diploma_iniciativas"]), ["Id"], origin)
+    return page.sorted(full).select(
         F.col("Tipo").alias("tipo"),
         F.col("Numero").alias("numero"),
         F.col("AnoCivil").alias("ano"),
@@ -632,7 +642,7 @@ def agenda(
         search(["Title", "Subtitle"], text),
     )
     ranking = _ranked({"date_desc": [down("data_inicio")], "date_asc": [up("data_inicio")]}, order)
-    return _page(rows, ranking, limit, ["Id"]).select(
+    return _first(rows, ranking, limit, ["Id"]).select(
         F.col("data_inicio").alias("inicio"),
         F.col("data_fim").alias("fim"),
         F.col("Section").alias("seccao"),
