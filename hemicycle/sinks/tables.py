@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import utc_now_text
 from hemicycle.sinks.lineage import stamp
 from hemicycle.sinks.manifest import append
-from hemicycle.sources.store import PARTITION, read_table
+from hemicycle.sources.store import PARTITION, exists, read_table, some_file
 
 
 def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = ()) -> set[str]:
@@ -19,23 +19,28 @@ def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = (
 
     Rows are rebalanced on the partition column: small partitions become one file each and a
     partition holding much of the data is split over many tasks. A legislature named in
-    `legislatures` that has no rows is left as an empty partition instead of its old content.
-    Returns the legislatures that have rows.
+    `legislatures` that has no rows is left as an empty partition instead of its old content;
+    these are returned. A rewritten partition has none of its old files, which is how the others
+    are told apart without computing the rows a second time.
     """
-    seen = Observation()
-    rows = df.observe(seen, F.collect_set(PARTITION).alias("values"))
+    spark = df.sparkSession
+    directories = {value: f"{path}/{PARTITION}={value}" for value in legislatures}
+    before = {value: some_file(spark, where) for value, where in directories.items()}
     (
-        rows.hint("rebalance", PARTITION)
+        df.hint("rebalance", PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
         .parquet(path)
     )
-    filled = set(seen.get["values"])
-    for value in sorted(set(legislatures) - filled):
-        empty = df.sparkSession.createDataFrame([], df.drop(PARTITION).schema)
-        empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{PARTITION}={value}")
-    return filled
+    emptied = set()
+    for value, where in directories.items():
+        old = before[value]
+        if exists(spark, old) if old else some_file(spark, where) is None:
+            empty = spark.createDataFrame([], df.drop(PARTITION).schema)
+            empty.coalesce(1).write.mode("overwrite").parquet(where)
+            emptied.add(value)
+    return emptied
 
 
 def finalise(

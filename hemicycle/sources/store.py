@@ -32,16 +32,37 @@ def wider(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def _file_system(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def partition_paths(spark: SparkSession, path: str) -> dict[str, str]:
     """Partition value -> directory, from one listing of the table directory."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, f"{PARTITION}=*")) or []
-    names = sorted(status.getPath().getName() for status in found)
+    root, fs = _file_system(spark, path)
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"{PARTITION}=*")
+    names = sorted(status.getPath().getName() for status in fs.globStatus(pattern) or [])
     return {name.split("=", 1)[1]: f"{path}/{name}" for name in names}
 
 
+def some_file(spark: SparkSession, directory: str) -> str | None:
+    """One data file of a directory, or None."""
+    root, fs = _file_system(spark, directory)
+    if not fs.exists(root):
+        return None
+    files = fs.listFiles(root, False)
+    while files.hasNext():
+        found = files.next().getPath()
+        if found.getName().endswith(".parquet"):
+            return found.toString()
+    return None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    root, fs = _file_system(spark, path)
+    return fs.exists(root)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A partitioned table with its columns matched by name over all partitions.
 
