@@ -8,9 +8,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hemicycle.functions.dates import as_date
-from hemicycle.functions.numbers import id_text
 from hemicycle.functions.text import person_label
 from hemicycle.operators.aggregates import distinct_counts, monthly
 from hemicycle.operators.filters import conjunction, in_legislature, keep, one_of, options, search, visible
@@ -252,7 +252,10 @@ def deputy_labels(tables: Tables, legislature: str) -> DataFrame:
 
 
 def _of_deputy(rows: DataFrame, column: str, deputy) -> DataFrame:
-    return rows.filter(id_text(F.col(column)) == F.lit(str(int(deputy))))
+    """Rows of one deputy. The id is spelled as the column stores it, text or number, so the scan can use it."""
+    kind = rows.schema[column].dataType
+    spelled = str(int(deputy)) if isinstance(kind, T.StringType) else float(deputy)
+    return rows.filter(F.col(column) == F.lit(spelled).cast(kind))
 
 
 def deputy_biography(tables: Tables, legislature: str, deputy) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import utc_now_text
-from hemicycle.functions.variants import elements, is_object
+from hemicycle.functions.variants import is_object
 from hemicycle.operators.filters import keep, one_of
 from hemicycle.plans.normalise import Category
 
@@ -31,29 +31,44 @@ def read_files(spark: SparkSession, root: str, category: str = "*", lines: bool
     return reader.json(root).select(*origin(F.col("_metadata.file_path")), "v")
 
 
-def entities(files: DataFrame, root: str) -> DataFrame:
-    """Documents of a category: the elements of a list root, or the file itself.
+def read_texts(spark: SparkSession, root: str, category: str = "*") -> DataFrame:
+    """Whole files as text."""
+    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    reader = reader.option("pathGlobFilter", f"{category}.json")
+    return reader.text(root).select(*origin(F.col("_metadata.file_path")), "value")
 
-    A file whose root is not the list or object it should be stops the query. List elements that
-    are not objects are passed over.
+
+def list_items(files: DataFrame) -> DataFrame:
+    """Elements of files whose root is a list, each a VARIANT of its own.
+
+    The size limit of a VARIANT thus holds per element and not per file. A file with another root,
+    or that is not JSON, stops the query. Elements that are not objects are passed over.
     """
-    v = F.col("v")
-    if root == "object":
-        wrong = F.raise_error(F.concat(F.lit("expected an object in "), F.col("_source_file"))).cast("variant")
-        return files.withColumn("v", F.when(is_object(v), v).otherwise(wrong))
     wrong = F.raise_error(F.concat(F.lit("expected a list in "), F.col("_source_file"))).cast("array<variant>")
-    items = files.select("_legislatura", "_source_file", F.explode(F.coalesce(elements(v), wrong)).alias("v"))
-    return items.filter(is_object(v))
+    looks_like_list = F.startswith(F.ltrim(F.col("value")), F.lit("["))
+    parsed = F.when(looks_like_list, F.from_json("value", "array<variant>"))
+    items = files.select("_legislatura", "_source_file", F.explode(F.coalesce(parsed, wrong)).alias("v"))
+    return items.filter(is_object(F.col("v")))
+
+
+def object_files(files: DataFrame) -> DataFrame:
+    """Files whose root is an object; one with another root stops the query."""
+    v = F.col("v")
+    wrong = F.raise_error(F.concat(F.lit("expected an object in "), F.col("_source_file"))).cast("variant")
+    return files.select("_legislatura", "_source_file", F.when(is_object(v), v).otherwise(wrong).alias("v"))
 
 
 def read_category(
     spark: SparkSession, root: str, category: Category, legislatures: Sequence[str] = (), lines: bool = False
 ) -> DataFrame:
     """All documents of one category; a legislature without such a file contributes none."""
-    files = keep(read_files(spark, root, category.name, lines), one_of("_legislatura", legislatures))
+    wanted = one_of("_legislatura", legislatures)
     if lines:
+        files = keep(read_files(spark, root, category.name, lines), wanted)
         return files.filter(is_object(F.col("v"))).select("_legislatura", "_source_file", "v")
-    return entities(files, category.root).select("_legislatura", "_source_file", "v")
+    if category.root == "list":
+        return list_items(keep(read_texts(spark, root, category.name), wanted))
+    return object_files(keep(read_files(spark, root, category.name), wanted))
 
 
 def stage(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:

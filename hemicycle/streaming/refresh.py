@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hemicycle.functions.variants import parse
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.pipeline import store_category
-from hemicycle.sources.raw import entities, origin
+from hemicycle.sources.raw import list_items, object_files, origin
 
 
 def landed(spark: SparkSession, landing: str) -> DataFrame:
     """A stream of raw files under `<landing>/<run>/<legislature>/<category>.json`."""
-    reader = spark.readStream.option("singleVariantColumn", "v").option("multiLine", True)
-    files = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").schema("v variant").json(landing)
-    return files.select(*origin(F.col("_metadata.file_path")), F.col("_metadata.file_path").alias("__path"), "v")
+    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
+    files = reader.option("pathGlobFilter", "*.json").text(landing)
+    return files.select(*origin(F.col("_metadata.file_path")), F.col("_metadata.file_path").alias("__path"), "value")
 
 
 def newest(files: DataFrame) -> DataFrame:
@@ -38,8 +39,8 @@ def start_refresh(spark: SparkSession, landing: str, store: str, checkpoint: str
         for name in found:
             if name in CATEGORIES:
                 category = CATEGORIES[name]
-                docs = entities(files.filter(F.col("_categoria") == name), category.root)
-                docs = docs.select("_legislatura", "_source_file", "v")
+                own = files.filter(F.col("_categoria") == name)
+                docs = list_items(own) if category.root == "list" else object_files(own.withColumn("v", parse(F.col("value"))))
                 store_category(batch.sparkSession, category, docs, store, run=f"batch-{batch_id}")
 
     stream = landed(spark, landing)

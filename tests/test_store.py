@@ -57,9 +57,15 @@ def test_missing_files_are_skipped_and_roots_checked(spark, raw, tmp_path):
     assert docs.filter("_legislatura = '01'").count() == 1
     assert read_category(spark, str(raw), CATEGORIES["iniciativas"], ["05"]).count() == 0
     assert read_category(spark, str(raw), CATEGORIES["peticoes"]).count() == 0
-    write(tmp_path / "bad" / "17" / "iniciativas.json", {"not": "a list"})
-    with pytest.raises(Exception, match="expected a list"):
-        read_category(spark, str(tmp_path / "bad"), CATEGORIES["iniciativas"]).collect()
+    for i, content in enumerate(['{"not": "a list"}', '[{"a": 1}, {"b": ', "5"]):
+        path = tmp_path / f"bad{i}" / "17" / "iniciativas.json"
+        path.parent.mkdir(parents=True)
+        path.write_text(content, encoding="utf-8")
+        with pytest.raises(Exception, match="expected a list in 17/iniciativas.json"):
+            read_category(spark, str(tmp_path / f"bad{i}"), CATEGORIES["iniciativas"]).collect()
+    write(tmp_path / "badobject" / "17" / "atividades.json", [1])
+    with pytest.raises(Exception, match="expected an object"):
+        read_category(spark, str(tmp_path / "badobject"), CATEGORIES["atividades"]).collect()
 
 
 def test_lines_are_read_one_document_each(spark, tmp_path):
