@@ -12,8 +12,13 @@ from hemicycle.functions.numbers import share
 
 
 def ordered_text_list(expression: str, separator: str = ", ") -> Column:
-    """Distinct values joined in ascending order. `expression` is SQL, evaluated per row."""
-    return F.expr(f"listagg(DISTINCT {expression}, '{separator}') WITHIN GROUP (ORDER BY {expression})")
+    """Distinct non-null values of a group joined in ascending order; null for a group without any.
+
+    `expression` is SQL, evaluated per row. Each map task sends the distinct values of a key once,
+    so a key with very many rows is no larger in the shuffle than its list of values.
+    """
+    values = F.collect_set(F.expr(expression))
+    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
 
 
 def count_by(df: DataFrame, column: str, name: str = "n") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import day_first_timestamp, iso_timestamp
-from hemicycle.functions.variants import elements, is_object, json_text
+from hemicycle.functions.variants import elements, is_object
 from hemicycle.functions.variants import field as value_at
 
 ORIGIN = ("_legislatura", "_source_file")
@@ -31,19 +31,30 @@ class Field:
     kind: str
     compute: Callable[[Column], Column] | None = None
 
+    @property
+    def is_member(self) -> bool:
+        """True for a value that sits directly under one key."""
+        return self.compute is None and len(self.path) == 1 and isinstance(self.path[0], str)
+
+    @property
+    def raw_type(self) -> str:
+        return {"json": "variant", "flag": "boolean"}.get(self.kind, "string")
+
     def read(self, v: Column) -> Column:
+        """The column from the whole document or item."""
         if self.compute is not None:
             return self.compute(v)
+        return self.typed(value_at(v, *self.path, as_type=self.raw_type))
+
+    def typed(self, value: Column) -> Column:
+        """The column from its raw value."""
         if self.kind == "json":
-            return json_text(v, *self.path)
-        if self.kind == "flag":
-            return value_at(v, *self.path, as_type="boolean")
-        text = value_at(v, *self.path)
+            return F.when(~F.is_variant_null(value), F.to_json(value))
         if self.kind == "date":
-            return iso_timestamp(text)
+            return iso_timestamp(value)
         if self.kind == "day_first":
-            return day_first_timestamp(text)
-        return text
+            return day_first_timestamp(value)
+        return value
 
 
 def _fields(kind: str, names: str) -> tuple[Field, ...]:
@@ -120,23 +131,39 @@ class Category:
     dynamic: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
 
+def _project(df: DataFrame, carried: Sequence[str], fields: Sequence[Field]) -> DataFrame:
+    """The columns of a table from the objects in `v`; rows with anything else in `v` are dropped.
+
+    All values directly under a key are read in one pass over the object, as one struct.
+    """
+    members = [f for f in fields if f.is_member]
+    shape = ", ".join(f"`{f.path[0]}`: {f.raw_type}" for f in members)
+    record = value_at(F.col("v"), as_type=f"struct<{shape}>" if members else "map<string,variant>")
+    opened = df.select(*carried, *ORIGIN, "v", record.alias("__record")).filter(F.col("__record").isNotNull())
+    cells = [f.typed(F.col("__record")[f.path[0]]) if f.is_member else f.read(F.col("v")) for f in fields]
+    return opened.select(*carried, *[c.alias(f.name) for c, f in zip(cells, fields)], *ORIGIN)
+
+
 def rows_of(table: Table, docs: DataFrame) -> DataFrame:
     """The rows of one declared table, with their origin."""
     v = F.col("v")
     carried = [k.name for k in table.keys]
     if not table.lists:
-        return docs.select(*[f.read(v).alias(f.name) for f in (*table.keys, *table.columns)], *ORIGIN)
+        return _project(docs, (), (*table.keys, *table.columns))
     df = docs.select(*[k.read(v).alias(k.name) for k in table.keys], *ORIGIN, "v")
+    last = len(table.lists) - 1
     for depth, step in enumerate(table.lists):
         position = table.ordinals[depth] if table.ordinals else f"__pos{depth}"
         df = df.select(*carried, *ORIGIN, F.posexplode(elements(v, *step)).alias(position, "v"))
-        df = df.filter(~F.is_variant_null(v) if table.scalars else is_object(v))
+        if depth < last:
+            df = df.filter(is_object(v))
         if table.ordinals:
             carried = [*carried, position]
     if table.scalars:
         (column,) = table.columns
-        return df.select(*carried, v.try_cast("string").alias(column.name), *ORIGIN)
-    return df.select(*carried, *[f.read(v).alias(f.name) for f in table.columns], *ORIGIN)
+        plain = df.filter(~F.is_variant_null(v))
+        return plain.select(*carried, v.try_cast("string").alias(column.name), *ORIGIN)
+    return _project(df, carried, table.columns)
 
 
 def normalise(category: Category, docs: DataFrame, only: Sequence[str] = ()) -> dict[str, DataFrame]:

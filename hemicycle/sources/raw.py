@@ -42,7 +42,7 @@ def list_items(files: DataFrame) -> DataFrame:
     """Elements of files whose root is a list, each a VARIANT of its own.
 
     The size limit of a VARIANT thus holds per element and not per file. A file with another root,
-    or that is not JSON, stops the query. Elements that are not objects are passed over.
+    or that is not JSON, stops the query (an empty file has no rows; `rejected` lists it). Elements that are not objects are passed over.
     """
     wrong = F.raise_error(F.concat(F.lit("expected a list in "), F.col("_source_file"))).cast("array<variant>")
     looks_like_list = F.startswith(F.ltrim(F.col("value")), F.lit("["))

@@ -69,6 +69,14 @@ def test_json_columns_keep_empty_containers(table):
     assert (row["Artigos_json"], row["IniciativasMapas_json"]) == ("[]", None)
 
 
+def test_one_field_of_another_shape_leaves_the_rest(table):
+    doc = {"Id": 4, "Title": {"nested": [1]}, "AllDayEvent": ["x"], "Theme": True, "ThemeId": 2.5, "Local": "Sala"}
+    (row,) = table("agenda_parlamentar", "agenda_parlamentar", doc)
+    assert (row["Id"], row["Title"], row["AllDayEvent"], row["Theme"], row["ThemeId"], row["Local"]) == (
+        "4", '{"nested":[1]}', None, "true", "2.5", "Sala",
+    )
+
+
 def test_activity_counters(table):
     block = {"Ini": [1, 2], "Req": {}, "Intev": None, "Gpa": "x"}
     rows = table(
