@@ -90,6 +90,13 @@ add_civic(
       'IdAutor,IdRegisto,_json_idx,_value,autor_json,id,k_y,nota,partes_json,vazio_json' AS schema FROM items""",
 )
 
+add_civic(
+    "json_dry_run_rows",
+    lambda t: json_explode.dry_run_rows(t["registos"], "registos", "EstadoFinal_json"),
+    """SELECT _legislatura, IdRegisto, IdAutor, CAST(0 AS BIGINT) AS _json_idx, EstadoFinal_json->>'$.estado' AS estado
+    FROM registos WHERE EstadoFinal_json IS NOT NULL ORDER BY _legislatura, IdRegisto LIMIT 3""",
+)
+
 # Inventory ----------------------------------------------------------------------------------
 
 _BLANK = f"""(coalesce(CAST({_VALID} AS VARCHAR), 'null') IN ('""', '[]', '{{{{}}}}', 'null'))"""

@@ -589,6 +589,17 @@ add_civic(
     """SELECT Nome, Gp, Cargo, CAST(DataInicio AS VARCHAR) AS DataInicio, CAST(DataFim AS VARCHAR) AS DataFim
     FROM grupo_amizade_composicao WHERE _legislatura = '17' AND Id = 14""",
 )
+add_civic(
+    "standing_delegations_page",
+    lambda t: registers.standing_delegations(t, "17", sessions=["BUILDING"], text="DELEGAÇÃO%00"),
+    """SELECT Id, Nome, CAST(data_inicio AS VARCHAR) AS data_eleicao, Sessao FROM delegacoes_permanentes
+    WHERE _legislatura = '17' AND Sessao IN ('BUILDING') AND Nome ILIKE '%DELEGAÇÃO%00%'""",
+)
+add_civic(
+    "meeting_place_options",
+    lambda t: registers.meeting_places(t, "17", ["BUILDING"]),
+    _option_list("SELECT Local AS option FROM reunioes_e_visitas WHERE _legislatura = '17' AND Tipo IN ('BUILDING')"),
+)
 add_civic(
     "meetings_page",
     lambda t: registers.meetings_and_visits(t, "17", kinds=["BUILDING", "FURNITURE"], text="nation_1"),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hemicycle.functions.text import column_name, snake_name
 from hemicycle.functions.variants import canonical_items, is_object, nested_text, parse, scalar_text
+from hemicycle.operators.ordering import top
 from hemicycle.plans.dynamic import MAX_KEYS, discover, key_usage, layout, safe_name, spread
 from hemicycle.sinks.lineage import stamp_satellite
 
@@ -163,6 +164,12 @@ def dry_run(df: DataFrame, table: str, column: str) -> DataFrame:
     )
 
 
+def dry_run_rows(df: DataFrame, table: str, column: str, n: int = 3) -> DataFrame:
+    """The first rows the satellite would have, in key order."""
+    keys = [LEGISLATURE, *parent_keys(df.columns, table)]
+    return top(explode_column(df, column, keys), [], n, [*keys, "_json_idx"])
+
+
 def json_columns(df: DataFrame) -> list[str]:
     """Text columns that hold JSON by naming convention."""
     return sorted(

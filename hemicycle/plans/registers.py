@@ -209,6 +209,10 @@ def meetings_and_visits(
     return rows.select(*columns).orderBy(down("data_inicio"), up("Id"))
 
 
+def meeting_places(tables: Tables, legislature: str, kinds: Values = ()) -> DataFrame:
+    return options(keep(tables["reunioes_e_visitas"], in_legislature(legislature), one_of("Tipo", kinds)), "Local")
+
+
 # Budget -------------------------------------------------------------------------------------
 
 

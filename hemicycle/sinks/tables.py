@@ -37,7 +37,7 @@ def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = (
     for value, where in directories.items():
         old = before[value]
         if exists(spark, old) if old else some_file(spark, where) is None:
-            empty = spark.createDataFrame([], df.drop(PARTITION).schema)
+            empty = df.drop(PARTITION).filter(F.lit(False))
             empty.coalesce(1).write.mode("overwrite").parquet(where)
             emptied.add(value)
     return emptied
@@ -61,7 +61,7 @@ def finalise(
     counted = written.groupBy(PARTITION).agg(
         F.count("*").alias("rows"), F.max("_source_file").alias("source_file"), F.max("_source_sha256").alias("source_sha256")
     )
-    wanted = spark.createDataFrame([(v,) for v in legislatures], f"{PARTITION} string")
+    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in legislatures])).alias(PARTITION))
     records = wanted.join(counted, PARTITION, "left").select(
         F.lit(table).alias("table"),
         F.col(PARTITION).alias("legislatura"),
