@@ -14,8 +14,8 @@ YEARS = (date(1996, 6, 1), date(1997, 10, 15))
 DAYS = (date(2024, 1, 3), date(2024, 1, 12))
 _BETWEEN_YEARS = "BETWEEN DATE '1996-06-01' AND DATE '1997-10-15'"
 _BETWEEN_DAYS = "BETWEEN DATE '2024-01-03' AND DATE '2024-01-12'"
-PARTIES = ["NATION_1", "NATION_2", "NATION_5", "NATION_7"]
-_PARTIES = "('NATION_1', 'NATION_2', 'NATION_5', 'NATION_7')"
+PARTIES = ["NATION_2", "NATION_5", "NATION_16", "NATION_20"]
+_PARTIES = "('NATION_2', 'NATION_5', 'NATION_16', 'NATION_20')"
 
 
 def _option_list(select: str) -> str:
