@@ -29,7 +29,9 @@ def store_category(
     """
     staged = stage(spark, docs, f"{store}/staging/{category.name}/{run}")
     legislatures = sorted(r["_legislatura"] for r in staged.select("_legislatura").distinct().collect())
-    done = {}
+    done: dict[str, list[str]] = {}
+    if not legislatures:
+        return done
     for name, rows in normalise(category, staged).items():
         finalise(rows, store, name, f"normalise_{category.name}", legislatures, hashes)
         done[name] = legislatures

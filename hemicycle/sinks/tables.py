@@ -61,7 +61,8 @@ def finalise(
     counted = written.groupBy(PARTITION).agg(
         F.count("*").alias("rows"), F.max("_source_file").alias("source_file"), F.max("_source_sha256").alias("source_sha256")
     )
-    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in legislatures])).alias(PARTITION))
+    values = F.array(*[F.lit(v) for v in legislatures]).cast("array<string>")
+    wanted = spark.range(1).select(F.explode(values).alias(PARTITION))
     records = wanted.join(counted, PARTITION, "left").select(
         F.lit(table).alias("table"),
         F.col(PARTITION).alias("legislatura"),
