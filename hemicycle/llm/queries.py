@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import substring_dedup
+from hemicycle.llm import jaccard_join, substring_dedup
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -28,3 +28,22 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(x AS BIGINT) AS n_removed, sha
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.remove_repeats(docs).select(F.col("doc.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, i, i + 2), ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (k) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n u ON x = u.doc_id JOIN n v ON y = v.doc_id WHERE 100 * c >= 90 * (u.n + v.n - c)),
+r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id FROM d LEFT JOIN n USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x) c USING (doc_id)
+"""
+
+
+@query("op3_jaccard_join", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, found = jaccard_join.near_groups(docs, jaccard_join.Similarity(words=3, percent=90))
+    return found.select("doc_id", "n_shingles", "component_id")

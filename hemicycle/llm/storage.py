@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text in a block. A longer document is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Rows in a block, so that a row's number fits beside the block's.
+BLOCK_ROWS = 1 << 16
 BLOCK_SCHEMA = "block_id long, n_bytes long, payload binary"
 
 
@@ -46,17 +48,17 @@ def packer(limit: int):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 24
         held: list[pa.RecordBatch] = []
-        size = 0
+        size = count = 0
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_numpy(zero_copy_only=False)
             start = 0
             for i, length in enumerate(lengths.tolist()):
-                if size and size + length > limit:
+                if count and size + length > limit or count == BLOCK_ROWS:
                     yield write([*held, batch.slice(start, i - start)], number, size)
-                    held, size, start, number = [], 0, i, number + 1
-                size += length
+                    held, size, count, start, number = [], 0, 0, i, number + 1
+                size, count = size + length, count + 1
             held.append(batch.slice(start))
         if any(x.num_rows for x in held):
             yield write(held, number, size)
@@ -89,6 +91,23 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarr
     return bytes_, at - at[0]
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
+    """Rows sorted by ``key`` as tables of whole groups, each of at least ``least`` rows but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(x.num_rows for x in held) < least:
+            continue
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = table.column(key).to_numpy()
+        last = int(np.searchsorted(keys, keys[-1]))
+        if last:
+            yield table.slice(0, last)
+            held = table.slice(last).to_batches()
+    if any(x.num_rows for x in held):
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def struct_of(table: pa.Table) -> pa.Array:
     """The columns of a table as one struct column, to carry them under one name."""
     arrays = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in table.columns]
