@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import jaccard_join, substring_dedup, suffix_dedup
+from hemicycle.llm import jaccard_join, mixing, substring_dedup, suffix_dedup
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -73,3 +73,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix_dedup.remove_repeats(docs)
     return found.select(F.col("doc.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
+s AS (SELECT source, sum(size) AS n, row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1 AS r FROM d GROUP BY source),
+w AS (SELECT *, [3, 1, 2][r % 3 + 1] AS w, sum(n) OVER () AS total FROM s),
+o AS (SELECT *, coalesce(sum(2 * n) OVER (ORDER BY 2 * n / w, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_,
+             sum(w) OVER (ORDER BY 2 * n / w, r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM w),
+l AS (SELECT max(CAST(3 * total - 2 * full_ AS DOUBLE) / (2.0::DOUBLE * free)) AS part FROM o),
+t AS (SELECT source, n, CASE WHEN 2 * n < w * part THEN CAST(2 * n AS DOUBLE) ELSE w * part END AS target FROM w, l),
+p AS (SELECT doc_id, size, n, target, floor(target) AS words,
+      coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, target,
+       CAST(greatest(least(a + size, words) - a, 0) + greatest(least(a + n + size, words) - a - n, 0) AS BIGINT) AS taken FROM p
+"""
+
+
+@query("op8_mix_sources", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
