@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import jaccard_join, mixing, substring_dedup, suffix_dedup
+from hemicycle.llm import jaccard_join, mixing, quality, substring_dedup, suffix_dedup, url_rules
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -95,3 +95,30 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(n AS BIGINT) AS source_size, t
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, found = mixing.mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+UNWANTED_SQL = "|".join(r.pattern for r in url_rules.WORDS)
+OP10_SQL = rf"""
+WITH r AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path FROM r),
+f AS (SELECT *, '.' || host AS d FROM h),
+g AS (SELECT *, CASE WHEN d LIKE '%.example.org' AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                     WHEN d LIKE '%.example.org' AND path LIKE '/es/%' THEN 'example.org/es/'
+                     WHEN d LIKE '%.com' AND path LIKE '/fr/%' THEN 'com/fr/'
+                     WHEN d LIKE '%.com' AND path LIKE '/de/%' THEN 'com/de/'
+                     WHEN d LIKE '%.org' AND path LIKE '/%' THEN 'org/' END AS rule FROM f)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN regexp_matches(lower(host || path), '{UNWANTED_SQL}') THEN 'block' ELSE 'allow' END AS verdict FROM g
+"""
+
+
+@query("op10_url_filter", OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))

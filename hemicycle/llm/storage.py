@@ -108,6 +108,19 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Ite
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def slices(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
+    """The rows in tables of at most ``limit`` bytes of text, or of one longer row."""
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        sizes = pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy()
+        ends = np.cumsum(sizes)
+        start = 0
+        while start < len(sizes):
+            end = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + limit, "right")))
+            yield table.slice(start, end - start).combine_chunks()
+            start = end
+
+
 def struct_of(table: pa.Table) -> pa.Array:
     """The columns of a table as one struct column, to carry them under one name."""
     arrays = [c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in table.columns]
