@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import jaccard_join, mixing, quality, substring_dedup, suffix_dedup, url_rules
+from hemicycle.llm import jaccard_join, mixing, quality, substring_dedup, suffix_dedup, url_rules, word_bpe
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -122,3 +123,12 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 @query("op10_url_filter", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+#: Name of the vocabulary file among the public ones; its place is a parameter of the operator.
+VOCABULARY = "word_bpe_49k.json"
+
+
+@query("op7_bpe_codec")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digests=True)
