@@ -33,6 +33,9 @@ from hemicycle.llm.storage import slices
 
 #: Words in the lexicon, and results that a task keeps for words outside it.
 LEXICON, KEPT = 32_768, 200_000
+#: Bytes up to which all pairs of a word are looked at for each merge; longer words keep them in a heap.
+SHORT = 40
+NONE = (1 << 62, 0)
 
 
 def byte_letters() -> list[str]:
@@ -71,6 +74,17 @@ class Vocabulary:
         """Ids of a word: the merge of lowest rank first, the leftmost of equal ones."""
         ids = [self.first[b] for b in word[:-1]] + [self.last[b] for b in word[-1:]]
         n = len(ids)
+        if n <= SHORT:
+            merges = self.merges
+            while n > 1:
+                found = [merges.get(p, NONE) for p in zip(ids, ids[1:], strict=False)]
+                best = min(found)
+                if best is NONE:
+                    break
+                i = found.index(best)
+                ids[i : i + 2] = [best[1]]
+                n -= 1
+            return ids
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(*self.merges[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
         heapq.heapify(heap)
@@ -252,10 +266,10 @@ def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     vocabulary = Vocabulary.load(path)
     words = frequent_words(docs, vocabulary)
     lexicon = compile_lexicon({w.encode(): vocabulary.merge(w.encode()) for w in words})
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, lexicon))  # bounded: one vocabulary, LEXICON words
+    shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), lexicon))  # bounded: one vocabulary, LEXICON words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(*shared.value)
+        coder = Coder(Vocabulary(**shared.value[0]), shared.value[1])
         for table in slices(batches):
             codes = coder.encode(table.column("text").to_pylist())
             n = pa.array([len(c) // 4 for c in codes], pa.int64())
