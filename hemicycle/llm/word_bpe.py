@@ -33,9 +33,9 @@ from hemicycle.llm.storage import slices
 
 #: Words in the lexicon, and results that a task keeps for words outside it.
 LEXICON, KEPT = 32_768, 200_000
-#: Bytes up to which all pairs of a word are looked at for each merge; longer words keep them in a heap.
-SHORT = 40
-NONE = (1 << 62, 0)
+#: Bytes up to which words are merged together, a merge of each at a time; longer ones are merged one by one.
+SHORT = 32
+NEVER = 1 << 30
 
 
 def byte_letters() -> list[str]:
@@ -74,17 +74,6 @@ class Vocabulary:
         """Ids of a word: the merge of lowest rank first, the leftmost of equal ones."""
         ids = [self.first[b] for b in word[:-1]] + [self.last[b] for b in word[-1:]]
         n = len(ids)
-        if n <= SHORT:
-            merges = self.merges
-            while n > 1:
-                found = [merges.get(p, NONE) for p in zip(ids, ids[1:], strict=False)]
-                best = min(found)
-                if best is NONE:
-                    break
-                i = found.index(best)
-                ids[i : i + 2] = [best[1]]
-                n -= 1
-            return ids
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(*self.merges[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
         heapq.heapify(heap)
@@ -110,6 +99,64 @@ def latin(kind: str) -> str:
     return "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
 
 
+class Merger:
+    """Merges many words at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.size = vocabulary, len(vocabulary.tokens)
+        pairs = sorted((a * self.size + b, rank, new) for (a, b), (rank, new) in vocabulary.merges.items())
+        self.pairs, self.ranks, self.new = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else [np.zeros(0, np.int64)] * 3
+        self.first, self.last = np.array(vocabulary.first, np.int64), np.array(vocabulary.last, np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and result of merging, or NEVER; ids below 0 are no ids."""
+        if not len(self.pairs):
+            return np.full(left.shape, NEVER), np.zeros(left.shape, np.int64)
+        key = left * self.size + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], NEVER), self.new[at]
+
+    def __call__(self, words: list[bytes]) -> list[list[int]]:
+        out: list = [None] * len(words)
+        lengths = np.array([len(w) for w in words], np.int64)
+        for i in np.flatnonzero(lengths > SHORT).tolist():
+            out[i] = self.vocabulary.merge(words[i])
+        here = np.flatnonzero(lengths <= SHORT)
+        for some in np.array_split(here, len(here) // 50_000 + 1):
+            for i, ids in zip(some.tolist(), self.together([words[i] for i in some.tolist()]), strict=True):
+                out[i] = ids[ids >= 0]
+        return out
+
+    def together(self, words: list[bytes]) -> np.ndarray:
+        """Rows of ids, with -1 after the last."""
+        n = np.array([len(w) for w in words], np.int64)
+        width = int(n.max(initial=0)) + 1
+        place = np.arange(width)
+        ids = np.full((len(words), width), -1, np.int64)
+        ids[place < n[:, None]] = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        full = np.flatnonzero(n)
+        ids[full, n[full] - 1] = self.last[[words[i][-1] for i in full.tolist()]]
+        ranks, new = self.rank(ids[:, :-1], ids[:, 1:])
+        active = np.arange(len(words))
+        while len(active):
+            r = ranks[active]
+            at = r.argmin(axis=1)
+            found = r[np.arange(len(active)), at] < NEVER
+            active, at = active[found], at[found]
+            row = np.arange(len(active))
+            old, left = ids[active], new[active, at]
+            moved = np.concatenate([old[:, 1:], np.full((len(active), 1), -1)], axis=1)
+            ids[active] = now = np.where(place > at[:, None], moved, old)
+            now[row, at] = ids[active, at] = left
+            for table in (ranks, new):
+                old = table[active]
+                moved = np.concatenate([old[:, 1:], np.full((len(active), 1), NEVER if table is ranks else 0)], axis=1)
+                table[active] = np.where(place[:-1] > at[:, None], moved, old)
+            for i in (np.maximum(at - 1, 0), at):
+                ranks[active, i], new[active, i] = self.rank(now[row, i], now[row, np.minimum(i + 1, width - 1)])
+        return ids
+
+
 class Splitter:
     """Words and special tokens of a text, normalised as the vocabulary asks: composed, in lower case, white space dropped."""
 
@@ -192,7 +239,7 @@ class Lexicon:
         self.file = tempfile.TemporaryFile()
         self.file.write(data)
         self.file.flush()
-        whole = np.memmap(self.file, np.int64, "r")
+        whole = np.asarray(np.memmap(self.file, np.int64, "r"))
         ends = 7 + np.cumsum(whole[:7])
         root, self.final, self.keys, self.targets, self.skips, self.bounds, self.ids = (whole[e - n : e] for e, n in zip(ends, whole[:7], strict=True))
         self.root = int(root[0])
@@ -223,6 +270,7 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(lexicon)
+        self.merge = Merger(vocabulary)
         self.split = Splitter(vocabulary.pattern, vocabulary.special)
         self.codes: dict[str | tuple[str], bytes] = {(s,): np.array([i], "<u4").tobytes() for s, i in vocabulary.special.items()}
         self.special = dict(self.codes)
@@ -232,8 +280,12 @@ class Coder:
             self.codes = dict(self.special)
         new = sorted(words - self.codes.keys())
         encoded = [w.encode() for w in new]
-        for word, raw, ids in zip(new, encoded, self.lexicon.find(encoded), strict=True):
-            self.codes[word] = np.array(self.vocabulary.merge(raw) if ids is None else ids, "<u4").tobytes()
+        found = self.lexicon.find(encoded)
+        unseen = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(unseen, self.merge([encoded[i] for i in unseen]), strict=True):
+            found[i] = ids
+        for word, ids in zip(new, found, strict=True):
+            self.codes[word] = np.asarray(ids, "<u4").tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.split(t) if t else [] for t in texts]
@@ -265,7 +317,8 @@ def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     """(doc_id, n_tokens, ids) of every text; with ``digests`` (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
     vocabulary = Vocabulary.load(path)
     words = frequent_words(docs, vocabulary)
-    lexicon = compile_lexicon({w.encode(): vocabulary.merge(w.encode()) for w in words})
+    raw = [w.encode() for w in words]
+    lexicon = compile_lexicon(dict(zip(raw, Merger(vocabulary)(raw), strict=True)))
     shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), lexicon))  # bounded: one vocabulary, LEXICON words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
