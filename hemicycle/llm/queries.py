@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import jaccard_join, mixing, quality, substring_dedup, suffix_dedup, url_rules, word_bpe
+from hemicycle.llm import embedding_dedup, jaccard_join, mixing, quality, search, substring_dedup, suffix_dedup, url_rules, word_bpe
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -132,3 +132,37 @@ VOCABULARY = "word_bpe_49k.json"
 @query("op7_bpe_codec")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digests=True)
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+g AS (SELECT * FROM v WHERE x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM g a JOIN g b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.95),
+r(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+c AS (SELECT x AS vec_id, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x AS vec_id, count(*) AS n FROM e GROUP BY x)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op5_embedding_dedup", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') END AS w FROM documents),
+s AS (SELECT count(*) AS rows_, CAST(sum(len(w)) AS DOUBLE) / count(*) AS mean FROM d),
+t AS (SELECT doc_id, word, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL),
+n AS (SELECT word, count(*) AS n FROM t GROUP BY word),
+q AS (SELECT doc_id AS query_id, word, ln(1 + (rows_ - n + 0.5::DOUBLE) / (n + 0.5::DOUBLE)) AS idf, tf FROM t JOIN n USING (word), s WHERE doc_id % 20 = 0),
+k AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY tf * idf DESC, word) <= 16),
+c AS (SELECT query_id, t.doc_id, sum(CAST(floor(tf_ * 2.2::DOUBLE / (tf_ + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len(w) / mean)) * idf * 1000000 + 0.5::DOUBLE) AS BIGINT)) AS score
+      FROM k JOIN (SELECT doc_id, word, tf AS tf_ FROM t) t USING (word) JOIN d ON d.doc_id = t.doc_id, s GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM c QUALIFY rank <= 10
+"""
+
+
+@query("op6_topk_search", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
