@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import embedding_dedup, jaccard_join, mixing, quality, search, substring_dedup, suffix_dedup, url_rules, word_bpe
+from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, substring_dedup, suffix_dedup, url_rules, word_bpe
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -166,3 +166,8 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, d
 @query("op6_topk_search", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
