@@ -89,10 +89,14 @@ def schedule(per: DataFrame) -> DataFrame:
     return ranked.where("block < blocks").select("slot", "number", "block")
 
 
-def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The schedule, and for each document (row, doc_id, source, size, source_size, target, taken)."""
+def mix(docs: DataFrame, by_text: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The schedule, and for each document (row, doc_id, source, size, source_size, target, taken).
+
+    With ``by_text`` also a digest of the text.
+    """
+    digest = [F.xxhash64("text").alias("digest")] if by_text else []
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = docs.select("doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("shuffled"))
+    sizes = docs.select("doc_id", "source", size.alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("shuffled"), *digest)
     sizes = cut(sizes.withColumn("row", F.monotonically_increasing_id()))
     per = targets(sizes)
     slots = cut(schedule(per))
@@ -107,4 +111,21 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     taken = pieces.select("row", "number", "block", (high - low).alias("n")).join(slots.select("number", "block"), ["number", "block"])
     taken = taken.groupBy("row").agg(F.sum("n").alias("taken"))
     out = placed.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)))
-    return slots, out.select("row", "doc_id", "source", "size", "source_size", "target", "taken")
+    return slots, out.select("row", "doc_id", "source", "size", "source_size", "target", "taken", *(["digest"] if by_text else []))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The documents as often as the mix takes them, with all their columns: never, once or up to MOST times.
+
+    A document that its source's last block cuts counts by the nearest whole number. Rows that are equal in id, source
+    and text share their uses, to the nearest whole number. Texts without words are not taken.
+    """
+    _, found = mix(docs, by_text=True)
+    key = ["doc_id", "source", "digest"]
+    uses = found.where("size > 0").groupBy(*key).agg((F.sum("taken") / F.sum("size")).alias("uses"))
+    uses = uses.withColumn("uses", F.floor(F.col("uses") + 0.5)).where("uses > 0").select(*(F.col(k).alias(f"_{k}") for k in key), F.col("uses").alias("_uses"))
+    same = F.xxhash64("text") == F.col("_digest")
+    for k in key[:2]:
+        same &= F.col(f"_{k}").eqNullSafe(docs[k])
+    taken = docs.join(uses.hint("shuffle_hash"), same)
+    return taken.withColumn("_uses", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(*(docs[c] for c in docs.columns))
