@@ -18,6 +18,19 @@ def _with_least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "a")
 
 
+def _to_least(edges: DataFrame) -> DataFrame:
+    """Each node and its smaller neighbours point to the smallest of them."""
+    near = _with_least(edges)
+    out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(near.select("a", F.col("m").alias("b")))
+    return out.where("a > b").distinct()
+
+
+def _larger_to_least(edges: DataFrame) -> DataFrame:
+    """The larger neighbours of each node point to the smallest of it and its neighbours."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return _with_least(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b), both long. Self-links and repeated edges are passed over.
 
@@ -25,14 +38,10 @@ def components(edges: DataFrame) -> DataFrame:
     learns a count and a sum a round.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = cut(edges)
+    edges = cut(_to_least(cut(edges)))  # nodes with many neighbours lose most of their edges before the first round
     before = _state(edges)
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_least(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-        near = _with_least(large)
-        small = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(near.select("a", F.col("m").alias("b")))
-        edges = cut(small.where("a > b").distinct())
+        edges = cut(_to_least(_larger_to_least(edges)))
         after = _state(edges)
         if after == before:
             break
