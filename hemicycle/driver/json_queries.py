@@ -64,7 +64,9 @@ add_civic(
 )
 add_civic(
     "json_satellite",
-    lambda t: json_explode.satellite(t["registos"].withColumnRenamed("IdRegisto", "IniId"), "iniciativas", "Votacao_json").select(
+    lambda t: json_explode.satellite(
+        t["registos"].withColumnRenamed("IdRegisto", "IniId"), "iniciativas", "Votacao_json", strict=True
+    ).select(
         "_legislatura", "IniId", "_json_idx", F.col("id").alias("vote_id"), "_source_table", "_source_col", "_normalizer"
     ),
     f"""WITH {_items('Votacao_json')} SELECT _legislatura, IdRegisto AS IniId, _json_idx, {_TEXT.format(k='id')} AS vote_id,
@@ -85,9 +87,13 @@ add_civic(
 add_civic(
     "json_dry_run",
     lambda t: json_explode.dry_run(t["registos"], "registos", "Votacao_json"),
-    f"""WITH {_items('Votacao_json')} SELECT 'registos_votacao' AS satellite, count(*) AS rows_total,
-      string_agg(DISTINCT _legislatura, ',' ORDER BY _legislatura) AS legislaturas,
-      'IdAutor,IdRegisto,_json_idx,_value,autor_json,id,k_y,nota,partes_json,vazio_json' AS schema FROM items""",
+    f"""WITH {_items('Votacao_json')}, keyed AS (
+      SELECT replace(e.key, ' ', '_') || CASE WHEN json_type(e.value) IN ('OBJECT', 'ARRAY') THEN '_json' ELSE '' END AS name
+      FROM (SELECT * FROM items WHERE json_type(item) = 'OBJECT'), json_each(item) e
+      UNION ALL SELECT '_value' FROM items WHERE json_type(item) <> 'OBJECT'
+      UNION ALL SELECT unnest(['IdRegisto', 'IdAutor', '_json_idx']) FROM items)
+    SELECT 'registos_votacao' AS satellite, 'legislatura' AS subject, _legislatura AS name, count(*) AS rows_total FROM items GROUP BY _legislatura
+    UNION ALL SELECT 'registos_votacao', 'column', name, count(*) FROM keyed GROUP BY name""",
 )
 
 add_civic(
@@ -124,12 +130,6 @@ add_civic(
     lambda t: json_inventory.top_keys(json_inventory.long_values(t["registos"]), 4),
     f"""{_KEYS} SELECT _legislatura, "column", key, n, rank FROM ranked WHERE rank <= 4""",
 )
-add_civic(
-    "json_top_keys_of_first_items",
-    lambda t: json_inventory.top_keys(json_inventory.long_values(t["registos"]), 15, list_sample=1),
-    f"""{_KEYS.replace('json_each(j) e', "json_each(json_array(j->'$[0]')) e")}
-    SELECT _legislatura, "column", key, n, rank FROM ranked WHERE rank <= 15""",
-)
 add_civic(
     "json_samples",
     lambda t: json_inventory.samples(json_inventory.long_values(t["registos"]), 2),
@@ -146,21 +146,13 @@ add_civic(
     f"""{_KEYS}, stats AS ({_STATISTICS}) SELECT stats.*, keys_top FROM stats LEFT JOIN (SELECT _legislatura, "column",
       string_agg(key, ', ' ORDER BY rank) AS keys_top FROM ranked WHERE rank <= 8 GROUP BY ALL) USING (_legislatura, "column")""",
 )
-add_civic(
-    "json_inventory_sampled",
-    lambda t: json_inventory.sampled(t["registos"], 25, ["IdRegisto"]),
-    """WITH v AS (SELECT _legislatura, IdRegisto, 'Votacao_json' AS "column", Votacao_json AS value FROM registos
-      UNION ALL SELECT _legislatura, IdRegisto, 'EstadoFinal_json', EstadoFinal_json FROM registos)
-    SELECT _legislatura, "column", value FROM (SELECT *, row_number() OVER (PARTITION BY _legislatura, "column" ORDER BY IdRegisto)
-      AS rn FROM v WHERE value IS NOT NULL) WHERE rn <= 25""",
-)
 
 # Profile ------------------------------------------------------------------------------------
 
 
-def _nodes(t, list_sample=None):
+def _nodes(t):
     docs = t["registos"].select("IdRegisto", parse(F.col("Votacao_json")).alias("v"))
-    return json_profile.walk(docs, ["IdRegisto"], list_sample=list_sample, max_depth=6)
+    return json_profile.walk(docs, ["IdRegisto"])
 
 
 _TREE = r"""WITH d AS (SELECT IdRegisto, CASE WHEN json_valid(Votacao_json) THEN Votacao_json::JSON END AS j FROM registos),
@@ -179,12 +171,6 @@ add_civic(
     lambda t: json_profile.paths(_nodes(t)),
     f"{_TREE} SELECT path, count(*) AS count, max(depth) AS max_depth, {_TYPE_COUNTS}, {_LENGTHS} FROM walked GROUP BY 1",
 )
-add_civic(
-    "json_path_profile_of_first_items",
-    lambda t: json_profile.paths(_nodes(t, list_sample=1)).select("path", "count"),
-    _TREE.replace("FROM (SELECT * FROM d WHERE j IS NOT NULL), json_tree(j) e", "FROM (SELECT * FROM d WHERE j IS NOT NULL), json_tree(j) e WHERE NOT regexp_matches(fullkey, '\\[[1-9]')")
-    + " SELECT path, count(*) AS count FROM walked GROUP BY 1",
-)
 add_civic(
     "json_path_samples",
     lambda t: json_profile.path_samples(_nodes(t)),
@@ -210,7 +196,6 @@ add(
         json_profile.walk(
             read_source(spark, sf_dir, "events").select("event_type", parse(F.col("props")).alias("v")),
             ["event_type"],
-            max_depth=3,
         ),
         "event_type",
     ).select("event_type", "path", "count", "max_depth", "type_dict", "type_int"),

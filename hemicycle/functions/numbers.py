@@ -6,14 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+
+
 def try_int(text: Column) -> Column:
-    """Integer from text: blanks trimmed, fractions rounded half away from zero, junk gives null."""
-    return F.round(text.try_cast("double")).try_cast("int")
+    """Integer from text: blanks trimmed, fractions rounded half away from zero, anything else gives null."""
+    text = text.cast("string")
+    return F.round(F.when(text.rlike(NUMBER), text).try_cast("double")).try_cast("int")
 
 
 def id_text(value: Column) -> Column:
-    """One spelling for an id stored as text, whole number or float (`12`, `12.0`)."""
-    return value.try_cast("double").try_cast("bigint").cast("string")
+    """One spelling for an id stored as text, whole number or float (`12`, `12.0`). Whole numbers keep all digits."""
+    return F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint")).cast("string")
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:

@@ -27,7 +27,7 @@ DAYS = "segunda-feira terca-feira quarta-feira quinta-feira sexta-feira sabado d
 def first_date(tables: Mapping[str, DataFrame]) -> DataFrame | None:
     """One row with the earliest date over the fact tables; tables that are missing are passed over."""
     lowest = [
-        tables[name].agg(as_date(F.min(column)).alias("d"))
+        tables[name].agg(F.min(as_date(F.col(column))).alias("d"))
         for name, column in DATE_COLUMNS.items()
         if name in tables and column in tables[name].columns
     ]

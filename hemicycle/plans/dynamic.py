@@ -1,8 +1,8 @@
 """Tables whose columns are the keys found in the data.
 
-One aggregate job lists the keys; its result is a list of column names, checked against a limit
-before it reaches the driver. Past that limit the long form (`long_rows`) holds the same content
-without one column per key.
+One aggregate job lists the distinct keys, as schema inference does; the list is as long as the
+table is wide, and nothing limits it. The long form (`long_rows`) holds the same content in a
+fixed schema, without a job and without a column per key.
 """
 
 from __future__ import annotations
@@ -16,14 +16,21 @@ from pyspark.sql import functions as F
 
 from hemicycle.functions.variants import is_nested, is_object, members, nested_text, scalar_text
 
-MAX_KEYS = 2000
+
+@dataclass(frozen=True)
+class Key:
+    """A key, whether it held nested values, and whether an item also has another key of the same column name."""
+
+    name: str
+    nested: bool
+    clashes: bool
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Keys met in a set of items, each with whether it held scalars and nested values."""
+    """Keys met in a set of items."""
 
-    keys: tuple[tuple[str, bool], ...]
+    keys: tuple[Key, ...]
     has_plain_items: bool
 
 
@@ -37,18 +44,26 @@ def safe_name(key: str) -> str:
 
 
 def key_usage(items: DataFrame, column: str = "item") -> DataFrame:
-    """Distinct (is_item_object, key, nested) over all items; the reduction starts in the map tasks."""
+    """Distinct (is_object, key, nested, clashes) over all items; the reduction starts in the map tasks."""
     item = F.col(column)
-    entries = items.select(is_object(item).alias("is_object"), F.explode_outer(F.map_entries(members(item))).alias("e"))
-    return entries.select("is_object", F.col("e.key").alias("key"), is_nested(F.col("e.value")).alias("nested")).distinct()
+    opened = items.select(is_object(item).alias("is_object"), F.map_entries(members(item)).alias("entries"))
+    column_of = lambda e: F.lower(F.regexp_replace(e["key"], "[^a-zA-Z0-9_]", "_"))
+    names = F.transform("entries", column_of)
+    opened = opened.withColumn("several", F.size(F.array_distinct(names)) < F.size(names))
+    alike = lambda e: F.size(F.filter(names, lambda n: n == column_of(e))) > 1
+    marked = F.transform(
+        "entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), (F.col("several") & alike(e)).alias("clashes"))
+    )
+    entries = opened.select("is_object", F.explode_outer(marked).alias("e"))
+    found = entries.select("is_object", F.col("e.key").alias("key"), is_nested(F.col("e.value")).alias("nested"), "e.clashes")
+    return found.groupBy("is_object", "key", "nested").agg(F.max("clashes").alias("clashes"))
 
 
-def discover(items: DataFrame, column: str = "item", max_keys: int = MAX_KEYS) -> Shape:
-    found = key_usage(items, column).limit(2 * max_keys + 2).collect()
+def discover(items: DataFrame, column: str = "item") -> Shape:
+    found = key_usage(items, column).collect()
+    clashing = {r["key"] for r in found if r["clashes"]}
     keys = sorted({(r["key"], r["nested"]) for r in found if r["key"] is not None})
-    if len({k for k, _ in keys}) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct keys: use the long form instead of one column per key")
-    return Shape(tuple(keys), any(not r["is_object"] for r in found))
+    return Shape(tuple(Key(k, n, k in clashing) for k, n in keys), any(not r["is_object"] for r in found))
 
 
 def layout(
@@ -60,18 +75,29 @@ def layout(
     """Output columns in key order, each with the (key, nested) values it merges.
 
     Nested values go to `<name>_json`, and so do scalars of keys that `plain_key` rejects. Keys
-    that differ only in case, or only in replaced characters, share a column. A name already
-    `taken` by the parent gets the prefix `item_`.
+    that differ only in case, or only in replaced characters, share a column as long as no item
+    holds two of them; else each has a column of its own, numbered from the second on. A name
+    already `taken` by the parent gets the prefix `item_`.
     """
     columns: dict[str, list[tuple[str, bool]]] = {}
     spelling: dict[str, str] = {}
+    alone: set[str] = set()
     reserved = {t.lower() for t in taken}
-    for key, nested in shape.keys:
-        name = name_of(key) + ("_json" if nested or not plain_key(key) else "")
-        if name.lower() in reserved:
-            name = f"item_{name}"
-        name = spelling.setdefault(name.lower(), name)
-        columns.setdefault(name, []).append((key, nested))
+    for key in shape.keys:
+        wanted = name_of(key.name) + ("_json" if key.nested or not plain_key(key.name) else "")
+        prefixed = wanted.lower() in reserved
+        wanted = f"item_{wanted}" if prefixed else wanted
+        name, n = spelling.get(wanted.lower(), wanted), 1
+        single = key.clashes or prefixed
+        same_key = lambda name: all(k == key.name for k, _ in columns[name])
+        while name in columns and not same_key(name) and (single or name in alone):
+            n += 1
+            name = f"{wanted}_{n}"
+            name = spelling.get(name.lower(), name)
+        spelling[name.lower()] = name
+        columns.setdefault(name, []).append((key.name, key.nested))
+        if single:
+            alone.add(name)
     return columns
 
 
@@ -85,14 +111,20 @@ def spread(
     """One output column per entry of `columns`, read from the object in each row."""
 
     def read(key: str, nested: bool) -> Column:
-        value = F.try_element_at(F.col("__members"), F.lit(key))
+        value = _member(F.col(column), key)
         if not nested:
             return scalar_text(value)
         return nested_text(value) if blank_is_null else F.when(is_nested(value), F.to_json(value))
 
     cells = [F.coalesce(*[read(k, nested) for k, nested in parts]).alias(name) for name, parts in columns.items()]
-    opened = items.select(*kept, column, members(F.col(column)).alias("__members"))
-    return opened.select(*kept, column, *cells)
+    return items.select(*kept, column, *cells)
+
+
+def _member(v: Column, key: str) -> Column:
+    """The value of a key; found by search in the object, not by a pass over its entries."""
+    if re.search(r'["\\]', key):  # such keys have no path
+        return F.try_element_at(members(v), F.lit(key))
+    return F.try_variant_get(v, f'$["{key}"]', "variant")
 
 
 def long_rows(items: DataFrame, kept: Sequence[str], column: str = "item") -> DataFrame:

@@ -13,12 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.functions.text import column_name, snake_name
-from hemicycle.functions.variants import canonical_items, is_object, nested_text, parse, scalar_text
+from hemicycle.functions.variants import canonical_items, is_nested, is_object, members, nested_text, parse, scalar_text
 from hemicycle.operators.ordering import top
-from hemicycle.plans.dynamic import MAX_KEYS, discover, key_usage, layout, safe_name, spread
+from hemicycle.plans.dynamic import discover, layout, safe_name, spread
 from hemicycle.sinks.lineage import stamp_satellite
 
 LEGISLATURE = "_legislatura"
+# An item that is no object has one entry, its value.
+_PLAIN = "array(named_struct('key', '_value', 'value', CAST(NULL AS VARIANT)))"
 
 # Keys that identify a row of each table.
 PARENT_KEYS: dict[str, list[str]] = {
@@ -113,15 +115,13 @@ def json_items(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     return parsed.select(*keys, F.posexplode(canonical_items(F.col("__value"))).alias("_json_idx", "item"))
 
 
-def explode_column(
-    df: DataFrame, column: str, keys: Sequence[str], strict: bool = True, max_keys: int = MAX_KEYS
-) -> DataFrame:
+def explode_column(df: DataFrame, column: str, keys: Sequence[str], strict: bool = True) -> DataFrame:
     """The satellite of one JSON column, with one column per key found in it.
 
     Text that is not JSON is dropped; `strict=False` keeps it as a `_value` row.
     """
     items = json_items(df, column, keys)
-    shape = discover(items, max_keys=max_keys)
+    shape = discover(items)
     kept = [*keys, "_json_idx"]
     columns = layout(shape, safe_name, taken=[*kept, "_value"])
     cells: list[Column | str] = [*kept, *columns]
@@ -138,30 +138,33 @@ def explode_column(
     )
 
 
-def satellite(df: DataFrame, table: str, column: str, strict: bool = True) -> DataFrame:
-    """`explode_column` for a stored table: its keys, its legislature and the lineage of the column."""
+def satellite(df: DataFrame, table: str, column: str, strict: bool = False) -> DataFrame:
+    """`explode_column` for a stored table: its keys, its legislature and the lineage of the column.
+
+    Text that is not JSON stays as a `_value` row.
+    """
     keys = [LEGISLATURE, *parent_keys(df.columns, table)]
     return stamp_satellite(explode_column(df, column, keys, strict), table, column)
 
 
 def dry_run(df: DataFrame, table: str, column: str) -> DataFrame:
-    """One row: how many rows the satellite would have, of which legislatures, and its columns."""
+    """What the satellite would hold, one row per legislature and one per column.
+
+    `subject` is 'legislatura' or 'column', `name` which one, `rows_total` the rows of a
+    legislature, or those in which a column has a key.
+    """
     keys = [LEGISLATURE, *parent_keys(df.columns, table)]
     items = json_items(df, column, keys)
-    size = items.groupBy(LEGISLATURE).agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows_total"),
-        F.array_join(F.array_sort(F.collect_list(LEGISLATURE)), ",").alias("legislaturas"),
-    )
-    own = F.concat(column_name(F.col("key")), F.when(F.col("nested"), F.lit("_json")).otherwise(F.lit("")))
-    usage = key_usage(items).select(F.when(~F.col("is_object"), F.lit("_value")).otherwise(own).alias("name"))
-    names = usage.dropna().distinct().limit(2 * MAX_KEYS).agg(F.collect_list("name").alias("own"))
-    carried = F.array(*[F.lit(k) for k in [*keys[1:], "_json_idx"]])
-    return size.join(names, how="full", on=F.lit(True)).select(
-        F.lit(satellite_name(table, column)).alias("satellite"),
-        "rows_total",
-        "legislaturas",
-        F.array_join(F.array_sort(F.array_union(carried, "own")), ",").alias("schema"),
-    )
+    name = satellite_name(table, column)
+    sizes = items.groupBy(LEGISLATURE).agg(F.count("*").alias("rows_total"))
+    sizes = sizes.select(F.lit("legislatura").alias("subject"), F.col(LEGISLATURE).alias("name"), "rows_total")
+    entries = F.explode(F.coalesce(F.map_entries(members(F.col("item"))), F.expr(_PLAIN))).alias("e")
+    own = F.concat(column_name(F.col("e.key")), F.when(is_nested(F.col("e.value")), F.lit("_json")).otherwise(F.lit("")))
+    used = items.select(entries).select(own.alias("name")).groupBy("name").agg(F.count("*").alias("rows_total"))
+    carried = F.explode(F.array(*[F.lit(k) for k in [*keys[1:], "_json_idx"]])).alias("name")
+    every = items.select(carried).groupBy("name").agg(F.count("*").alias("rows_total"))
+    columns = used.unionByName(every).select(F.lit("column").alias("subject"), "name", "rows_total")
+    return sizes.unionByName(columns).select(F.lit(name).alias("satellite"), "subject", "name", "rows_total")
 
 
 def dry_run_rows(df: DataFrame, table: str, column: str, n: int = 3) -> DataFrame:

@@ -18,14 +18,6 @@ def blank_json(text: Column) -> Column:
     return is_blank(parse(text))
 
 
-def sampled(df: DataFrame, rows: int, order: Sequence[str]) -> DataFrame:
-    """Per legislature, the first `rows` non-null values of each JSON column, in long form."""
-    names = json_columns(df)
-    long = df.select(LEGISLATURE, *order, *names).unpivot([LEGISLATURE, *order], names, "column", "value")
-    first = first_per_group(long.filter("value IS NOT NULL"), [LEGISLATURE, "column"], [F.col(c) for c in order], rows)
-    return first.select(LEGISLATURE, "column", "value")
-
-
 def long_values(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Non-null values of the JSON columns in long form, for all rows."""
     names = list(columns or json_columns(df))
@@ -60,15 +52,10 @@ def statistics(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     )
 
 
-def top_keys(values: DataFrame, k: int = 15, list_sample: int | None = None) -> DataFrame:
-    """Most frequent keys per column and legislature, over objects and the objects inside lists.
-
-    `list_sample` reads only the first items of each list; by default every item counts.
-    """
+def top_keys(values: DataFrame, k: int = 15) -> DataFrame:
+    """Most frequent keys per column and legislature, over objects and the objects inside lists."""
     parsed = values.select(LEGISLATURE, "column", parse(F.col("value")).alias("v"))
     items = canonical_items(F.col("v"))
-    if list_sample is not None:
-        items = F.slice(items, 1, list_sample)
     entries = parsed.select(LEGISLATURE, "column", F.explode(items).alias("item")).select(
         LEGISLATURE, "column", F.explode(F.map_keys(members(F.col("item")))).alias("key")
     )

@@ -7,7 +7,7 @@ and no level is computed twice.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.operators.ordering import first_per_group
@@ -28,38 +28,55 @@ _DESCRIBED = {
 }
 
 
-def walk(docs: DataFrame, keys: list[str], column: str = "v", list_sample: int | None = None, max_depth: int = 8) -> DataFrame:
+# What a value's JSON text starts with; only scalars are written out to tell.
+_MARK = """CASE WHEN try_variant_get({v}, '$', 'map<string,variant>') IS NOT NULL THEN '{{'
+  WHEN try_variant_get({v}, '$', 'array<variant>') IS NOT NULL THEN '[' ELSE left(to_json({v}), 1) END"""
+
+
+def depth_of(docs: DataFrame, column: str = "v") -> int:
+    """The deepest nesting of all documents: one number, from the brackets outside of text."""
+    text = F.regexp_replace(F.to_json(F.col(column)), r'"(?:[^"\\]|\\.)*+"', "")
+    steps = F.split(F.regexp_replace(text, r"[^\[\]{}]", ""), "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(state: Column, mark: Column) -> Column:
+        now = state["now"] + F.when(mark.isin("[", "{"), 1).when(mark.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(state["most"], now).alias("most"))
+
+    return docs.agg(F.max(F.aggregate(steps, zero, step)["most"])).first()[0] or 0
+
+
+def walk(docs: DataFrame, keys: list[str], column: str = "v") -> DataFrame:
     """One row per value of each document: the keys, path, depth, type, list length and sample.
 
-    `list_sample` looks at only the first items of every list; by default all are visited. A
-    document nested deeper than `max_depth` stops the query with an error; nothing is left out.
+    As many levels are opened as the deepest document has, which one aggregate over the data finds.
     """
     carried = ", ".join(f"`{k}`" for k in keys)
     described = ", ".join(f"{sql} AS {name}" for name, sql in _DESCRIBED.items())
     grown = ", ".join(
         f"if(grow, {sql}, {name if name != 'open' else 'NULL'}) AS {name}" for name, sql in _DESCRIBED.items()
     )
-    sampled = "" if list_sample is None else f" AND (NOT grow OR key IS NOT NULL OR pos < {list_sample})"
-    levels = [
-        f"""l0 AS (SELECT {carried}, '$' AS path, 0 AS depth, {described} FROM (
-          SELECT {carried}, `{column}` AS v, left(to_json(`{column}`), 1) AS mark FROM {{docs}} WHERE `{column}` IS NOT NULL))"""
-    ]
-    for level in range(max_depth):
+    def level(query: str, rows: DataFrame) -> DataFrame:
+        return docs.sparkSession.sql(query.replace("'{'", "'{{'"), rows=rows)
+
+    nodes = level(
+        f"""SELECT {carried}, '$' AS path, 0 AS depth, {described} FROM (
+          SELECT {carried}, `{column}` AS v, {_MARK.format(v=f"`{column}`")} AS mark FROM {{rows}} WHERE `{column}` IS NOT NULL)""",
+        docs,
+    )
+    for _ in range(depth_of(docs, column)):
         # Each unopened value stays as it is and is followed by its children.
-        levels.append(
-            f"""l{level + 1} AS (SELECT {carried}, if(grow, path || coalesce('.' || key, '[]'), path) AS path,
+        nodes = level(
+            f"""SELECT {carried}, if(grow, path || coalesce('.' || key, '[]'), path) AS path,
               if(grow, depth + 1, depth) AS depth, {grown}
             FROM (SELECT {carried}, path, depth, type, length, sample, grow, key, c.value AS v,
-                if(grow, left(to_json(c.value), 1), NULL) AS mark
-              FROM (SELECT *, explode(if(open IS NULL, array(false), array(false, true))) AS grow FROM l{level}) p,
+                if(grow, {_MARK.format(v="c.value")}, NULL) AS mark
+              FROM (SELECT *, explode(if(open IS NULL, array(false), array(false, true))) AS grow FROM {{rows}}) p,
                 LATERAL variant_explode_outer(if(p.grow, p.open, NULL)) AS c
-              WHERE (NOT grow OR c.value IS NOT NULL){sampled}))"""
+              WHERE (NOT grow OR c.value IS NOT NULL))""",
+            nodes,
         )
-    rest = "coalesce(size(try_variant_get(open, '$', 'map<string,variant>')), size(try_variant_get(open, '$', 'array<variant>')), 0)"
-    too_deep = f"raise_error('a document is nested deeper than {max_depth} levels')"
-    query = f"""WITH {", ".join(levels)} SELECT {carried}, if({rest} > 0, {too_deep}, path) AS path,
-      depth, type, length, sample FROM l{max_depth}"""
-    return docs.sparkSession.sql(query.replace("'{'", "'{{'"), docs=docs)
+    return nodes.drop("open")
 
 
 def paths(nodes: DataFrame, *by: str) -> DataFrame:

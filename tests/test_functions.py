@@ -48,7 +48,7 @@ def test_day_and_time(spark):
 
 
 @pytest.mark.parametrize(
-    ("value", "expected"), [("12", 12), (" 12 ", 12), ("12.7", 13), ("-12.5", -13), ("12a", None), ("", None), (None, None)]
+    ("value", "expected"), [("12", 12), (" 12 ", 12), ("12.7", 13), ("-12.5", -13), ("12a", None), ("12d", None), ("12f", None), ("1e2", 100), (".5", 1), ("", None), (None, None)]
 )
 def test_try_int(spark, value, expected):
     assert one(spark, value, numbers.try_int) == expected
@@ -59,6 +59,10 @@ def test_id_text(spark, value, kind):
     assert one(spark, value, numbers.id_text, kind) == "7"
 
 
+def test_long_ids_keep_their_digits(spark):
+    assert one(spark, "9007199254740993", numbers.id_text) == "9007199254740993"
+
+
 @pytest.mark.parametrize(
     ("value", "expected"),
     [
