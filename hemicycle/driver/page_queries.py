@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from hemicycle.driver.registry import add_civic
 from hemicycle.operators.filters import options
 from hemicycle.operators.joins import attach
 from hemicycle.plans import pages, registers
 
+
+def add_scopes(name: str, query: Callable[..., DataFrame], check: str) -> None:
+    """A query over the rows of a page, and the same over all matches."""
+    add_civic(name, query, check)
+    add_civic(f"{name}_all_matches", lambda t: query(t, limit=None), re.sub(r" LIMIT \d+", "", check))
+
+
 TERM = "1997"
 YEARS = (date(1996, 6, 1), date(1997, 10, 15))
 DAYS = (date(2024, 1, 3), date(2024, 1, 12))
@@ -109,9 +122,9 @@ add_civic(
     FROM iniciativas i LEFT JOIN ult u ON u.IniId = i.IniId AND u.rn = 1 WHERE i._legislatura = '1997'""",
 )
 _INITIATIVES_PAGE = f"{_INITIATIVE_ROWS}, top AS (SELECT * FROM page ORDER BY d DESC NULLS LAST, IniId LIMIT 200)"
-add_civic(
+add_scopes(
     "initiatives_kpis",
-    lambda t: pages.initiatives_kpis(pages.initiatives(t, TERM, **_INITIATIVES)),
+    lambda t, **scope: pages.initiatives_kpis(pages.initiatives(t, TERM, **(_INITIATIVES | scope))),
     f"""{_INITIATIVES_PAGE} SELECT count(*) AS n, count(*) FILTER (WHERE resultado = 'Aprovado') AS n_aprovadas,
       count(*) FILTER (WHERE resultado = 'Rejeitado') AS n_rejeitadas, count(DISTINCT tipo) AS distinct_tipo FROM top""",
 )
@@ -172,9 +185,9 @@ add_civic(
     AND i.IniTitulo ILIKE '%ação 1%' AND v.unanime = 'unanime' {_VOTE_ORDER} LIMIT 500""",
 )
 _VOTE_PAGE = f"WITH top AS (SELECT {_VOTE_COLUMNS} {_VOTES_FROM} {_VOTES_WHERE} {_VOTE_ORDER} LIMIT 500)"
-add_civic(
+add_scopes(
     "votes_kpis",
-    lambda t: pages.votes_kpis(pages.votes(t, TERM, **_VOTES)),
+    lambda t, **scope: pages.votes_kpis(pages.votes(t, TERM, **(_VOTES | scope))),
     f"""{_VOTE_PAGE} SELECT count(*) AS n,
       count(*) FILTER (WHERE resultado = 'Aprovado') AS n_aprovadas,
       round(count(*) FILTER (WHERE resultado = 'Aprovado') / count(*), 2) AS share_aprovadas,
@@ -183,9 +196,9 @@ add_civic(
       count(*) FILTER (WHERE unanime = 'unanime') AS n_unanimes,
       round(count(*) FILTER (WHERE unanime = 'unanime') / count(*), 2) AS share_unanimes FROM top""",
 )
-add_civic(
+add_scopes(
     "votes_series",
-    lambda t: pages.votes_series(pages.votes(t, TERM, **_VOTES)),
+    lambda t, **scope: pages.votes_series(pages.votes(t, TERM, **(_VOTES | scope))),
     f"""{_VOTE_PAGE} SELECT left(data_vot, 7) AS mes, resultado, count(*) AS n FROM top
     WHERE data_vot IS NOT NULL GROUP BY 1, 2""",
 )
@@ -230,15 +243,15 @@ for _order, _sql in {
     )
 _INTERVENTION_PAGE = f"""WITH top AS (SELECT {_INTERVENTION_COLUMNS}, DataReuniaoPlenaria AS d FROM intervencoes
     {_INTERVENTIONS_WHERE} ORDER BY DataReuniaoPlenaria DESC NULLS LAST, Id LIMIT 300)"""
-add_civic(
+add_scopes(
     "interventions_kpis",
-    lambda t: pages.interventions_kpis(pages.interventions(t, "16", **_INTERVENTIONS)),
+    lambda t, **scope: pages.interventions_kpis(pages.interventions(t, "16", **(_INTERVENTIONS | scope))),
     f"""{_INTERVENTION_PAGE} SELECT count(*) AS n, count(DISTINCT deputado) AS distinct_deputado,
       count(DISTINCT gp) AS distinct_gp, count(DISTINCT tipo) AS distinct_tipo FROM top""",
 )
-add_civic(
+add_scopes(
     "interventions_series",
-    lambda t: pages.interventions_series(pages.interventions(t, "16", **_INTERVENTIONS)),
+    lambda t, **scope: pages.interventions_series(pages.interventions(t, "16", **(_INTERVENTIONS | scope))),
     f"""{_INTERVENTION_PAGE} SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS dia, gp, count(*) AS n FROM top
     WHERE d IS NOT NULL AND gp IS NOT NULL GROUP BY 1, 2""",
 )
@@ -305,15 +318,15 @@ add_civic(
 )
 _QUESTION_PAGE = f"""WITH top AS (SELECT {_QUESTION_COLUMNS} FROM perguntas_e_requerimentos p {_QUESTIONS_WHERE}
     ORDER BY p.DataEnvio DESC NULLS LAST, p.Id LIMIT 300)"""
-add_civic(
+add_scopes(
     "questions_kpis",
-    lambda t: pages.questions_kpis(pages.questions(t, TERM, **_QUESTIONS)),
+    lambda t, **scope: pages.questions_kpis(pages.questions(t, TERM, **(_QUESTIONS | scope))),
     f"""{_QUESTION_PAGE} SELECT count(*) AS n, count(DISTINCT tipo) AS distinct_tipo,
     count(DISTINCT reqtipo) AS distinct_reqtipo FROM top""",
 )
-add_civic(
+add_scopes(
     "questions_series",
-    lambda t: pages.questions_series(pages.questions(t, TERM, **_QUESTIONS)),
+    lambda t, **scope: pages.questions_series(pages.questions(t, TERM, **(_QUESTIONS | scope))),
     f"{_QUESTION_PAGE} SELECT left(data_envio, 7) AS mes, count(*) AS n FROM top WHERE data_envio IS NOT NULL GROUP BY 1",
 )
 _BY_PARTY = f"EXISTS (SELECT 1 FROM pergunta_autores a WHERE a.Id = p.Id AND a.GP IN {_PARTIES})"
@@ -379,16 +392,16 @@ add_civic(
       AND c.Nome IN ('ECONOMY Brand#1', 'SMALL Brand#4', 'PROMO Brand#9'))
     ORDER BY p.PetDataEntrada DESC NULLS LAST, p.PetId LIMIT 200""",
 )
-add_civic(
+add_scopes(
     "petitions_kpis",
-    lambda t: pages.petitions_kpis(pages.petitions(t, TERM, **_PETITIONS)),
+    lambda t, **scope: pages.petitions_kpis(pages.petitions(t, TERM, **(_PETITIONS | scope))),
     f"""WITH top AS (SELECT {_PETITION_COLUMNS} FROM peticoes p {_PETITIONS_WHERE}
       ORDER BY p.PetDataEntrada DESC NULLS LAST, p.PetId LIMIT 200)
     SELECT CAST(sum(assinaturas) AS BIGINT) AS total, CAST(trunc(median(assinaturas)) AS BIGINT) AS median FROM top""",
 )
-add_civic(
+add_scopes(
     "petitions_series",
-    lambda t: pages.petitions_series(pages.petitions(t, TERM, **_PETITIONS)),
+    lambda t, **scope: pages.petitions_series(pages.petitions(t, TERM, **(_PETITIONS | scope))),
     f"""WITH top AS (SELECT {_PETITION_COLUMNS} FROM peticoes p {_PETITIONS_WHERE}
       ORDER BY p.PetDataEntrada DESC NULLS LAST, p.PetId LIMIT 200)
     SELECT left(data_ent, 7) AS mes, count(*) AS n FROM top WHERE data_ent IS NOT NULL GROUP BY 1""",
@@ -426,15 +439,15 @@ for _order, _sql in {
         f"SELECT {_ACT_COLUMNS} {_ACTS} ORDER BY {_sql}, Id LIMIT 200",
     )
 _ACT_PAGE = f"WITH top AS (SELECT {_ACT_COLUMNS} {_ACTS} ORDER BY data_pub DESC NULLS LAST, Id LIMIT 200)"
-add_civic(
+add_scopes(
     "diplomas_kpis",
-    lambda t: pages.approved_acts_kpis(pages.approved_acts(t, TERM, **_ACT_FILTERS)),
+    lambda t, **scope: pages.approved_acts_kpis(pages.approved_acts(t, TERM, **(_ACT_FILTERS | scope))),
     f"""{_ACT_PAGE} SELECT count(*) AS n, count(DISTINCT tipo) AS distinct_tipo, count(DISTINCT ano) AS distinct_ano
     FROM top""",
 )
-add_civic(
+add_scopes(
     "diplomas_series",
-    lambda t: pages.approved_acts_series(pages.approved_acts(t, TERM, **_ACT_FILTERS)),
+    lambda t, **scope: pages.approved_acts_series(pages.approved_acts(t, TERM, **(_ACT_FILTERS | scope))),
     f"""{_ACT_PAGE} SELECT left(data_pub, 7) AS mes, tipo, count(*) AS n FROM top
     WHERE data_pub IS NOT NULL GROUP BY 1, 2""",
 )
@@ -464,15 +477,15 @@ for _order, _sql in {"date_desc": "DESC", "date_asc": "ASC"}.items():
     )
 _AGENDA_PAGE = f"""WITH top AS (SELECT {_AGENDA_COLUMNS} FROM agenda_parlamentar {_AGENDA_WHERE}
     ORDER BY data_inicio DESC NULLS LAST, Id LIMIT 200)"""
-add_civic(
+add_scopes(
     "agenda_kpis",
-    lambda t: pages.agenda_kpis(pages.agenda(t, "16", **_AGENDA)),
+    lambda t, **scope: pages.agenda_kpis(pages.agenda(t, "16", **(_AGENDA | scope))),
     f"""{_AGENDA_PAGE} SELECT count(*) AS n, count(DISTINCT seccao) AS distinct_seccao,
     count(DISTINCT tema) AS distinct_tema FROM top""",
 )
-add_civic(
+add_scopes(
     "agenda_series",
-    lambda t: pages.agenda_series(pages.agenda(t, "16", **_AGENDA)),
+    lambda t, **scope: pages.agenda_series(pages.agenda(t, "16", **(_AGENDA | scope))),
     f"{_AGENDA_PAGE} SELECT left(inicio, 10) AS dia, seccao, count(*) AS n FROM top WHERE inicio IS NOT NULL GROUP BY 1, 2",
 )
 for _k, (_name, _column) in enumerate([("section", "Section"), ("theme", "Theme"), ("place", "Local")]):
@@ -499,9 +512,9 @@ add_civic(
     f"""SELECT IDEvento, SessaoLegislativa, TipoEvento, Designacao, LocalEvento, Concedida
     FROM atividades_eventos {_ACTIVITY_WHERE} ORDER BY _data DESC NULLS LAST, IDEvento LIMIT 1000""",
 )
-add_civic(
+add_scopes(
     "activity_series",
-    lambda t: registers.activities_series(registers.activities(t, _EVENTS_VIEW, "17", **_ACTIVITIES)),
+    lambda t, **scope: registers.activities_series(registers.activities(t, _EVENTS_VIEW, "17", **(_ACTIVITIES | scope))),
     f"""SELECT strftime(_data, '%Y-%m') AS mes, count(*) AS n FROM (SELECT _data FROM atividades_eventos
     {_ACTIVITY_WHERE} ORDER BY _data DESC NULLS LAST, IDEvento LIMIT 1000) WHERE _data IS NOT NULL GROUP BY 1""",
 )
@@ -513,6 +526,30 @@ add_civic(
     ),
 )
 
+_VIEW_KEYS = {
+    "hearings": "IDAudicao", "audiences": "IDAudiencia", "debates": "DebateId", "trips": "IDDeslocacao", "events": "IDEvento",
+    "general": "Id", "reports": "Id",
+}
+for _name, _view in registers.ACTIVITY_VIEWS.items():
+    _search = " OR ".join(f"coalesce({c}, '') ILIKE '%sala 1%'" for c in _view.texts)
+    _where = f"_legislatura = '17' AND {_view.session} IN ('1', '2', '3') AND ({_search})"
+    _where += f" AND {_view.kind} IN ('view', 'click')" if _view.kind else ""
+    _where += f" AND {_view.extra} IN ('S')" if _view.extra else ""
+    _shown = dict.fromkeys([_VIEW_KEYS[_name], _view.session, *filter(None, [_view.kind, _view.extra]), *_view.texts])
+    add_civic(
+        f"activity_view_{_name}",
+        lambda t, v=replace(_view, tie_break=(_VIEW_KEYS[_name],)), c=list(_shown): registers.activities(
+            t, v, "17", sessions=["1", "2", "3"], kinds=["view", "click"], extras=["S"], text="sala 1"
+        ).select(*c),
+        f"""SELECT {", ".join(_shown)} FROM {_view.table} WHERE {_where}
+        ORDER BY _data DESC NULLS LAST, {_VIEW_KEYS[_name]} LIMIT 1000""",
+    )
+    add_civic(
+        f"activity_sessions_{_name}",
+        lambda t, v=_view: options(t[v.table].filter("_legislatura = '17'"), v.session),
+        _option_list(f"SELECT {_view.session} AS option FROM {_view.table} WHERE _legislatura = '17'"),
+    )
+
 # Organs
 _ORGANS = """SELECT o.tipo_orgao, o.oId, o.oDes, o.cargoDes FROM orgaos_detalhe o WHERE o._legislatura = '17'
     AND o.tipo_orgao IN ('ECONOMY', 'SMALL', 'PROMO') AND (coalesce(o.oDes, '') ILIKE '%b%' OR coalesce(o.cargoDes, '') ILIKE '%b%')
@@ -615,9 +652,9 @@ _BUDGET = """SELECT ID, ID_Pai, Tipo, Numero, Titulo, Estado, Texto FROM orcamen
     ORDER BY TRY_CAST(ID AS INTEGER) NULLS LAST, ID LIMIT 1000"""
 _BUDGET_FILTERS = dict(kinds=["ECONOMY", "SMALL", "STANDARD"], text="brand#1")
 add_civic("budget_items", lambda t: registers.budget_items(t, "17", **_BUDGET_FILTERS), _BUDGET)
-add_civic(
+add_scopes(
     "budget_kpis",
-    lambda t: registers.budget_kpis(registers.budget_items(t, "17", **_BUDGET_FILTERS)),
+    lambda t, **scope: registers.budget_kpis(registers.budget_items(t, "17", **(_BUDGET_FILTERS | scope))),
     f"SELECT count(*) AS n, count(DISTINCT Tipo) AS distinct_Tipo, count(DISTINCT Estado) AS distinct_Estado FROM ({_BUDGET})",
 )
 add_civic(
@@ -638,14 +675,29 @@ add_civic(
     lambda t: registers.deputy_biography(t, "17", 3.0),
     "SELECT * FROM deputados WHERE _legislatura = '17' AND DepCadId = 3.0",
 )
+
+
+def _counted(t):
+    """The tables of the counts, with the interventions of term 16 in the term of the other two."""
+    term = F.when(F.col("_legislatura") == "16", TERM).otherwise(F.col("_legislatura"))
+    names = ("iniciativa_autores_deputados", "iniciativas", "pergunta_autores")
+    return {n: t[n] for n in names} | {"intervencoes": t["intervencoes"].withColumn("_legislatura", term)}
+
+
 add_civic(
     "deputy_profile_counts",
-    lambda t: registers.deputy_counts(t, TERM, 3.0),
+    lambda t: registers.deputy_counts(_counted(t), TERM, 3.0),
     """SELECT (SELECT count(DISTINCT a.IniId) FROM iniciativa_autores_deputados a JOIN iniciativas i USING (IniId)
         WHERE i._legislatura = '1997' AND a.idCadastro = '3') AS n_ini,
-      (SELECT count(*) FROM intervencoes WHERE _legislatura = '1997' AND dep_idCadastro = '3') AS n_int,
+      (SELECT count(*) FROM intervencoes WHERE _legislatura = '16' AND dep_idCadastro = '3') AS n_int,
       (SELECT count(DISTINCT Id) FROM pergunta_autores WHERE _legislatura = '1997' AND idCadastro = '3') AS n_perg""",
 )
+add_civic(
+    "deputy_hearings_given",
+    lambda t: registers.deputy_hearings(t, "17", 3.0, "deputados_atividade_audicoes"),
+    """SELECT ActAs AS assunto, ActDtent AS data_entrada, ActLoc AS local, ActTpdesc AS tipo_desc, ActSl AS sessao
+    FROM deputados_atividade_audicoes WHERE DepCadId = 3 AND ActAs IS NOT NULL""",
+)
 add_civic(
     "deputy_initiatives",
     lambda t: registers.deputy_initiatives(t, TERM, 3.0),

@@ -50,17 +50,20 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(F.count("*").alias("n"), *[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in columns])
 
 
-def int_median(df: DataFrame, column: str) -> DataFrame:
-    """Exact median of an integer column, cut to a whole number.
+def sum_and_median(df: DataFrame, column: str) -> DataFrame:
+    """One row with the sum and the exact median, cut to a whole number, of an integer column; nulls left out.
 
-    Values are counted by their upper 16 bits first, then only inside the one or two ranges that
-    hold the middle. Each window therefore sees at most 65,536 rows, however many rows there are.
+    One aggregate counts the values. The counts are summed by the upper 16 bits of the value, so the
+    window that finds the middle sees at most 65,536 rows, and only the one or two ranges that hold
+    the middle are ranked value by value.
     """
-    values = df.select(F.col(column).cast("int").alias("x")).dropna()
-    ranges = values.groupBy(F.shiftright("x", 16).alias("b")).agg(F.count("*").alias("c"))
+    counted = df.select(F.col(column).cast("int").alias("x")).dropna().groupBy(F.shiftright("x", 16).alias("b"), "x")
+    counted = counted.agg(F.count("*").alias("c"))
+    ranges = counted.groupBy("b").agg(F.sum("c").alias("c"), F.sum(F.col("x").cast("long") * F.col("c")).alias("s"))
     running = ranges.select(
         "b",
         "c",
+        "s",
         F.sum("c").over(Window.orderBy("b")).alias("upto"),
         F.sum("c").over(Window.partitionBy()).alias("total"),
     )
@@ -68,17 +71,13 @@ def int_median(df: DataFrame, column: str) -> DataFrame:
     before = F.col("upto") - F.col("c")
     middle = running.filter((low > before) & (low <= F.col("upto")) | (high > before) & (high <= F.col("upto")))
     middle = middle.select("b", before.alias("before"), low.alias("low"), high.alias("high"))
-    counted = values.groupBy(F.shiftright("x", 16).alias("b"), "x").agg(F.count("*").alias("c"))
     rank = F.col("before") + F.sum("c").over(Window.partitionBy("b").orderBy("x"))
     ranked = counted.join(middle, "b").withColumn("rank", rank)
-    below, above = (F.min(F.when(F.col("rank") >= F.col(r), F.col("x"))) for r in ("low", "high"))
-    return ranked.agg(((below.cast("double") + above) / 2).cast("long").alias("median"))
-
-
-def sum_and_median(df: DataFrame, column: str) -> DataFrame:
-    """One row with the sum and the median of an integer column, nulls left out."""
-    total = df.agg(F.coalesce(F.sum(column), F.lit(0)).cast("long").alias("total"))
-    return total.join(int_median(df, column), how="full", on=F.lit(True))
+    cells = [F.when(F.col("rank") >= F.col(r), F.col("x")).alias(r) for r in ("low", "high")]
+    parts = ranges.select(F.col("s"), F.lit(None).cast("int").alias("low"), F.lit(None).cast("int").alias("high"))
+    parts = parts.unionByName(ranked.select(F.lit(None).cast("long").alias("s"), *cells))
+    half = (F.min("low").cast("double") + F.min("high")) / 2
+    return parts.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("total"), half.cast("long").alias("median"))
 
 
 def monthly(df: DataFrame, column: str, *by: str) -> DataFrame:

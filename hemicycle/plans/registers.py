@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ class ActivityView:
     tie_break: tuple[str, ...] = ()
 
 
+# Tables, columns and searched texts of each view.
 ACTIVITY_VIEWS = {
     "hearings": ActivityView("atividades_audicoes", "SessaoLegislativa"),
     "audiences": ActivityView("atividades_audiencias", "SessaoLegislativa", extra="Concedida"),
@@ -273,11 +275,13 @@ def deputy_counts(tables: Tables, legislature: str, deputy) -> DataFrame:
     signed = having(signed, tables["iniciativas"], ["IniId"], in_term)
     spoken = _of_deputy(keep(tables["intervencoes"], in_term), "dep_idCadastro", deputy)
     asked = _of_deputy(keep(tables["pergunta_autores"], in_term), "idCadastro", deputy)
-    return (
-        signed.agg(F.count_distinct("IniId").alias("n_ini"))
-        .join(spoken.agg(F.count("*").alias("n_int")), how="full", on=F.lit(True))
-        .join(asked.agg(F.count_distinct("Id").alias("n_perg")), how="full", on=F.lit(True))
-    )
+    counts = {
+        "n_ini": signed.agg(F.count_distinct("IniId").alias("n")),
+        "n_int": spoken.agg(F.count("*").alias("n")),
+        "n_perg": asked.agg(F.count_distinct("Id").alias("n")),
+    }
+    tagged = reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("kind"), "n") for name, df in counts.items()))
+    return tagged.agg(*[F.max(F.when(F.col("kind") == name, F.col("n"))).alias(name) for name in counts])
 
 
 def deputy_initiatives(tables: Tables, legislature: str, deputy) -> DataFrame:
