@@ -29,10 +29,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.llm.storage import slices
+from hemicycle.llm.storage import cut, slices
 
 #: Words in the lexicon, and results that a task keeps for words outside it.
-LEXICON, KEPT = 32_768, 200_000
+LEXICON, KEPT = 32_768, 400_000
 #: Bytes up to which words are merged together, a merge of each at a time; longer ones are merged one by one.
 SHORT = 32
 NEVER = 1 << 30
@@ -116,15 +116,20 @@ class Merger:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return np.where((self.pairs[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], NEVER), self.new[at]
 
-    def __call__(self, words: list[bytes]) -> list[list[int]]:
-        out: list = [None] * len(words)
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as little-endian bytes."""
+        out = [b""] * len(words)
         lengths = np.array([len(w) for w in words], np.int64)
         for i in np.flatnonzero(lengths > SHORT).tolist():
-            out[i] = self.vocabulary.merge(words[i])
+            out[i] = np.array(self.vocabulary.merge(words[i]), "<u4").tobytes()
         here = np.flatnonzero(lengths <= SHORT)
-        for some in np.array_split(here, len(here) // 50_000 + 1):
-            for i, ids in zip(some.tolist(), self.together([words[i] for i in some.tolist()]), strict=True):
-                out[i] = ids[ids >= 0]
+        here = here[np.argsort(lengths[here], kind="stable")]  # words of like lengths make narrow tables
+        for some in np.array_split(here, len(here) // 10_000 + 1):
+            ids = self.together([words[i] for i in some.tolist()])
+            ends = 4 * np.cumsum((ids >= 0).sum(axis=1))
+            flat = ids[ids >= 0].astype("<u4").tobytes()
+            for i, a, b in zip(some.tolist(), [0, *ends.tolist()], ends.tolist(), strict=False):
+                out[i] = flat[a:b]
         return out
 
     def together(self, words: list[bytes]) -> np.ndarray:
@@ -161,28 +166,34 @@ class Splitter:
     """Words and special tokens of a text, normalised as the vocabulary asks: composed, in lower case, white space dropped."""
 
     def __init__(self, pattern: str, special: Iterable[str]):
-        self.words = regex.compile(pattern.replace(r"\s", WHITE))
+        self.every = regex.compile(pattern.replace(r"\s", WHITE))
+        self.controls = re.compile("[\x1c-\x1f]")
         near = pattern.replace(r"\s", "\t-\r \x85\xa0").replace(r"\p{L}", latin("L")).replace(r"\p{N}", latin("N"))
         self.latin = re.compile(near)  # the same for texts below U+0100, and faster
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")")
         self.marks = [s for s in special if s]
 
-    def find(self, text: str) -> list[str]:
-        text = self.normal(text)
-        return (self.latin if text.isascii() or max(text) < "\u0100" else self.words).findall(text)
+    def words(self, chunk: str) -> list[str]:
+        """The words of a normalised text."""
+        return (self.latin if chunk.isascii() or max(chunk) < "\u0100" else self.every).findall(chunk)
 
     def normal(self, text: str) -> str:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each letter by itself, so no final sigma
         return text.lower()
 
+    def plain(self, text: str) -> list[str]:
+        text = self.normal(text)
+        # str.split also splits at four control characters that are no white space here
+        return self.words(text) if self.controls.search(text) else text.split()
+
     def __call__(self, text: str) -> list[str | tuple[str]]:
-        """Words as strings, special tokens as tuples."""
+        """Pieces between white space, which no word crosses, as strings, and special tokens as tuples."""
         if not any(m in text for m in self.marks):
-            return self.find(text)
+            return self.plain(text)
         out: list[str | tuple[str]] = []
         for i, part in enumerate(self.special.split(text)):
-            out += [(part,)] if i % 2 else self.find(part)
+            out += [(part,)] if i % 2 else self.plain(part)
         return out
 
 
@@ -243,9 +254,10 @@ class Lexicon:
         ends = 7 + np.cumsum(whole[:7])
         root, self.final, self.keys, self.targets, self.skips, self.bounds, self.ids = (whole[e - n : e] for e, n in zip(ends, whole[:7], strict=True))
         self.root = int(root[0])
+        self.bounds, self.codes = self.bounds.tolist(), self.ids.astype("<u4").tobytes()
 
-    def find(self, words: list[bytes]) -> list[np.ndarray | None]:
-        """Ids of each word, or None; all words advance together, byte by byte."""
+    def find(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of each word as little-endian bytes, or None; all words advance together, byte by byte."""
         lengths = np.array([len(w) for w in words])
         data = np.frombuffer(b"".join(words), np.uint8)
         start = np.cumsum(lengths) - lengths
@@ -262,55 +274,90 @@ class Lexicon:
             state[here] = self.targets[at]
             depth += 1
         alive &= self.final[state] > 0
-        return [self.ids[self.bounds[k] : self.bounds[k + 1]] if ok else None for ok, k in zip(alive.tolist(), number.tolist(), strict=True)]
+        return [self.codes[4 * self.bounds[k] : 4 * self.bounds[k + 1]] if ok else None for ok, k in zip(alive.tolist(), number.tolist(), strict=True)]
 
 
 class Coder:
-    """Ids of words, from the lexicon or by merging, as little-endian bytes, and their decoded form."""
+    """Ids of words, from the lexicon or by merging, as little-endian bytes; kept for the pieces of texts."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: bytes):
         self.vocabulary, self.lexicon = vocabulary, Lexicon(lexicon)
         self.merge = Merger(vocabulary)
         self.split = Splitter(vocabulary.pattern, vocabulary.special)
-        self.codes: dict[str | tuple[str], bytes] = {(s,): np.array([i], "<u4").tobytes() for s, i in vocabulary.special.items()}
-        self.special = dict(self.codes)
+        self.special = {(s,): np.array([i], "<u4").tobytes() for s, i in vocabulary.special.items()}
+        tokens = [t.encode() + b" " for t in vocabulary.tokens]
+        self.tokens = np.frombuffer(b"".join(tokens), np.uint8)
+        self.lengths = np.array([len(t) - 1 for t in tokens])
+        self.starts = np.cumsum(self.lengths + 1) - self.lengths - 1
+        self.forget()
 
-    def learn(self, words: set) -> None:
+    def forget(self) -> None:
+        self.codes: dict[str | tuple[str], bytes] = dict(self.special)
+
+    def learn(self, pieces: set) -> None:
         if len(self.codes) > KEPT:
-            self.codes = dict(self.special)
-        new = sorted(words - self.codes.keys())
-        encoded = [w.encode() for w in new]
+            self.forget()
+        new = pieces - self.codes.keys()
+        mixed = {piece: self.split.words(piece) for piece in new if not piece.isalpha()}  # letters only are one word
+        words = [*(new - mixed.keys()), *(set().union(*mixed.values()) - self.codes.keys() - new)]
+        words += [p for p, of in mixed.items() if of == [p]]
+        encoded = [w.encode() for w in words]
         found = self.lexicon.find(encoded)
         unseen = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(unseen, self.merge([encoded[i] for i in unseen]), strict=True):
             found[i] = ids
-        for word, ids in zip(new, found, strict=True):
-            self.codes[word] = np.asarray(ids, "<u4").tobytes()
+        self.codes.update(zip(words, found, strict=True))
+        for piece, of in mixed.items():
+            if len(of) > 1:
+                self.codes[piece] = b"".join(map(self.codes.__getitem__, of))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [self.split(t) if t else [] for t in texts]
-        self.learn(set().union(*split) if split else set())
-        return [b"".join(map(self.codes.__getitem__, words)) for words in split]
+        self.learn(set().union(*split))
+        return [b"".join(map(self.codes.__getitem__, pieces)) for pieces in split]
 
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, codes: list[bytes]) -> list[bytes]:
+        """The tokens of each text, joined by spaces, as UTF-8; all texts at once."""
+        ids = np.frombuffer(b"".join(codes), "<u4")
+        lengths = self.lengths[ids] + 1  # and a space
+        ends = np.cumsum(lengths)
+        source = np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        whole = self.tokens[source].tobytes()
+        bounds = np.concatenate([[0], ends])[np.cumsum([0, *(len(c) // 4 for c in codes)])].tolist()
+        return [whole[a : max(a, b - 1)] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int = LEXICON) -> list[str]:
-    """The words that all texts hold most often, ties in order."""
+    """The words that all texts hold most often: at most ``most``, and all that are as frequent as one of them."""
     pattern, special = vocabulary.pattern, list(vocabulary.special)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = Splitter(pattern, special)
         for table in slices(batches):
-            found: Counter = Counter()
+            pieces: Counter = Counter()
             for text in table.column("text").to_pylist():
-                found.update(split(text) if text else ())
-            words = [w for w in found if isinstance(w, str)]
+                pieces.update(split(text) if text else ())
+            found: Counter = Counter()
+            for piece, n in pieces.items():
+                if isinstance(piece, str):
+                    for word in (piece,) if piece.isalpha() else split.words(piece):
+                        found[word] += n
+            words = list(found)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([found[w] for w in words], pa.int64())], ["word", "n"])
 
     counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counts = cut(counts.where("n > 1"))
+    # the least count of which no more than ``most`` words have it or more, on a scale of 16 steps for each doubling
+    scale = F.floor(F.log2("n") * 16)
+    held, least = 0, None
+    for r in sorted(counts.groupBy(scale.alias("step")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r.step):
+        held += r.words
+        if held > most:
+            break
+        least = r.step
+    if least is None:
+        return []
+    return sorted(r.word for r in counts.where(scale >= least).select("word").collect())
 
 
 def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
@@ -318,18 +365,20 @@ def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     vocabulary = Vocabulary.load(path)
     words = frequent_words(docs, vocabulary)
     raw = [w.encode() for w in words]
-    lexicon = compile_lexicon(dict(zip(raw, Merger(vocabulary)(raw), strict=True)))
+    ids = [np.frombuffer(c, "<u4").tolist() for c in Merger(vocabulary)(raw)]
+    lexicon = compile_lexicon(dict(zip(raw, ids, strict=True)))
     shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), lexicon))  # bounded: one vocabulary, LEXICON words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder(Vocabulary(**shared.value[0]), shared.value[1])
         for table in slices(batches):
-            codes = coder.encode(table.column("text").to_pylist())
+            texts = table.column("text").to_pylist()
+            codes = coder.encode(texts)
             n = pa.array([len(c) // 4 for c in codes], pa.int64())
             columns = {"doc_id": table.column("doc_id").combine_chunks(), "n_tokens": n}
             if digests:
                 columns["ids_sha256"] = pa.array([hashlib.sha256(c).hexdigest() for c in codes], pa.string())
-                columns["decoded_sha256"] = pa.array([hashlib.sha256(coder.decode(c).encode()).hexdigest() for c in codes], pa.string())
+                columns["decoded_sha256"] = pa.array([hashlib.sha256(d).hexdigest() for d in coder.decode(codes)], pa.string())
             else:
                 ends = np.cumsum([0, *(len(c) // 4 for c in codes)]).astype(np.int32)
                 columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<u4").astype(np.int32)))

@@ -266,6 +266,7 @@ def test_codes_of_awkward_texts(spark, awkward, monkeypatch):
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     texts += ["<|endoftext|>x<|startoftext|><|endoftext|>", "'S'LL'd", "q" * 3000]
     docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame([(5000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    assert 0 < len(word_bpe.frequent_words(docs, word_bpe.Vocabulary.load(path), 50)) <= 50
     for most in (50, 0):
         monkeypatch.setattr(word_bpe, "LEXICON", most)
         got = Counter((r.doc_id, r.n_tokens, tuple(r.ids)) for r in word_bpe.encode(docs, path).collect())
@@ -281,7 +282,7 @@ def test_lexicon_shares_endings():
     lexicon = word_bpe.Lexicon(word_bpe.compile_lexicon(entries))
     assert len(lexicon.final) == 7
     found = lexicon.find([b"tops", b"to", b"topss", b"", b"stop"])
-    assert [None if x is None else x.tolist() for x in found] == [[3], None, None, None, [4]]
+    assert [None if x is None else np.frombuffer(x, "<u4").tolist() for x in found] == [[3], None, None, None, [4]]
 
 
 def test_urls(spark):
