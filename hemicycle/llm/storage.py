@@ -34,16 +34,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def payload_of(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
 def packer(limit: int):
     """Rows into blocks of at most ``limit`` bytes of text; a block is one compressed Arrow table with all columns."""
 
     def write(rows: list[pa.RecordBatch], number: int, size: int) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            out.write_table(table)
+        payload = payload_of(pa.Table.from_batches(rows))
         return pa.RecordBatch.from_arrays(
-            [pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+            [pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
             ["block_id", "n_bytes", "payload"],
         )
 

@@ -8,10 +8,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import awkward_texts, prose
 
-from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, substring_dedup, suffix_dedup, url_rules, word_bpe
+from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, storage, substring_dedup, suffix_dedup, url_rules, word_bpe
 from hemicycle.llm.components import components
 from hemicycle.llm.suffix_array import DEPTH, SuffixArray
 
@@ -201,20 +202,27 @@ def test_search_is_exact(awkward):
     assert Counter((r.query_id, r.rank, r.score) for r in got) == expected
 
 
-@pytest.mark.parametrize("seed", range(20))
-def test_block_max_wand_finds_the_best(seed, monkeypatch):
-    monkeypatch.setattr(search, "POSTINGS", 3)
+@pytest.mark.parametrize("seed", range(12))
+def test_skipped_blocks_hold_no_best_row(seed, monkeypatch):
+    monkeypatch.setattr(search, "ROWS", 3)
+    monkeypatch.setattr(search, "FIRST", 2)
     rng = random.Random(seed)
-    lists, total = [], Counter()
-    for _ in range(rng.randint(0, 6)):
-        rows = sorted(rng.sample(range(80), rng.randint(1, 60)))
-        scores = [rng.randint(0, 9) for _ in rows]
-        for r, s in zip(rows, scores, strict=True):
-            total[r] += s
-        cuts = range(0, len(rows), 3)
-        lists.append((rows, scores, [rows[min(c + 3, len(rows)) - 1] for c in cuts], [max(scores[c : c + 3]) for c in cuts], max(scores)))
-    best = sorted(((s, r) for r, s in total.items() if s), key=lambda x: (-x[0], x[1]))[:5]
-    assert search.block_max_wand(lists, 5) == best
+    names = [f"t{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(names[: rng.randint(1, 12)]) for _ in range(rng.randint(0, 9))) for _ in range(90)]
+    table = pa.table({"doc_id": pa.array(range(90)), "text": texts})
+    index = search.Index(storage.payload_of(table), 4.5)
+    asked = rng.sample(names, 5)
+    idfs = np.array([rng.random() * 3 for _ in asked])
+    expected = []
+    for row, text in enumerate(texts):
+        words = text.split()
+        parts = [words.count(t) * 2.2 / (words.count(t) + 1.2 * (0.25 + 0.75 * len(words) / 4.5)) for t in asked]
+        score = sum(int(np.floor(p * i * search.UNIT + 0.5)) for p, i in zip(parts, idfs, strict=True))
+        expected += [(score, row)] if score else []
+    expected.sort(key=lambda x: (-x[0], x[1]))
+    found = index.top(search.hashes_of(asked), idfs, 7)
+    assert [r for _, r in found] == [r for _, r in expected[:7]]
+    assert np.allclose([s for s, _ in found], [s for s, _ in expected[:7]], atol=5)
 
 
 def test_mix_meets_its_targets(awkward):
