@@ -1,9 +1,9 @@
 """Jaccard join of word-shingle sets by group counts.
 
-Shingles are hashed into groups. Two sets that are similar enough differ in at most ``d`` shingles, so of ``d + 1``
-groups at least one holds the same shingles in both: documents meet over the contents of equal groups, and documents
-that meet, directly or through others, form a cluster. Within a cluster the counts of a set over fixed groups are a
-point; points are packed into an R-tree whose nodes keep the largest count of each group, and the sum of the smaller
+Shingles are hashed into ``m`` groups. Two sets that are similar enough differ in at most ``d`` shingles, so at least
+``m - d`` groups hold the same shingles in both. Documents of which so many groups occur elsewhere meet over the
+contents of equal groups, and those that meet, directly or through others, form a cluster; the others are similar to
+nothing. Within a cluster the counts of a set over fixed groups are a point; points are packed into an R-tree whose nodes keep the largest count of each group, and the sum of the smaller
 counts bounds the overlap. Only pairs that pass the bound are compared shingle by shingle.
 
 Identical sets are one point. A cluster too large for a task is dealt by set size into pieces, and only pieces whose
@@ -33,14 +33,19 @@ from hemicycle.llm.hashing import LOWER, U64, Ranges, Words, mix
 from hemicycle.llm.shared_keys import flags, n_ranges, rows, shared, with_answers
 from hemicycle.llm.storage import cut, pack, text_bytes, unpack, whole_groups
 
-#: Ratio of the set sizes at the two ends of a size band.
-BAND = 1.2
+#: Ratio of the set sizes at the two ends of a size band, and groups for each shingle that similar sets may differ in.
+BAND, SPARE = 1.5, 1.3
+#: Upper bytes of a group's key that are counted over the corpus; as many groups must agree, chance ones do no harm.
+WIDTH = 6
 #: Coordinates of a point, points of a leaf, children of a node.
 GROUPS, LEAF, FAN = 64, 16, 8
 #: Sets of a piece; a cluster with more is dealt by size.
 PIECE = 1024
 
 
+UPPER = U64((1 << 64) - (1 << 8 * (8 - WIDTH)))
+
+
 @dataclass(frozen=True)
 class Similarity:
     """Sets a and b are similar if 100 * |a & b| >= percent * |a | b|."""
@@ -59,23 +64,14 @@ class Similarity:
     def bands(self, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each size band: its first size, the smallest partner size, and the number of groups.
 
-        A pair belongs to the band of its larger set. Groups beyond the possible difference leave room for empty
-        ones, so that a shared group that is not empty remains.
+        A pair belongs to the band of its larger set. Sets of a band without groups are similar only if equal.
         """
         first = [1]
         while first[-1] <= 100 * largest // self.percent:
             first.append(max(first[-1] + 1, int(first[-1] * BAND)))
-        least, groups = [], []
-        for lo, hi in zip(first[:-1], first[1:], strict=True):
-            small = -(-self.percent * lo // 100)
-            differ = self.differ(hi - 1)
-            spare = 1
-            for _ in range(4):
-                empty = (differ + 1 + spare) * math.exp(-small / (differ + 1 + spare))
-                spare = math.ceil(empty + 4 * math.sqrt(empty))
-            least.append(small)
-            groups.append(1 + differ + spare if differ else 0)
-        return np.array(first), np.array(least), np.array(groups)
+        least = [-(-self.percent * lo // 100) for lo in first[:-1]]
+        differ = [self.differ(hi - 1) for hi in first[1:]]
+        return np.array(first), np.array(least), np.array([math.ceil(SPARE * d) + 1 if d else 0 for d in differ])
 
 
 class Sets:
@@ -107,11 +103,14 @@ class Sets:
             out.append(mix(sums).view(np.int64))
         return out[0], out[1]
 
-    def signatures(self) -> tuple[np.ndarray, np.ndarray]:
-        """(row, key): the contents of each group of each document, hashed with the band and the group."""
+    def signatures(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(case, key) and the row of each case: for each document and band the contents of its groups, hashed.
+
+        ``needed`` holds how many of a case's keys must occur elsewhere if the document is similar to another.
+        """
         first, least, groups = self.alike.bands(int(self.sizes.max(initial=1)))
         own = np.searchsorted(first, self.sizes, "right") - 1
-        found = []
+        found, rows_, needed, cases = [], [], [], 0
         for shift in range(len(least)):  # its own band, and those of larger partners
             band = own + shift
             ok = (self.sizes > 0) & (band < len(least))
@@ -119,11 +118,12 @@ class Sets:
             ok &= self.sizes >= least[band]
             if not ok.any():
                 break
-            ok &= groups[band] > 0
             n = np.where(ok, groups[band], 0)
             base = np.concatenate([[0], np.cumsum(n)])
-            inside = ok[self.row]
+            inside = n[self.row] > 0
             row, hashes = self.row[inside], self.hashes[inside]
+            if not len(row):
+                continue
             at = base[row] + (mix(hashes ^ U64(0x7F4A7C15)) % n[row].astype(U64)).astype(np.int64)
             sums = np.zeros(base[-1], U64)
             np.add.at(sums, at, hashes)
@@ -131,13 +131,32 @@ class Sets:
             owner = np.repeat(np.arange(len(n)), n)
             group = np.arange(base[-1]) - base[owner]
             keys = mix(sums ^ mix((band[owner].astype(U64) << U64(32)) | group.astype(U64)))
-            empty = np.bincount(owner[~full], minlength=len(n))
-            few = n - empty <= self.alike.differ(first[band + 1] - 1)  # all equal groups of a similar pair may be empty
-            use = full | few[owner]
-            found.append((owner[use], keys[use]))
+            must = n - self.alike.differ(first[band + 1] - 1) - np.bincount(owner[~full], minlength=len(n))
+            use = full | (must <= 0)[owner]  # all equal groups of a similar pair may be empty
+            found.append((owner[use] + cases, keys[use]))
+            rows_.append(np.arange(len(n)))
+            needed.append(np.maximum(must, 1))
+            cases += len(n)
         if not found:
-            return np.zeros(0, np.int64), np.zeros(0, U64)
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            self.needed = np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64)
+        self.needed = np.concatenate(needed)
+        case, keys = (np.concatenate(x) for x in zip(*found, strict=True))
+        return case, keys, np.concatenate(rows_)
+
+    def counted(self) -> np.ndarray:
+        """The keys as they are counted over the corpus."""
+        return self.signatures()[1] & UPPER
+
+    def met(self, answer: list[dict] | None, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, key) of the keys that occur elsewhere, of the cases with as many as a similar document asks for."""
+        case, keys, rows_ = self.signatures()
+        if not len(keys):
+            return case, keys
+        again = flags(keys & UPPER, answer, ranges)
+        passes = np.bincount(case[again], minlength=len(rows_)) >= self.needed
+        again &= passes[case]
+        return rows_[case[again]], keys[again]
 
 
 class CountTree:
@@ -230,15 +249,14 @@ def near_groups(docs: DataFrame, alike: Similarity = Similarity()) -> tuple[Data
     """
     blocks = pack(docs)
     ranges = n_ranges(blocks)
-    met = shared(blocks, lambda r: Sets(r["payload"], alike).signatures()[1], ranges)
+    met = shared(blocks, lambda r: Sets(r["payload"], alike).counted(), ranges, WIDTH)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in rows(batches):
             found = Sets(block["payload"], alike)
             n = found.table.num_rows
-            owner, keys = found.signatures()
-            again = flags(keys, block["met"], ranges) if len(keys) else np.zeros(0, bool)
-            owner, keys = owner[again], keys[again].view(np.int64)
+            owner, keys = found.met(block["met"], ranges)
+            keys = keys.view(np.int64)
             order = np.argsort(owner, kind="stable")
             at = np.searchsorted(owner[order], np.arange(n + 1))
             one, two = found.identity()
@@ -282,7 +300,7 @@ def near_groups(docs: DataFrame, alike: Similarity = Similarity()) -> tuple[Data
 
 def similar_pairs(points: DataFrame, alike: Similarity) -> DataFrame:
     """Links (a, b) between row numbers, from points (rid, n_shingles, keys, shingles)."""
-    keyed = cut(points.select("rid", F.explode("keys").alias("key")))
+    keyed = points.select("rid", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.min("rid").alias("a"), F.max("rid").alias("z")).where("a < z").select("key", "a")
     clusters = components(keyed.join(met, "key").select("a", F.col("rid").alias("b")).where("a <> b").distinct())
     clusters = cut(clusters.select(F.col("node").alias("rid"), F.col("component").alias("cluster")))

@@ -37,8 +37,22 @@ def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
 
 
-def shared(blocks: DataFrame, keys: Keys, ranges: int) -> DataFrame:
-    """(block_id, answer): for each block, the bits of its keys, by range. ``keys`` takes a row of ``blocks``."""
+def packed(keys: np.ndarray, width: int) -> bytes:
+    """The upper bytes of little-endian keys."""
+    return keys.view(np.uint8).reshape(-1, 8)[:, 8 - width :].tobytes()
+
+
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, 8 - width :] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    return out.view(np.uint64).ravel()
+
+
+def shared(blocks: DataFrame, keys: Keys, ranges: int, width: int = 8) -> DataFrame:
+    """(block_id, answer): for each block, the bits of its keys, by range. ``keys`` takes a row of ``blocks``.
+
+    With a ``width`` below 8 only so many upper bytes are compared, and the lower ones must be zero.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows(batches):
@@ -51,14 +65,14 @@ def shared(blocks: DataFrame, keys: Keys, ranges: int) -> DataFrame:
                     [
                         pa.array(used, pa.int32()),
                         pa.array([row["block_id"]] * len(used), pa.int64()),
-                        pa.array([distinct[p].tobytes() for p in parts], pa.binary()),
+                        pa.array([packed(distinct[p], width) for p in parts], pa.binary()),
                         pa.array([np.packbits(counts[p] > 1).tobytes() for p in parts], pa.binary()),
                     ],
                     ["part", "block_id", "keys", "twice"],
                 )
 
     def answer(table: pa.Table) -> pa.Table:
-        found = [np.frombuffer(x, np.uint64) for x in table.column("keys").to_pylist()]
+        found = [unpacked(x, width) for x in table.column("keys").to_pylist()]
         every = np.concatenate(found)
         many = np.concatenate(
             [np.unpackbits(np.frombuffer(t, np.uint8), count=len(k)) for t, k in zip(table.column("twice").to_pylist(), found, strict=True)]
