@@ -5,6 +5,7 @@ from hemicycle.driver import (  # noqa: F401
     normalise_queries,
     operator_queries,
     page_queries,
+    raw_queries,
     store_queries,
 )
 from hemicycle.driver.registry import CHECKS, QUERIES

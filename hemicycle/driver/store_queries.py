@@ -21,7 +21,6 @@ from hemicycle.sinks.export import write_csv
 from hemicycle.sinks.lineage import stamp
 from hemicycle.sinks.manifest import TABLE_KEY, current, upsert
 from hemicycle.sinks.tables import replace_partitions, row_counts
-from hemicycle.sources.raw import fingerprints
 from hemicycle.sources.store import read_table
 
 TODAY = date(2003, 1, 15)
@@ -124,12 +123,6 @@ add_civic(
     lambda t: row_counts({name: t[name] for name in _COUNTED}),
     " UNION ALL ".join(f"SELECT '{name}' AS tabela, count(*) AS n FROM {name}" for name in _COUNTED),
 )
-add(
-    "file_fingerprints",
-    lambda spark, sf_dir: fingerprints(spark, sf_dir, "*.parquet").select(
-        "file", "bytes", "sha256", "top_level_type", "top_level_len"
-    ),
-)
 
 # Store --------------------------------------------------------------------------------------
 

@@ -33,9 +33,8 @@ def read_files(spark: SparkSession, root: str, category: str = "*", lines: bool
 
 def read_texts(spark: SparkSession, root: str, category: str = "*") -> DataFrame:
     """Whole files as text."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    reader = reader.option("pathGlobFilter", f"{category}.json")
-    return reader.text(root).select(*origin(F.col("_metadata.file_path")), "value")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{category}.json")
+    return reader.text(root, wholetext=True).select(*origin(F.col("_metadata.file_path")), "value")
 
 
 def list_items(files: DataFrame) -> DataFrame:
@@ -81,10 +80,8 @@ def stage(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def fingerprints(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
-    """Size, hash and root of every raw file; `top_level_type` is null where the text is not JSON."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
-    text = F.col("content").cast("string")
+def described(content: Column, text: Column) -> list[Column]:
+    """Size, hash and JSON root of a content and its text; `top_level_type` is null where the text is not JSON."""
     items, names = F.json_array_length(text), F.size(F.json_object_keys(text))
     scalar = F.try_parse_json(text)
     kind = (
@@ -92,13 +89,21 @@ def fingerprints(spark: SparkSession, root: str, pattern: str = "*.json") -> Dat
         .when(names >= 0, "dict")
         .when(scalar.isNotNull(), F.lower(F.regexp_extract(F.schema_of_variant(scalar), r"^\w+", 0)))
     )
+    return [
+        F.octet_length(content).cast("long").alias("bytes"),
+        F.sha2(content, 256).alias("sha256"),
+        kind.alias("top_level_type"),
+        F.coalesce(items, F.when(names >= 0, names)).cast("long").alias("top_level_len"),
+    ]
+
+
+def fingerprints(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """Size, hash and root of every raw file. A file is one row here, so one of 2 GB or more is refused by the reader."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return files.select(
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
         F.regexp_extract("path", r"[^/]+/[^/]+$", 0).alias("path"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        kind.alias("top_level_type"),
-        F.coalesce(items, F.when(names >= 0, names)).cast("long").alias("top_level_len"),
+        *described(F.col("content"), F.col("content").cast("string")),
         utc_now_text().alias("downloaded_at"),
     )
 

@@ -58,6 +58,18 @@ def some_file(spark: SparkSession, directory: str) -> str | None:
     return None
 
 
+def rename_only_file(spark: SparkSession, folder: str, target: str) -> None:
+    """Give the one data file of a folder its place under another name."""
+    root, fs = _file_system(spark, folder)
+    files = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("part-")]
+    if len(files) != 1:
+        raise ValueError(f"{folder} holds {len(files)} files")
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(files[0], to):
+        raise OSError(f"cannot move {files[0]} to {target}")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     root, fs = _file_system(spark, path)
     return fs.exists(root)

@@ -19,8 +19,8 @@ from hemicycle.sources.raw import list_items, object_files, origin
 
 def landed(spark: SparkSession, landing: str) -> DataFrame:
     """A stream of raw files under `<landing>/<run>/<legislature>/<category>.json`."""
-    reader = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True)
-    files = reader.option("pathGlobFilter", "*.json").text(landing)
+    reader = spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    files = reader.text(landing, wholetext=True)
     return files.select(*origin(F.col("_metadata.file_path")), F.col("_metadata.file_path").alias("__path"), "value")
 
 
@@ -35,13 +35,12 @@ def start_refresh(spark: SparkSession, landing: str, store: str, checkpoint: str
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         files = newest(batch)
-        found = sorted(r["_categoria"] for r in files.select("_categoria").distinct().collect())
-        for name in found:
-            if name in CATEGORIES:
-                category = CATEGORIES[name]
-                own = files.filter(F.col("_categoria") == name)
-                docs = list_items(own) if category.root == "list" else object_files(own.withColumn("v", parse(F.col("value"))))
-                store_category(batch.sparkSession, category, docs, store, run=f"batch-{batch_id}")
+        known = files.filter(F.col("_categoria").isin(*CATEGORIES))
+        for name in sorted(r["_categoria"] for r in known.select("_categoria").distinct().collect()):
+            category = CATEGORIES[name]
+            own = known.filter(F.col("_categoria") == name)
+            docs = list_items(own) if category.root == "list" else object_files(own.withColumn("v", parse(F.col("value"))))
+            store_category(batch.sparkSession, category, docs, store, run=f"batch-{batch_id}")
 
     stream = landed(spark, landing)
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

@@ -109,12 +109,13 @@ def test_exact_median(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x int")
     known = [v for v in values if v is not None]
     expected = int(median(known)) if known else None
-    assert aggregates.int_median(df, "x").first().median == expected
+    found = aggregates.sum_and_median(df, "x").first()
+    assert (found.median, found.total) == (expected, sum(known))
 
 
 def test_median_of_many(hot):
     rows, df = hot
-    assert aggregates.int_median(df, "x").first().median == int(median([x for _, _, x in rows]))
+    assert aggregates.sum_and_median(df, "x").first().median == int(median([x for _, _, x in rows]))
 
 
 def test_skewed_partition_is_split_when_written(spark, tmp_path):
@@ -133,3 +134,14 @@ def test_skewed_partition_is_split_when_written(spark, tmp_path):
         spark.conf.set(name, before)
     files = {leg: len(list((tmp_path / "t" / f"_legislatura={leg}").glob("*.parquet"))) for leg in ("01", "17")}
     assert files["17"] > 1 and files["01"] == 1
+
+
+def test_no_registered_plan_has_a_cross_or_nested_loop_join(spark, sf_dir):
+    from hemicycle.driver import QUERIES
+
+    found = []
+    for name, query in QUERIES.items():
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        if "BroadcastNestedLoopJoin" in plan or "CartesianProduct" in plan:
+            found.append(name)
+    assert found == []

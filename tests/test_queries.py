@@ -29,12 +29,6 @@ def test_matches_sql(spark, duck, sf_dir, name):
     assert problem is None
 
 
-def test_fingerprints_of_the_given_files(spark, sf_dir):
-    rows = QUERIES["file_fingerprints"](spark, sf_dir).collect()
-    assert len(rows) == 14
-    assert all(len(r.sha256) == 64 and r.top_level_type is None for r in rows)
-
-
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
 
