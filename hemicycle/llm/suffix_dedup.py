@@ -33,8 +33,8 @@ SHORT = 16
 LONGEST = 1024
 #: Different runs of one least hash that one task sorts; those beyond are dealt to more tasks.
 CROWD = 512
-#: Runs sorted at once.
-BATCH = 4096
+#: Runs sorted at once, and places where the runs of a crowd meet its number of tasks.
+BATCH, SALTS = 2048, 32
 
 
 def least_within(values: np.ndarray, width: int) -> np.ndarray:
@@ -125,7 +125,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     place = F.struct(F.xxhash64("block_id", "start").alias("any"), "block_id", "start", "n")  # one block would serve all
     distinct = cut(found.groupBy("least", "content").agg(F.count("*").alias("copies"), F.min(place).alias("at")))
     crowds = distinct.groupBy("least").agg(F.ceil(F.count("*") / CROWD).alias("tasks")).where("tasks > 1")
-    wanted = distinct.join(crowds, "least", "left").select(
+    # a crowd's runs meet its number of tasks in SALTS places
+    crowds = crowds.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    distinct = distinct.withColumn("salt", F.pmod(F.xxhash64("content"), F.lit(SALTS)).cast("int"))
+    wanted = distinct.join(crowds, ["least", "salt"], "left").select(
         F.col("at.block_id").alias("block_id"),
         F.struct(
             F.xxhash64("least", F.pmod("content", F.coalesce("tasks", F.lit(1)))).alias("unit"),
