@@ -262,7 +262,12 @@ def votes(
     ranking = [down("data_vot")]
     if kinds or text:
         matching = keep(details, one_of("IniDescTipo", kinds), search(["IniTitulo"], text))
-        page = _first(rows.join(matching, on), ranking, limit, tie_break)
+        if limit is not None:
+            # Keys and date find the page; the texts of a vote are read for the page only.
+            keys = list(dict.fromkeys([*tie_break, *on]))
+            found = having(rows.select(*keys, "data_vot"), matching, on)
+            rows = among(rows, page_ids(found, keys, ranking, limit), keys)
+        page = rows.join(matching, on)
     else:
         page = _first(rows, ranking, limit, tie_break).join(details, on, "left")
     return _first(page, ranking, limit, tie_break).select(
@@ -585,7 +590,7 @@ def approved_acts(
     )
     if order == "published_desc":
         # This order needs the publication date of every match, and only that.
-        matches = attach(base, published, ["Id"], first_publication()[:1])
+        matches = attach(base, having(published, base, ["Id"]), ["Id"], first_publication()[:1])
     page = _Page.of(matches, ["Id"], ranking, limit)
     full = attach(page.rows(base, base), page.satellite(published), ["Id"], first_publication())
     origin = [ordered_text_list("IniTipo || ' ' || IniNr").alias("iniciativas_origem")]
