@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -286,7 +285,7 @@ def near_groups(docs: DataFrame, alike: Similarity = Similarity()) -> tuple[Data
     links = cut(similar_pairs(points, alike))
     found = distinct.join(components(links).withColumnRenamed("node", "rep"), "rep", "left")
     found = found.withColumn("component", F.coalesce("component", "rep"))
-    lowest = found.groupBy("component").agg(F.min("low").alias("component_id"), F.min(F.struct(F.col("low").isNull().alias("no"), "low")).alias("first"))
+    lowest = found.groupBy("component").agg(F.min("low").alias("component_id"))
     found = found.join(lowest, "component").select(*same, "component", "component_id")
     out = described.select("block_id", "place", "rid", "doc_id", *same).join(found, same, "left")
     first = (
@@ -335,11 +334,9 @@ def similar_pairs(points: DataFrame, alike: Similarity) -> DataFrame:
             job, rid, side = (table.column(c).to_numpy() for c in ("job", "rid", "side"))
             sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
             at = np.concatenate([[0], np.flatnonzero(job[1:] != job[:-1]) + 1, [len(job)]])
-            links = reduce(
-                list.__iadd__,
-                ([(rid[a + i], rid[a + j]) for i, j in forest(sets[a:z], side[a:z], alike)] for a, z in zip(at[:-1], at[1:], strict=True)),
-                [],
-            )
+            links = [
+                (rid[a + i], rid[a + j]) for a, z in zip(at[:-1], at[1:], strict=True) for i, j in forest(sets[a:z], side[a:z], alike)
+            ]
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 

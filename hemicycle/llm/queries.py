@@ -51,21 +51,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
-s AS (SELECT doc_id, x, unnest(range(0, CAST(length(x) // 2 - 399 AS BIGINT))) AS i FROM d WHERE length(x) >= 800),
-h AS (SELECT doc_id, i, md5(substr(x, CAST(2 * i + 1 AS BIGINT), 800)) AS k FROM s),
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+s AS (SELECT doc_id, x, unnest(range(0, CAST(octet_length(x) - 399 AS BIGINT))) AS i FROM d WHERE octet_length(x) >= 400),
+h AS (SELECT doc_id, i, md5(x[i + 1:i + 400]) AS k FROM s),
 r AS (SELECT k FROM h GROUP BY k HAVING count(*) > 1),
 m AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS g FROM h SEMI JOIN r USING (k)),
 b AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS z FROM m GROUP BY doc_id, g),
 o AS (SELECT *, max(z) OVER (PARTITION BY doc_id ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM b),
 q AS (SELECT *, sum(CASE WHEN p >= a THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY a) AS grp FROM o),
 u AS (SELECT doc_id, min(a) AS a, max(z) AS z FROM q GROUP BY doc_id, grp),
-l AS (SELECT doc_id, list(a ORDER BY a) AS las, list(z ORDER BY a) AS lzs, sum(z - a) AS gone, count(*) AS n FROM u GROUP BY doc_id)
-SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(CASE WHEN gone IS NULL THEN x ELSE array_to_string(list_transform(range(0, CAST(n + 1 AS BIGINT)),
-         lambda j: substr(x, CAST(2 * (CASE WHEN j = 0 THEN 0 ELSE lzs[j] END) + 1 AS BIGINT),
-                          CAST(2 * ((CASE WHEN j = n THEN length(x) // 2 ELSE las[j + 1] END) - (CASE WHEN j = 0 THEN 0 ELSE lzs[j] END)) AS BIGINT))), '') END)) AS kept_sha256
-FROM d LEFT JOIN l USING (doc_id)
+l AS (SELECT doc_id, list(a ORDER BY a) AS las, list(z ORDER BY a) AS lzs, sum(z - a) AS gone, count(*) AS n FROM u GROUP BY doc_id),
+e AS (SELECT doc_id, x, gone, n, list_prepend(0, lzs) AS starts, list_append(las, octet_length(x)) AS ends FROM d LEFT JOIN l USING (doc_id))
+SELECT doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN gone IS NULL THEN x ELSE list_reduce(list_transform(range(1, CAST(n + 2 AS BIGINT)),
+         lambda j: CASE WHEN ends[j] > starts[j] THEN x[starts[j] + 1:ends[j]] ELSE ''::BLOB END), lambda left_, right_: left_ || right_) END) AS kept_sha256
+FROM e
 """
 
 
