@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from hemicycle.driver.documents import document_sql, documents, table_check
 from hemicycle.driver.registry import add, add_civic
-from hemicycle.driver.roles import CivicTables, read_source
+from hemicycle.driver.roles import CivicTables
 from hemicycle.operators import aggregates
 from hemicycle.plans import calendar
 from hemicycle.plans.categories import CATEGORIES
