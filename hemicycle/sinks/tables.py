@@ -51,16 +51,15 @@ def finalise(
     legislatures: Sequence[str],
     hashes: DataFrame | None = None,
 ) -> DataFrame:
-    """Lineage, partition replacement and one manifest record per legislature, which it returns."""
+    """Lineage, partition replacement and one manifest record per legislature, with all its source files; returns the records."""
     spark = df.sparkSession
     path = f"{store}/tables/{table}"
     stamped = stamp(df, normalizer, hashes)
     replace_partitions(stamped, path, legislatures)
     own = f"_source_file string, _source_sha256 string, {PARTITION} string"
     written = spark.read.schema(own).parquet(path).filter(F.col(PARTITION).isin(list(legislatures)))
-    counted = written.groupBy(PARTITION).agg(
-        F.count("*").alias("rows"), F.max("_source_file").alias("source_file"), F.max("_source_sha256").alias("source_sha256")
-    )
+    every = lambda c: F.when(F.count(c) > 0, F.array_join(F.array_sort(F.collect_set(c)), ",")).alias(c.removeprefix("_"))
+    counted = written.groupBy(PARTITION).agg(F.count("*").alias("rows"), every("_source_file"), every("_source_sha256"))
     values = F.array(*[F.lit(v) for v in legislatures]).cast("array<string>")
     wanted = spark.range(1).select(F.explode(values).alias(PARTITION))
     records = wanted.join(counted, PARTITION, "left").select(

@@ -248,3 +248,24 @@ def test_refresh_takes_each_landed_file_once(spark, tmp_path):
     start_refresh(spark, str(landing), store, marks).awaitTermination()
     rows = {(r._legislatura, r.IniId) for r in read_table(spark, f"{store}/tables/iniciativas").collect()}
     assert rows == {("16", "1"), ("17", "5")}
+
+
+def test_refresh_passes_over_an_older_run_that_lands_later(spark, tmp_path):
+    landing, store, marks = tmp_path / "landing", str(tmp_path / "store"), str(tmp_path / "marks")
+    write(landing / "run2" / "17" / "iniciativas.json", [initiative(5, [])])
+    start_refresh(spark, str(landing), store, marks).awaitTermination()
+    write(landing / "run1" / "17" / "iniciativas.json", [initiative(1, [])])
+    write(landing / "run1" / "16" / "iniciativas.json", [initiative(2, [])])
+    start_refresh(spark, str(landing), store, marks).awaitTermination()
+    rows = {(r._legislatura, r.IniId) for r in read_table(spark, f"{store}/tables/iniciativas").collect()}
+    assert rows == {("16", "2"), ("17", "5")}
+
+
+def test_list_files_over_several_lines_are_read_whole(spark, tmp_path):
+    path = tmp_path / "17" / "iniciativas.json"
+    path.parent.mkdir(parents=True)
+    path.write_text("[\n" + ",\n".join(json.dumps(initiative(i, []), indent=1) for i in range(3)) + "\n]\n")
+    from hemicycle.plans.categories import CATEGORIES
+    from hemicycle.sources.raw import read_category
+
+    assert read_category(spark, str(tmp_path), CATEGORIES["iniciativas"]).count() == 3
