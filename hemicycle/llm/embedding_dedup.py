@@ -28,7 +28,7 @@ from hemicycle.llm.components import components
 from hemicycle.llm.storage import cut
 
 #: Rows of a block, and of the sequences that are compared whole.
-BLOCK, LEAF = 1024, 128
+BLOCK, LEAF = 4096, 128
 #: Leading axes whose cells give the order, and those whose cells blocks meet over.
 ORDERED, MET = 4, 3
 #: Added to squared distances when skipping, for rounding.
@@ -157,7 +157,7 @@ def links(points: DataFrame, cosine: float, width: int) -> tuple[DataFrame, Data
     order = [f"c{k}" for k in range(ORDERED)]
     cells = ", ".join(f"{c} long" for c in order)
     located = points.mapInArrow(locate, f"node long, copies long, {cells}, row binary")
-    parts = max(1, points.count() // (4 * BLOCK))
+    parts = max(1, points.count() // BLOCK)
     located = located.repartitionByRange(parts, *order, "node").sortWithinPartitions(*order, "node")
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
