@@ -12,23 +12,22 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003)).first())
 
 
-def _with_least(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) and the smallest node among a and all its b."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return edges.join(least, "a")
+def _least(edges: DataFrame) -> DataFrame:
+    """(a, m): the smallest node among a and all its b."""
+    return edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
 
 
 def _to_least(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours point to the smallest of them."""
-    near = _with_least(edges)
-    out = near.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(near.select("a", F.col("m").alias("b")))
-    return out.where("a > b").distinct()
+    least = _least(edges)
+    near = edges.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return near.unionByName(least.where("a > m").select("a", F.col("m").alias("b"))).distinct()
 
 
 def _larger_to_least(edges: DataFrame) -> DataFrame:
-    """The larger neighbours of each node point to the smallest of it and its neighbours."""
+    """The larger neighbours of each node point to the smallest of it and its neighbours; edges may repeat."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return _with_least(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+    return both.join(_least(both), "a").where("b > a AND b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -105,11 +105,12 @@ class Sets:
     def signatures(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(case, key) and the row of each case: for each document and band the contents of its groups, hashed.
 
-        ``needed`` holds how many of a case's keys must occur elsewhere if the document is similar to another.
+        ``needed`` holds how many of a case's keys must occur elsewhere if the document is similar to another, and ``early``
+        which keys belong to its first groups, of which only so many others are left.
         """
         first, least, groups = self.alike.bands(int(self.sizes.max(initial=1)))
         own = np.searchsorted(first, self.sizes, "right") - 1
-        found, rows_, needed, cases = [], [], [], 0
+        found, rows_, needed, early, cases = [], [], [], [], 0
         for shift in range(len(least)):  # its own band, and those of larger partners
             band = own + shift
             ok = (self.sizes > 0) & (band < len(least))
@@ -132,14 +133,15 @@ class Sets:
             keys = mix(sums ^ mix((band[owner].astype(U64) << U64(32)) | group.astype(U64)))
             must = n - self.alike.differ(first[band + 1] - 1) - np.bincount(owner[~full], minlength=len(n))
             use = full | (must <= 0)[owner]  # all equal groups of a similar pair may be empty
+            early.append((group <= (n - np.maximum(must, 1))[owner])[use])
             found.append((owner[use] + cases, keys[use]))
             rows_.append(np.arange(len(n)))
             needed.append(np.maximum(must, 1))
             cases += len(n)
         if not found:
-            self.needed = np.zeros(0, np.int64)
+            self.needed, self.early = np.zeros(0, np.int64), np.zeros(0, bool)
             return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64)
-        self.needed = np.concatenate(needed)
+        self.needed, self.early = np.concatenate(needed), np.concatenate(early)
         case, keys = (np.concatenate(x) for x in zip(*found, strict=True))
         return case, keys, np.concatenate(rows_)
 
@@ -148,13 +150,16 @@ class Sets:
         return self.signatures()[1] & UPPER
 
     def met(self, answer: list[dict] | None, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-        """(row, key) of the keys that occur elsewhere, of the cases with as many as a similar document asks for."""
+        """(row, key) of the keys that occur elsewhere, of the cases with as many as a similar document asks for.
+
+        As two similar documents share so many of the groups, they share one among the first groups already.
+        """
         case, keys, rows_ = self.signatures()
         if not len(keys):
             return case, keys
         again = flags(keys & UPPER, answer, ranges)
         passes = np.bincount(case[again], minlength=len(rows_)) >= self.needed
-        again &= passes[case]
+        again &= passes[case] & self.early
         return rows_[case[again]], keys[again]
 
 
