@@ -168,6 +168,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
 
 
+K_SQL = "k AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY tf * idf DESC, word) <= 16)"
+
+
+@query("whole_topk_search", OP6_SQL.replace(K_SQL, "k AS (SELECT * FROM q)"))
+def whole_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of a query row counts, where ``op6_topk_search`` and its SQL take 16."""
+    return search.search(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0, terms=None)
+
+
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")

@@ -202,6 +202,27 @@ def test_search_is_exact(awkward):
     assert Counter((r.query_id, r.rank, r.score) for r in got) == expected
 
 
+def test_whole_queries_ask_for_all_their_words(awkward):
+    rows = awkward.select("doc_id", "text").collect()
+    docs = [Counter(words_of(re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))) for r in rows]
+    n, mean = len(docs), sum(sum(d.values()) for d in docs) / len(docs)
+    df = Counter(w for d in docs for w in d)
+    weight = {w: np.log(1 + (n - c + 0.5) / (c + 0.5)) for w, c in df.items()}
+    expected = Counter()
+    for r, d in zip(rows, docs, strict=True):
+        scored = []
+        for k, e in enumerate(docs):
+            length = sum(e.values())
+            parts = [np.floor(e[t] * 2.2 / (e[t] + 1.2 * (0.25 + 0.75 * length / mean)) * weight[t] * 1e6 + 0.5) for t in d if t in e]
+            if parts:
+                scored.append((-int(sum(parts)), rows[k].doc_id is None, rows[k].doc_id or 0))
+        for rank, (score, _, _) in enumerate(sorted(scored)[:10], 1):
+            expected[r.doc_id, rank, -score] += 1
+    assert max(map(len, docs)) > 16
+    got = search.search(awkward, awkward["doc_id"].isNull() | (awkward["doc_id"] >= 0), terms=None).collect()
+    assert Counter((r.query_id, r.rank, r.score) for r in got) == expected
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_skipped_blocks_hold_no_best_row(seed, monkeypatch):
     monkeypatch.setattr(search, "ROWS", 3)
@@ -326,6 +347,10 @@ def test_contained_detections_are_dropped():
     assert [r.label for *_, r in sorted(found, key=lambda d: d[0])] == ["lgpl", "mit"]
 
 
+def test_whole_queries_of_an_empty_table(nothing):
+    assert search.search(nothing, nothing["doc_id"] % 20 == 0, terms=None).count() == 0
+
+
 def test_empty_tables(spark, nothing):
     assert substring_dedup.remove_repeats(nothing).count() == 0
     assert suffix_dedup.remove_repeats(nothing).count() == 0
