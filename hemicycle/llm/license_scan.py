@@ -1,7 +1,7 @@
 """License detections by ordered signature rules.
 
-A rule is a regular expression with a label, a priority, a confidence and a keyword that any match holds. Only texts
-with the keyword run the expression. Of overlapping detections, one that lies inside another of higher priority, or of
+A rule is a regular expression with a label, a priority, a confidence and keywords that any match holds. Only texts
+with all keywords run the expression. Of overlapping detections, one that lies inside another of higher priority, or of
 the same priority and longer, is dropped. Phrases, words that stand consecutively, are rules whose every place counts:
 their labels stay whatever lies around them.
 
@@ -92,7 +92,7 @@ FORMS = (
     (50, 0.8, r"(?:NAME)VERSION", True, ""),
     (40, 0.7, r"(?:NAME)", False, ""),
 )
-#: Statements that name no license: label, priority, confidence, keyword, expression.
+#: Statements that name no license: label, priority, confidence, single words that any match holds, expression.
 STATEMENTS = (
     ("all-rights-reserved", 30, 0.6, "rights reserved", r"all rights reserved"),
     ("copyright", 20, 0.5, "copyright", r"copyright (?:\(c\) )?(?:\d{4}|by )"),
@@ -124,7 +124,7 @@ def literals(name: str) -> tuple[bytes, ...]:
 
 def rules() -> tuple[Rule, ...]:
     """Signature rules by falling priority: each form of each license by each of its names, and the statements."""
-    found = [Rule(label, p, c, (k.encode(),), whole(x)) for label, p, c, k, x in STATEMENTS]
+    found = [Rule(label, p, c, tuple(k.encode().split()), whole(x)) for label, p, c, k, x in STATEMENTS]
     for label, (names, versions) in LICENSES.items():
         numbers = "|".join(re.escape(v) for v in sorted(filter(None, versions.split("|")), key=len, reverse=True))
         version = rf"^(?:version |v\.? ?|ver\. )?(?:{numbers})" if numbers else ""

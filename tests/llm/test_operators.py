@@ -347,6 +347,25 @@ def test_contained_detections_are_dropped():
     assert [r.label for *_, r in sorted(found, key=lambda d: d[0])] == ["lgpl", "mit"]
 
 
+def test_keywords_pass_all_detections(spark):
+    plain = [
+        "All rights reserved", "put in the public domain", "without any warranty", "copyright (c) 2001", "licensed under the terms of the mit license",
+        "spdx-license-identifier: gpl", "gnu lesser general public license version 2.1", "copy of the apache licence", "cc by nc sa 4.0",
+        "under the conditions of the university of illinois/ncsa open source license", "do what the fuck you want to public license",
+    ]
+    texts = [t.replace(" ", gap) for t in plain for gap in (" ", "\n", "\t", "  ", "\r\n ")]
+    scanner = license_scan.Scanner()
+    expected = {}
+    for i, text in enumerate(texts):
+        low = text.lower().encode()
+        every = license_scan.surviving([(*m.span(), rule) for rule in scanner.rules for m in re.finditer(rule.pattern, low)])
+        assert every, text
+        expected[i] = sorted((a, b, r.label, r.priority) for a, b, r in every)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: sorted((d.start, d.end, d.label, d.priority) for d in r.detections) for r in license_scan.scan(docs).collect()}
+    assert got == expected
+
+
 def test_whole_queries_of_an_empty_table(nothing):
     assert search.search(nothing, nothing["doc_id"] % 20 == 0, terms=None).count() == 0
 
