@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, substring_dedup, suffix_dedup, url_rules, word_bpe
+from hemicycle.llm import (
+    embedding_dedup,
+    fill_in_middle,
+    jaccard_join,
+    license_scan,
+    mixing,
+    periodic_runs,
+    quality,
+    quality_rules,
+    search,
+    substring_dedup,
+    suffix_dedup,
+    url_rules,
+    word_bpe,
+)
 from hemicycle.llm.registry import CHECKS, QUERIES, query, table
 
 __all__ = ["CHECKS", "QUERIES"]
@@ -131,6 +144,8 @@ VOCABULARY = "word_bpe_49k.json"
 
 @query("op7_bpe_codec")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     return word_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), digests=True)
 
 
@@ -180,3 +195,124 @@ def whole_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_license_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII or UTF-8, by a step a byte with the table of all byte values."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    bytes_ = f"list_transform(range(1, CAST(octet_length(encode({text})) AS BIGINT) + 1), lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))"
+    step = f"lambda c, b: xor({table}[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), {step}), 4294967295)"
+
+
+_LOWER = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
+]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS ls FROM d),
+x AS (SELECT rid, i, w[i:i + 2] AS k FROM w, unnest(range(1, CAST(len(w) AS BIGINT) - 1)) AS u(i)),
+r AS (SELECT rid, i FROM x QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
+c AS (SELECT rid, count(DISTINCT i + o) AS n FROM r, unnest(range(0, 3)) AS u(o) GROUP BY rid),
+tok AS (SELECT rid, doc_id, regexp_extract_all({_LOWER}, '{quality_rules.TOKEN}') AS k FROM d),
+g AS (SELECT rid, doc_id, k[i] AS s FROM tok, unnest(range(1, CAST(len(k) AS BIGINT) + 1)) AS u(i)
+      UNION ALL SELECT rid, doc_id, k[i] || ' ' || k[i + 1] FROM tok, unnest(range(1, CAST(len(k) AS BIGINT))) AS u(i)),
+v AS (SELECT s, {crc32_sql("s")} % 8192 AS b FROM (SELECT DISTINCT s FROM g)),
+good AS (SELECT DISTINCT doc_id, 1 AS one FROM labels WHERE quality = 1 AND {crc32_sql("CAST(doc_id AS VARCHAR)")} % 4 <> 2),
+m AS (SELECT b, count(*) AS n, count(one) AS t FROM g JOIN v USING (s) LEFT JOIN good USING (doc_id) GROUP BY b),
+z AS (SELECT sum(n) + 8192 AS ns, sum(t) + 8192 AS ts FROM m),
+q AS (SELECT b, CAST(floor(1000000 * (ln((t + 1) / ts::DOUBLE) - ln((n + 1) / ns::DOUBLE)) + 0.5) AS BIGINT) AS ratio FROM m, z),
+s AS (SELECT rid, CAST(sum(ratio) AS BIGINT) AS total, count(*) AS n FROM g JOIN v USING (s) JOIN q USING (b) GROUP BY rid),
+f AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(translate(t, '{quality_rules.SIGNS}', '')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+        CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, coalesce(s.total, 0) AS total, coalesce(s.n, 0) AS n
+      FROM w LEFT JOIN c USING (rid) LEFT JOIN s USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND total >= -300000 * n AS kept,
+       CASE WHEN n > 0 THEN CAST(total AS DOUBLE) / CAST(1000000 * n AS DOUBLE) ELSE 0::DOUBLE END AS log_ratio FROM f
+"""
+
+
+@query("op11_quality_rules", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, quality_rules.trusted_ids(table(spark, sf_dir, "labels"))))
+
+
+_DRAW = ", ".join(f"CAST('0x' || substr(d, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+OP12_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, {_DRAW} FROM t),
+n AS (SELECT *, CAST(len(u) AS BIGINT) AS n FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:z], '') AS middle, array_to_string(u[z + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+"""
+
+
+@query("op12_fill_in_middle", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all(text, '[^ 	-
+]+') END AS w,
+             {crc32_sql("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents),
+n AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM n),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM a),
+o AS (SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(0, n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) END AS w FROM p),
+k AS (SELECT rid, n, i, w[i + 1:i + 5] AS k FROM o, unnest(range(0, n - 4)) AS u(i) WHERE n >= 6),
+m AS (SELECT rid, n, i, k FROM k QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
+e AS (SELECT x.rid, x.i, y.i - x.i AS q FROM m x JOIN m y ON x.rid = y.rid AND x.k = y.k AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM e),
+r AS (SELECT rid, q, min(i) AS start, count(*) + 4 + q AS length FROM s GROUP BY rid, q, island HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+l AS (SELECT rid, start, length, min(q) AS period FROM r GROUP BY rid, start, length),
+b AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs,
+             arg_min({{'s': start, 'l': length, 'p': period}}, [-length, start, period]) AS best FROM l GROUP BY rid),
+g AS (SELECT DISTINCT rid, x FROM l, unnest(range(start + period, start + length)) AS u(x)),
+f AS (SELECT rid, list(x) AS gone FROM g GROUP BY rid)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.l AS BIGINT) AS length, CAST(best.p AS BIGINT) AS period,
+       CAST(1000 * best.l // best.p AS BIGINT) AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_where(w, list_transform(range(0, n), lambda x: NOT list_contains(gone, x))) END, ' ')) AS collapsed_sha256
+FROM o LEFT JOIN b USING (rid) LEFT JOIN f USING (rid)
+"""
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, one in ten of which goes on in a period from some word, by a checksum of its id."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+
+    def going_on(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % F.greatest(n, F.lit(1))).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        repeated = lambda at: F.transform(words, lambda w, i: F.when(i < at["a"], w).otherwise(F.get(words, at["a"] + (i - at["a"]) % at["p"])))
+        return F.array_join(quality_rules.let(F.struct(a.alias("a"), p.alias("p")), repeated), " ")
+
+    text = F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.when(h % 10 == 0, quality_rules.let(quality_rules.words_of(text), going_on)).otherwise(text).alias("text"))
+
+
+@query("op13_periodic_runs", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"), F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"), F.floor(1000 * F.col("best.l") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
