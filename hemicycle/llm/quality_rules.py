@@ -1,7 +1,7 @@
 """Quality rules of single documents and a log-likelihood ratio of hashed n-grams.
 
-Words and runs of signs, A-Z in lower case, and neighbouring pairs of them fall by CRC-32 into a fixed number of buckets.
-Two multinomials over the buckets, one of trusted documents and one of the whole corpus, each with one more count a
+Words and runs of signs fall by their CRC-32, and neighbouring pairs of them by 31 times the one's and once the other's,
+into a fixed number of buckets. Two multinomials over the buckets, one of trusted documents and one of the whole corpus, each with one more count a
 bucket, give each bucket the logarithm of its ratio. A document's score is the mean of its n-grams' ratios, so that its
 length does not matter. Every document is kept whose score reaches the threshold; nothing is drawn at random.
 
@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 #: What separates words, the signs that are counted, and the words and runs of signs that n-grams are made of.
 SEPARATORS = " \t\n\x0b\x0c\r"
 SIGNS = "#*$%&|<>"
-TOKEN = r"[^\x00-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+TOKEN = r"[0-9A-Za-z_\x{80}-\x{10FFFF}]+|[\x21-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+"
 UNIT = 1_000_000
 
 
@@ -54,34 +53,40 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, f"[{SEPARATORS}]+", -1), lambda w: w != "")
 
 
-def windows_of(words: Column, n: int) -> Column:
-    """Every ``n`` words in a row, joined by a space; no word holds one."""
-    rest = lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, n)])
-    return F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0))), rest)
+def heads(words: Column, n: int) -> Column:
+    """The words that begin a window of ``n``."""
+    return F.slice(words, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
 
 
-def in_repeats(windows: Column, n: int) -> Column:
-    """How many words lie in windows that stand more than once."""
+def in_repeats(words: Column, n: int) -> Column:
+    """How many words lie in windows of ``n`` that stand more than once.
 
-    def covered(sorted_: Column) -> Column:
-        twice = lambda s, j: (s["w"] == F.get(sorted_, j - 1)["w"]) | (s["w"] == F.get(sorted_, j + 1)["w"])
-        at = F.transform(F.filter(sorted_, twice), lambda s: F.sequence(s["i"], s["i"] + (n - 1)))
-        return F.size(F.array_distinct(F.flatten(at)))
+    Windows are sorted by hash, and those whose hash stands more than once by themselves.
+    """
+
+    def twice(sorted_: Column, field: str) -> Column:
+        alike = lambda s, j: (s[field] == F.get(sorted_, j - 1)[field]) | (s[field] == F.get(sorted_, j + 1)[field])
+        return F.filter(sorted_, alike)
+
+    def compared(sorted_: Column) -> Column:
+        window = lambda s: F.struct(F.concat_ws(" ", *[F.get(words, s["i"] + k) for k in range(n)]).alias("w"), s["i"].alias("i"))
+        at = let(F.sort_array(F.transform(twice(sorted_, "h"), window)), lambda x: twice(x, "w"))
+        return F.size(F.array_distinct(F.flatten(F.transform(at, lambda s: F.sequence(s["i"], s["i"] + (n - 1))))))
 
-    numbered = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(numbered, covered)).otherwise(0)
+    hashes = F.transform(heads(words, n), lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]))
+    sorted_ = lambda h: F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(sorted_(h), compared)).otherwise(0))
 
 
-def grams_of(text: Column, buckets: int) -> Column:
-    """The buckets of a text's tokens and of its pairs of neighbouring tokens."""
-    bucket = lambda x: (F.crc32(x.cast("binary")) % buckets).cast("int")
+def grams_of(text: Column, buckets: int, use: Callable[[Column, Column], Column]) -> Column:
+    """What ``use`` makes of the buckets of a text's tokens, and of its pairs of neighbouring tokens."""
 
-    def both(tokens: Column) -> Column:
-        n = F.greatest(F.size(tokens) - 1, F.lit(0))
-        pairs = F.zip_with(F.slice(tokens, F.lit(1), n), F.slice(tokens, F.lit(2), n), lambda a, b: bucket(F.concat_ws(" ", a, b)))
-        return F.concat(F.transform(tokens, bucket), pairs)
+    def both(codes: Column) -> Column:
+        pairs = F.transform(heads(codes, 2), lambda c, i: ((c * 31 + F.get(codes, i + 1)) % buckets).cast("int"))
+        return use(F.transform(codes, lambda c: (c % buckets).cast("int")), pairs)
 
-    return let(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TOKEN), F.lit(0)), both)
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+    return let(F.transform(tokens, lambda t: F.crc32(t.cast("binary"))), both)
 
 
 def trusted_ids(labels: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
@@ -96,7 +101,7 @@ def fit(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> list[int
     ``trusted`` has at most ``rules.trusted`` rows, which bounds the broadcast; the driver gets one row a bucket.
     """
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("trusted"))), "doc_id", "left")
-    grams = marked.select("trusted", F.explode(grams_of(F.coalesce("text", F.lit("")), rules.buckets)).alias("bucket"))
+    grams = marked.select("trusted", F.explode(grams_of(F.coalesce("text", F.lit("")), rules.buckets, F.concat)).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count("trusted").alias("t"))
     raw, target = [0] * rules.buckets, [0] * rules.buckets
     for row in counted.collect():
@@ -108,21 +113,21 @@ def fit(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> list[int
 def judge(docs: DataFrame, ratios: list[int], rules: Rules = Rules()) -> DataFrame:  # noqa: B008
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, log_ratio) of every row."""
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<long>")
-    length = lambda c: F.char_length(c).cast("long")
     t = F.col("t")
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, SEPARATORS, "") != "")
-    sums = lambda g: F.aggregate(g, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
+    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{SEPARATORS}]"))
+    ratio = lambda g: F.aggregate(g, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
+    sums = lambda one, two: F.struct((ratio(one) + ratio(two)).alias("sum"), (F.size(one) + F.size(two)).cast("long").alias("n"))
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
     rows = rows.select(
         "doc_id",
         let(words_of(t), lambda w: F.struct(
             F.size(w).cast("long").alias("n"),
-            let(windows_of(w, rules.window), lambda x: in_repeats(x, rules.window)).cast("long").alias("repeated"),
+            in_repeats(w, rules.window).cast("long").alias("repeated"),
         )).alias("w"),
-        length(F.translate(t, SEPARATORS, "")).alias("word_chars"),
-        (length(t) - length(F.translate(t, SIGNS, ""))).alias("n_symbols"),
+        (F.char_length(t) - F.regexp_count(t, F.lit(f"[{SEPARATORS}]"))).cast("long").alias("word_chars"),
+        F.regexp_count(t, F.lit(f"[{SIGNS}]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        let(grams_of(t, rules.buckets), lambda g: F.struct(sums(g).alias("sum"), F.size(g).cast("long").alias("n"))).alias("g"),
+        grams_of(t, rules.buckets, sums).alias("g"),
     )
     failed = (F.col("w.n") < rules.words) | (100 * F.col("w.repeated") > rules.repeated * F.col("w.n"))
     return rows.select(

@@ -209,7 +209,6 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), {step}), 4294967295)"
 
 
-_LOWER = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 OP11_SQL = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
@@ -219,15 +218,16 @@ w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^ 	-
 x AS (SELECT rid, i, w[i:i + 2] AS k FROM w, unnest(range(1, CAST(len(w) AS BIGINT) - 1)) AS u(i)),
 r AS (SELECT rid, i FROM x QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
 c AS (SELECT rid, count(DISTINCT i + o) AS n FROM r, unnest(range(0, 3)) AS u(o) GROUP BY rid),
-tok AS (SELECT rid, doc_id, regexp_extract_all({_LOWER}, '{quality_rules.TOKEN}') AS k FROM d),
-g AS (SELECT rid, doc_id, k[i] AS s FROM tok, unnest(range(1, CAST(len(k) AS BIGINT) + 1)) AS u(i)
-      UNION ALL SELECT rid, doc_id, k[i] || ' ' || k[i + 1] FROM tok, unnest(range(1, CAST(len(k) AS BIGINT))) AS u(i)),
-v AS (SELECT s, {crc32_sql("s")} % 8192 AS b FROM (SELECT DISTINCT s FROM g)),
+tok AS (SELECT rid, doc_id, regexp_extract_all(t, '{quality_rules.TOKEN}') AS k FROM d),
+k AS (SELECT rid, doc_id, k[i] AS s, k[i + 1] AS s2, FROM tok, unnest(range(1, CAST(len(k) AS BIGINT) + 1)) AS u(i)),
+v AS (SELECT s, {crc32_sql("s")} AS h FROM (SELECT DISTINCT s FROM k)),
+g AS (SELECT rid, doc_id, h % 8192 AS b FROM k JOIN v USING (s)
+      UNION ALL SELECT rid, doc_id, (x.h * 31 + y.h) % 8192 FROM k JOIN v x USING (s) JOIN v y ON y.s = s2),
 good AS (SELECT DISTINCT doc_id, 1 AS one FROM labels WHERE quality = 1 AND {crc32_sql("CAST(doc_id AS VARCHAR)")} % 4 <> 2),
-m AS (SELECT b, count(*) AS n, count(one) AS t FROM g JOIN v USING (s) LEFT JOIN good USING (doc_id) GROUP BY b),
+m AS (SELECT b, count(*) AS n, count(one) AS t FROM g LEFT JOIN good USING (doc_id) GROUP BY b),
 z AS (SELECT sum(n) + 8192 AS ns, sum(t) + 8192 AS ts FROM m),
 q AS (SELECT b, CAST(floor(1000000 * (ln((t + 1) / ts::DOUBLE) - ln((n + 1) / ns::DOUBLE)) + 0.5) AS BIGINT) AS ratio FROM m, z),
-s AS (SELECT rid, CAST(sum(ratio) AS BIGINT) AS total, count(*) AS n FROM g JOIN v USING (s) JOIN q USING (b) GROUP BY rid),
+s AS (SELECT rid, CAST(sum(ratio) AS BIGINT) AS total, count(*) AS n FROM g JOIN q USING (b) GROUP BY rid),
 f AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) AS BIGINT) AS word_chars,
         CAST(length(t) - length(translate(t, '{quality_rules.SIGNS}', '')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, coalesce(s.total, 0) AS total, coalesce(s.n, 0) AS n

@@ -28,10 +28,12 @@ def digest(text: str) -> str:
 # Quality rules --------------------------------------------------------------------------------
 
 
+TOKEN = quality_rules.TOKEN.replace(r"\x{80}-\x{10FFFF}", "\x80-\U0010ffff")
+
+
 def grams(text: str | None, buckets: int) -> list[int]:
-    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    tokens = re.findall(quality_rules.TOKEN, lower)
-    return [zlib.crc32(x.encode()) % buckets for x in tokens + [f"{a} {b}" for a, b in zip(tokens, tokens[1:], strict=False)]]
+    codes = [zlib.crc32(x.encode()) for x in re.findall(TOKEN, text or "")]
+    return [c % buckets for c in codes] + [(a * 31 + b) % buckets for a, b in zip(codes, codes[1:], strict=False)]
 
 
 def base_of(text: str | None) -> tuple[int, ...]:
