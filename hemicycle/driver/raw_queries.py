@@ -11,15 +11,16 @@ from hemicycle.driver.documents import KEY, document_sql, table_check
 from hemicycle.driver.json_queries import _items
 from hemicycle.driver.registry import add, add_civic
 from hemicycle.driver.roles import CivicTables, read_source
-from hemicycle.driver.store_queries import _ACTS, _CALENDAR, _PUBLISHED, _calendar, _stored_acts, work_dir
+from hemicycle.driver.store_queries import _ACTS, _CALENDAR, _PUBLISHED, _calendar, _stored_acts
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.normalise import normalise, rows_of
 from hemicycle.plans.pipeline import explode_store
+from hemicycle.session import work_dir
 from hemicycle.sinks.manifest import FILE_KEY, TABLE_KEY, current, upsert
 from hemicycle.sinks.raw import write_raw
 from hemicycle.sinks.tables import load, replace_partitions, write_dimension
 from hemicycle.sources.catalogue import read_catalogue
-from hemicycle.sources.raw import described, read_category
+from hemicycle.sources.raw import described, fingerprints, read_category
 from hemicycle.sources.store import read_table
 
 # Fingerprints -------------------------------------------------------------------------------
@@ -51,21 +52,23 @@ add(
 
 # Raw files ----------------------------------------------------------------------------------
 
-_TERMS = ["1995", "1996"]
 
 
-def _raw_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List files of all legislatures, of which two are read."""
+def _raw_acts(spark: SparkSession, sf_dir: str, legislatures: tuple[str, ...] = ()) -> DataFrame:
+    """List files of all legislatures, several each, of which all or some are read."""
     root = work_dir(spark)
     docs = read_source(spark, sf_dir, "orders").select(F.col(KEY), F.expr("CAST(year(o_orderdate) AS STRING)").alias("_legislatura"),
                                                       F.expr(document_sql(_ACTS)).alias("item"))
-    write_raw(docs, root, _ACTS.name, KEY)
-    return rows_of(_PUBLISHED, read_category(spark, root, _ACTS, _TERMS))
+    write_raw(docs, root, _ACTS.name, KEY, per_file=_PER_FILE)
+    return rows_of(_PUBLISHED, read_category(spark, root, _ACTS, legislatures))
 
 
+#: Items of a file here, so that the given tables make several files a legislature.
+_PER_FILE = 1000
+add("raw_list_files", _raw_acts, table_check(_PUBLISHED, _ACTS.name))
 add(
-    "raw_list_files",
-    _raw_acts,
+    "raw_list_files_of_legislatures",
+    lambda spark, sf_dir: _raw_acts(spark, sf_dir, ("1995", "1996")),
     f"SELECT * FROM ({table_check(_PUBLISHED, _ACTS.name)}) WHERE _legislatura IN ('1995', '1996')",
 )
 _BUDGET = CATEGORIES["orcamento_do_estado"]
@@ -73,10 +76,10 @@ _BUDGET_TEXTS = "ID ID_Pai Tipo Numero Titulo Texto Estado".split()
 
 
 def _raw_budget(t: CivicTables) -> DataFrame:
-    """Object files, each with the items of a legislature in one list."""
+    """Object files, each with items of a legislature in one list."""
     root = work_dir(t.spark)
     rows = t["orcamento_do_estado"].select("_legislatura", "ID", F.to_json(F.struct(*_BUDGET_TEXTS)).alias("item"))
-    write_raw(rows, root, _BUDGET.name, "ID", '{"Item":[', "]}")
+    write_raw(rows, root, _BUDGET.name, "ID", '{"Item":[', "]}", _PER_FILE)
     found = normalise(_BUDGET, read_category(t.spark, root, _BUDGET))["orcamento_do_estado"]
     return found.select(*_BUDGET_TEXTS, "Artigos_json", "_legislatura", "_source_file")
 
@@ -90,12 +93,13 @@ add_civic(
 
 
 def _catalogue_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue files by nation, each with its entries in one list."""
     root = work_dir(spark)
     name = F.concat(F.col("c_nationkey").cast("string"), F.lit("_"), F.lower("c_mktsegment"))
     entry = F.to_json(F.struct(name.alias("filename"), F.concat(F.lit("https://example.org/"), "c_custkey").alias("json")))
-    rows = read_source(spark, sf_dir, "customer").select(F.lit("all").alias("_legislatura"), "c_custkey", entry.alias("item"))
-    write_raw(rows, root, "catalogue", "c_custkey", '{"rows":[', "]}")
-    return read_catalogue(spark, f"{root}/all/catalogue.json")
+    rows = read_source(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("_legislatura"), "c_custkey", entry.alias("item"))
+    write_raw(rows, root, "catalogue", "c_custkey", '{"rows":[', "]}", _PER_FILE)
+    return read_catalogue(spark, root)
 
 
 add(
@@ -105,6 +109,30 @@ add(
       c_nationkey || '_' || lower(c_mktsegment) AS filename FROM customer""",
 )
 
+_CUSTOMER = """{"id":%s,"name":"%s"}"""
+
+
+def _file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size, hash and root of list files by nation, and of files that lack their end and thus hold no JSON."""
+    root = work_dir(spark)
+    item = F.format_string(_CUSTOMER, F.col("c_custkey"), F.col("c_name"))
+    rows = read_source(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("_legislatura"), "c_custkey", item.alias("item"))
+    for category, tail in (("clientes", "]"), ("cortado", "")):
+        write_raw(rows, root, category, "c_custkey", tail=tail, per_file=1 << 40)
+    return fingerprints(spark, root).drop("downloaded_at")
+
+
+_FILES = """SELECT c_nationkey AS n, '[' || string_agg('{"id":' || c_custkey || ',"name":"' || c_name || '"}', chr(10) || ',' ORDER BY c_custkey) AS body,
+      count(*) AS items FROM customer GROUP BY c_nationkey"""
+add(
+    "raw_file_fingerprints",
+    _file_fingerprints,
+    f"""WITH f AS ({_FILES}), files AS (SELECT n, 'clientes' AS name, body || ']' || chr(10) AS body, 'list' AS kind, items FROM f
+      UNION ALL SELECT n, 'cortado', body || chr(10), NULL, NULL FROM f)
+    SELECT name || '.json' AS file, n || '/' || name || '.json' AS path, CAST(strlen(body) AS BIGINT) AS bytes, sha256(body) AS sha256,
+      kind AS top_level_type, CAST(items AS BIGINT) AS top_level_len FROM files""",
+)
+
 # Store --------------------------------------------------------------------------------------
 
 

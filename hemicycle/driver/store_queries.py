@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +14,7 @@ from hemicycle.operators import aggregates
 from hemicycle.plans import calendar
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.pipeline import explode_store, store_category
-from hemicycle.session import shared_dir
+from hemicycle.session import work_dir
 from hemicycle.sinks.export import write_csv
 from hemicycle.sinks.lineage import stamp
 from hemicycle.sinks.manifest import TABLE_KEY, current, upsert
@@ -26,16 +24,6 @@ from hemicycle.sources.store import read_table
 TODAY = date(2003, 1, 15)
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder all executors reach: under the one the cluster names, or local in local mode."""
-    base = shared_dir(spark)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
-        base = tempfile.mkdtemp(prefix="hemicycle-")
-    return f"{base}/hemicycle-{uuid.uuid4().hex}"
-
-
 # Calendar -----------------------------------------------------------------------------------
 
 _FIRST = """least((SELECT min(data_entrada) FROM iniciativas), (SELECT min(DataFase) FROM iniciativa_eventos),

@@ -480,7 +480,10 @@ def _activity_rows(path: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
 
 
 ACTIVITIES = Category(
-    "atividades", "object", dynamic={name: _activity_rows(path) for name, path in ACTIVITY_LISTS.items()}
+    "atividades",
+    "object",
+    dynamic={name: _activity_rows(path) for name, path in ACTIVITY_LISTS.items()},
+    dynamic_lists=tuple(ACTIVITY_LISTS.values()),
 )
 
 # Organ collections of the source file and the kind each one is filed under.
@@ -535,6 +538,7 @@ ORGANS = Category(
     "composicao_de_orgaos",
     "object",
     dynamic={"orgaos_detalhe": _organ_details, "orgaos_historico_composicao": _organ_members},
+    dynamic_lists=tuple((key,) for key in ORGAN_LISTS),
 )
 
 CATEGORIES: dict[str, Category] = {

@@ -122,13 +122,23 @@ class Category:
     """One kind of raw file: the shape of its root and the tables read from it.
 
     With root `list` a document is one element of the file; with root `object` it is the file.
-    `dynamic` tables copy every key they meet and are built by a function of the documents.
+    `dynamic` tables copy every key they meet and are built by a function of the documents, from the lists that
+    `dynamic_lists` names.
     """
 
     name: str
     root: str
     tables: tuple[Table, ...] = ()
     dynamic: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
+    dynamic_lists: tuple[Path, ...] = ()
+
+    def large_lists(self) -> list[Path]:
+        """The lists of an object file that its tables are read from; their elements may be documents of their own.
+
+        A list whose items are numbered is not among them.
+        """
+        declared = [t.lists[0] for t in self.tables if t.lists and not t.ordinals and not t.keys]
+        return [*dict.fromkeys([*declared, *self.dynamic_lists])]
 
 
 def _project(df: DataFrame, carried: Sequence[str], fields: Sequence[Field]) -> DataFrame:
@@ -149,6 +159,7 @@ def rows_of(table: Table, docs: DataFrame) -> DataFrame:
     v = F.col("v")
     carried = [k.name for k in table.keys]
     if not table.lists:
+        docs = docs.filter("NOT is_part") if "is_part" in docs.columns else docs
         return _project(docs, (), (*table.keys, *table.columns))
     df = docs.select(*[k.read(v).alias(k.name) for k in table.keys], *ORIGIN, "v")
     last = len(table.lists) - 1

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,3 +30,20 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 def shared_dir(spark: SparkSession) -> str | None:
     """Folder all executors see, as the cluster names it; None where no such folder is set."""
     return spark.conf.get("spark.checkpoint.dir", None)
+
+
+def work_dir(spark: SparkSession) -> str:
+    """A new folder all executors reach: under the one the cluster names, or local in local mode."""
+    base = shared_dir(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors reach")
+        base = tempfile.mkdtemp(prefix="hemicycle-")
+    return f"{base}/hemicycle-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows written to the shared folder, so that several steps read them and none works them out again."""
+    path = work_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,27 +1,29 @@
-"""Raw JSON files as the sources publish them: one array or object per legislature and category."""
+"""Raw JSON files as the sources publish them: arrays or objects, by legislature and category."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hemicycle.sources.store import PARTITION, partition_paths, rename_only_file
+from hemicycle.sources.store import PARTITION, rename_data_files
 
+#: Items of a file, about. A legislature with more has several files, in folders of their own.
+FILE_ITEMS = 100_000
 
-def write_raw(items: DataFrame, root: str, category: str, order: str, head: str = "[", tail: str = "]") -> None:
-    """`<root>/<legislature>/<category>.json` from rows (_legislatura, item as JSON text), in the given order.
 
-    The items of a legislature are written line by line by one task, since they are one file.
+def write_raw(items: DataFrame, root: str, category: str, order: str, head: str = "[", tail: str = "]", per_file: int = FILE_ITEMS) -> None:
+    """`<root>/<part>/<legislature>/<category>.json` from rows (_legislatura, item as JSON text), a line an item.
+
+    Items are dealt to the files of their legislature by a hash of `order`, and stand in that order in a file. A task
+    writes whole files, and files are bounded, so a large legislature takes many tasks.
     """
-    first = F.row_number().over(Window.partitionBy(PARTITION).orderBy(order)) == 1
-    lines = items.withColumn("value", F.concat(F.when(first, F.lit("")).otherwise(F.lit(",")), "item"))
-    lines = lines.select(PARTITION, F.lit(1).alias("part"), F.col(order).alias("at"), "value")
-    terms = items.select(PARTITION).distinct()
-    for part, text in ((0, head), (2, tail)):
-        edge = terms.select(PARTITION, F.lit(part).alias("part"), F.lit(None).alias("at"), F.lit(text).alias("value"))
-        lines = lines.unionByName(edge)
-    ordered = lines.repartition(PARTITION).sortWithinPartitions(PARTITION, "part", "at").select(PARTITION, "value")
+    sizes = items.groupBy(PARTITION).agg(F.ceil(F.count("*") / per_file).alias("files"))
+    dealt = items.join(sizes, PARTITION).withColumn("part", F.pmod(F.xxhash64(order), "files"))
+    file = Window.partitionBy(PARTITION, "part").orderBy(order)
+    opening = F.when(F.row_number().over(file) == 1, F.lit(head)).otherwise(F.lit(","))
+    closing = F.when(F.lead(F.lit(1)).over(file).isNull(), F.lit(tail)).otherwise(F.lit(""))
+    lines = dealt.select(PARTITION, "part", F.concat(opening, "item", closing).alias("value"))
+    # a window's rows stay in its order, and the writer asks for no other
     staging = f"{root}/.{category}"
-    ordered.write.partitionBy(PARTITION).text(staging)
-    for legislature, folder in partition_paths(items.sparkSession, staging).items():
-        rename_only_file(items.sparkSession, folder, f"{root}/{legislature}/{category}.json")
+    lines.write.partitionBy(PARTITION, "part").text(staging)
+    rename_data_files(items.sparkSession, staging, lambda folder: f"{root}/{folder['part']}/{folder[PARTITION]}/{category}.json")

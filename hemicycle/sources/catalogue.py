@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hemicycle.functions.variants import elements, field, is_object
 from hemicycle.operators.filters import keep, one_of
 from hemicycle.operators.joins import lacking
+from hemicycle.sources.raw import object_parts
 
 # What is fetched unless something else is asked for.
 DEFAULT_LEGISLATURES = ["17"]
@@ -24,9 +26,11 @@ def name_parts(filename: Column) -> list[Column]:
     ]
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.option("multiLine", True).schema("rows array<struct<filename string, json string>>").json(path)
-    entry = rows.select(F.explode("rows").alias("r")).select("r.filename", F.col("r.json").alias("url"))
+def read_catalogue(spark: SparkSession, root: str, name: str = "catalogue") -> DataFrame:
+    """Entries of all files `<name>.json` under a folder; many tasks read one large file."""
+    files = object_parts(spark, root, name, [("rows",)])
+    entry = files.select(F.explode(elements(F.col("v"), "rows")).alias("r")).filter(is_object(F.col("r")))
+    entry = entry.select(field(F.col("r"), "filename").alias("filename"), field(F.col("r"), "json").alias("url"))
     return entry.select(*name_parts(F.col("filename")), "url", "filename")
 
 

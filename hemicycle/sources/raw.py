@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import utc_now_text
-from hemicycle.functions.variants import is_object
+from hemicycle.functions.variants import is_object, parse
 from hemicycle.operators.filters import keep, one_of
 from hemicycle.plans.normalise import Category
+from hemicycle.sources.json_splits import cut_lists, fragments
 
 _TAIL = r"([^/]+)/([^/]+)\.jsonl?$"
 
@@ -31,17 +33,11 @@ def read_files(spark: SparkSession, root: str, category: str = "*", lines: bool
     return reader.json(root).select(*origin(F.col("_metadata.file_path")), "v")
 
 
-def read_texts(spark: SparkSession, root: str, category: str = "*") -> DataFrame:
-    """Whole files as text."""
-    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"{category}.json")
-    return reader.text(root, wholetext=True).select(*origin(F.col("_metadata.file_path")), "value")
-
-
 def list_items(files: DataFrame) -> DataFrame:
     """Elements of files whose root is a list, each a VARIANT of its own.
 
-    The size limit of a VARIANT thus holds per element and not per file. A file with another root,
-    or that is not JSON, stops the query (an empty file has no rows; `rejected` lists it). Elements that are not objects are passed over.
+    For files that are one text each, as a stream of files gives them; `list_files` reads large ones in parallel. A file
+    with another root, or that is not JSON, stops the query. Elements that are not objects are passed over.
     """
     wrong = F.raise_error(F.concat(F.lit("expected a list in "), F.col("_source_file"))).cast("array<variant>")
     looks_like_list = F.startswith(F.ltrim(F.col("value")), F.lit("["))
@@ -57,24 +53,65 @@ def object_files(files: DataFrame) -> DataFrame:
     return files.select("_legislatura", "_source_file", F.when(is_object(v), v).otherwise(wrong).alias("v"))
 
 
+def _parts(spark: SparkSession, root: str, category: str, lists: Sequence[Sequence[str]], legislatures: Sequence[str]) -> tuple[DataFrame, ...]:
+    """The elements of lists of raw files, and the rest of each file, both with their origin."""
+    rows = fragments(spark, root, f"{category}.json")
+    rows = keep(rows.withColumn("_legislatura", F.regexp_extract("path", _TAIL, 1)), one_of("_legislatura", legislatures))
+    return tuple(part.select(*origin(F.col("path")), "*") for part in cut_lists(rows.drop("_legislatura"), lists))
+
+
+def _expected(what: str, kind: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"expected {what} in "), F.col("_source_file"))).cast(kind)
+
+
+def list_files(spark: SparkSession, root: str, category: str, legislatures: Sequence[str] = ()) -> DataFrame:
+    """Elements of files whose root is a list, each a VARIANT of its own; many tasks read one large file.
+
+    The size limit of a VARIANT holds per element. A file with another root, or that is not JSON, stops the query; one
+    without content has no rows (`rejected` lists it). Elements that are not objects are passed over.
+    """
+    elements, rest = _parts(spark, root, category, [()], legislatures)
+    parsed = F.coalesce(F.from_json(F.concat(F.lit("["), "text", F.lit("]")), "array<variant>"), _expected("a list", "array<variant>"))
+    items = elements.select("_legislatura", "_source_file", F.explode(parsed).alias("v"))
+    wrong = F.when(F.col("whole") & F.col("text").rlike(r"^\s*\[\s*\]\s*$"), False).otherwise(_expected("a list", "boolean"))
+    bad = rest.filter(wrong).select("_legislatura", "_source_file", F.lit(None).cast("variant").alias("v"))
+    return items.filter(is_object(F.col("v"))).unionByName(bad)
+
+
+def object_parts(
+    spark: SparkSession, root: str, category: str, lists: Sequence[Sequence[str]], legislatures: Sequence[str] = ()
+) -> DataFrame:
+    """Files whose root is an object as documents of their own: one for each element of the named lists, an object that
+    holds that element alone, and one for what else the file holds, with `is_part` false. Many tasks read one large file.
+    """
+    elements, rest = _parts(spark, root, category, lists, legislatures)
+    cells = F.lit(None).cast("string")
+    for keys in lists:
+        head = "".join(f"{{{json.dumps(k, ensure_ascii=False)}:" for k in keys)
+        here = F.col("keys") == F.array(*map(F.lit, keys))
+        cells = F.when(here, F.concat(F.lit(f"{head}["), "text", F.lit("]" + "}" * len(keys)))).otherwise(cells)
+    parts = elements.select("_legislatura", "_source_file", F.coalesce(parse(cells), _expected("an object", "variant")).alias("v"), F.lit(True).alias("is_part"))
+    whole = parse(F.when(F.col("whole"), F.col("text")))
+    whole = F.when(is_object(whole), whole).otherwise(_expected("an object", "variant"))
+    return parts.unionByName(rest.select("_legislatura", "_source_file", whole.alias("v"), F.lit(False).alias("is_part")))
+
+
 def read_category(
     spark: SparkSession, root: str, category: Category, legislatures: Sequence[str] = (), lines: bool = False
 ) -> DataFrame:
     """All documents of one category; a legislature without such a file contributes none."""
-    wanted = one_of("_legislatura", legislatures)
     if lines:
-        files = keep(read_files(spark, root, category.name, lines), wanted)
+        files = keep(read_files(spark, root, category.name, lines), one_of("_legislatura", legislatures))
         return files.filter(is_object(F.col("v"))).select("_legislatura", "_source_file", "v")
     if category.root == "list":
-        return list_items(keep(read_texts(spark, root, category.name), wanted))
-    return object_files(keep(read_files(spark, root, category.name), wanted))
+        return list_files(spark, root, category.name, legislatures)
+    return object_parts(spark, root, category.name, category.large_lists(), legislatures)
 
 
 def stage(spark: SparkSession, docs: DataFrame, path: str) -> DataFrame:
     """Documents parsed once into parquet, so that each table of a category reads splittable data.
 
-    A JSON array file is a single record; without this step every table would parse it again in
-    one task.
+    Without this step every table would cut and parse the files again.
     """
     docs.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

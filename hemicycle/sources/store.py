@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,16 +59,23 @@ def some_file(spark: SparkSession, directory: str) -> str | None:
     return None
 
 
-def rename_only_file(spark: SparkSession, folder: str, target: str) -> None:
-    """Give the one data file of a folder its place under another name."""
-    root, fs = _file_system(spark, folder)
-    files = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith("part-")]
-    if len(files) != 1:
-        raise ValueError(f"{folder} holds {len(files)} files")
-    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to.getParent())
-    if not fs.rename(files[0], to):
-        raise OSError(f"cannot move {files[0]} to {target}")
+def rename_data_files(spark: SparkSession, path: str, target: Callable[[dict[str, str]], str]) -> None:
+    """Give each data file below a folder its place under another name, by the partition values of its folder."""
+    root, fs = _file_system(spark, path)
+    files, found = fs.listFiles(root, True), {}
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().startswith("part-"):
+            folders = file.getParent().toString().split("/")
+            to = target(dict(f.split("=", 1) for f in folders if "=" in f))
+            if to in found:
+                raise ValueError(f"{found[to]} and {file} would both be {to}")
+            found[to] = file
+    for to, file in found.items():
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+        fs.mkdirs(place.getParent())
+        if not fs.rename(file, place):
+            raise OSError(f"cannot move {file} to {to}")
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -93,10 +93,10 @@ def test_fingerprints(spark, raw):
 
 
 def test_catalogue(spark, tmp_path):
-    path = tmp_path / "catalogue.json"
+    path = tmp_path / "x" / "catalogue.json"
     names = ["16_iniciativas", "17_iniciativas", "17_grupos_parlamentares_de_amizade", "solto"]
     write(path, {"rows": [{"filename": n, "json": f"https://example.org/{n}"} for n in names]})
-    entries = read_catalogue(spark, str(path))
+    entries = read_catalogue(spark, str(tmp_path))
     assert {(r.legislatura, r.categoria) for r in entries.collect()} == {
         ("16", "iniciativas"),
         ("17", "iniciativas"),
