@@ -1,11 +1,15 @@
-"""Vectorised hashes of byte ranges, words and word sequences. All arithmetic is modulo 2**64."""
+"""Vectorised hashes of byte ranges, words and word sequences, with arithmetic modulo 2**64.
+
+Each step mixes what went before with the next part, so unequal sequences share a hash by chance only (one pair in
+2**64), however regular they are.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
 U64 = np.uint64
-BASE = 0x9E3779B97F4A7C15 | 1
+FACTOR = U64(0x9E3779B97F4A7C15)
 CHUNK = 4 << 20
 
 SEPARATOR = np.zeros(256, bool)
@@ -13,20 +17,6 @@ SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of the base and of its inverse."""
-    if not _powers or len(_powers["up"]) <= n:
-        size = max(n + 1, 1 << 16)
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            factors = np.full(size, base, U64)
-            factors[0] = 1
-            _powers[name] = np.multiply.accumulate(factors)
-    return _powers["up"], _powers["down"]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> U64(30))
     x = x * U64(0xBF58476D1CE4E5B9)
@@ -36,21 +26,40 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class Ranges:
-    """Hashes of any range of a sequence of whole numbers, from one running sum."""
-
-    def __init__(self, values: np.ndarray):
-        self.up, down = powers(len(values))
-        self.sums = np.zeros(len(values) + 1, U64)
-        np.cumsum((values.astype(U64) + U64(1)) * down[: len(values)], out=self.sums[1:])
-
-    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.up[start])
-
-    def windows(self, length: int) -> np.ndarray:
-        """Hash of every range of ``length`` values, by start."""
-        n = len(self.sums) - length
-        return mix((self.sums[length:] - self.sums[:n]) * self.up[:n]) if n > 0 else np.zeros(0, U64)
+def joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One hash of two in this order. No step is linear over a whole sequence, so regular sequences hash like any others."""
+    return mix(left * FACTOR + right)
+
+
+def windows(values: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every range of ``length`` values, by start: of halves of halves, and of what is left of the length."""
+    n = len(values) - length + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    level, size, done, out = mix(values.astype(U64) + U64(1)), 1, 0, np.full(n, U64(length))
+    while True:
+        if length & size:
+            out = joined(out, level[done : done + n])
+            done += size
+        if 2 * size > length:
+            return out
+        level, size = joined(level[:-size], level[size:]), 2 * size
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each range of bytes, eight bytes a step."""
+    whole = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(data) + 1,), "<u8", whole.data, strides=(1,))
+    length = end - start
+    out = mix(length.astype(U64) + FACTOR)
+    open_ = np.flatnonzero(length > 0)
+    at = 0
+    while len(open_):
+        left = length[open_] - at
+        word = words[start[open_] + at] & (~U64(0) >> (U64(8) * (U64(8) - np.minimum(left, 8).astype(U64))))
+        out[open_] = joined(out[open_], word)
+        open_, at = open_[left > 8], at + 8
+    return out
 
 
 class Words:
@@ -81,14 +90,7 @@ class Words:
         return np.repeat(np.arange(len(self.bounds) - 1), self.counts)
 
     def hashes(self) -> np.ndarray:
-        out, i = np.empty(len(self), U64), 0
-        while i < len(self):
-            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + CHUNK, "right")))
-            base = self.start[i]
-            ranges = Ranges(self.data[base : self.end[j - 1]])
-            out[i:j] = ranges(self.start[i:j] - base, self.end[i:j] - base)
-            i = j
-        return out
+        return range_hashes(self.data, self.start, self.end)
 
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:

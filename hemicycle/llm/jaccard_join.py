@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.llm.components import components
-from hemicycle.llm.hashing import LOWER, U64, Ranges, Words, mix
+from hemicycle.llm.hashing import LOWER, U64, Words, mix, windows
 from hemicycle.llm.shared_keys import flags, n_ranges, rows, shared, with_answers
 from hemicycle.llm.storage import cut, pack, text_bytes, unpack, whole_groups
 
@@ -80,11 +80,15 @@ class Sets:
         self.table, self.alike = unpack(payload), alike
         data, offsets = text_bytes(self.table.column("text"))
         words = Words(LOWER[data], offsets)
-        ranges, counts, row = Ranges(words.hashes()), words.counts, words.row()
+        values, counts, row = words.hashes(), words.counts, words.row()
         place = np.arange(len(words)) - words.bounds[row]
         length = np.minimum(alike.words, counts)[row]
         at = np.flatnonzero(place + length <= counts[row])
-        hashes, row = ranges(at, at + length[at]), row[at]
+        hashes, length, row = np.zeros(len(at), U64), length[at], row[at]
+        for n in range(1, alike.words + 1):
+            some = length == n
+            if some.any():
+                hashes[some] = windows(values, n)[at[some]]
         order = np.lexsort((hashes, row))
         hashes, row = hashes[order], row[order]
         new = np.ones(len(row), bool)

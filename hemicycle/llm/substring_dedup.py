@@ -8,7 +8,7 @@ again the match is extended to every whole window that holds the anchor, and tho
 Defined results: null and empty texts have no words; a text of fewer words than a window keeps all; rows with the
 same id, null ids and repeated rows are documents of their own, so a repeated long text goes from each of them (windows
 are judged on the input). Extra columns of any name travel in ``doc``. An empty table gives an empty result.
-Windows count as equal when their 64-bit hashes do.
+Windows count as equal when their 64-bit hashes do, which differ for unequal ones but by chance.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hemicycle.llm.hashing import Ranges, Words, covered
+from hemicycle.llm.hashing import Words, covered, windows
 from hemicycle.llm.shared_keys import flags, n_ranges, rows, shared, with_answers
 from hemicycle.llm.storage import pack, struct_of, text_bytes, unpack
 
@@ -43,7 +43,7 @@ class Passages:
         data, offsets = text_bytes(self.table.column("text"))
         self.offsets = offsets
         self.words = Words(data, offsets)
-        self.ranges = Ranges(self.words.hashes())
+        self.hashes = self.words.hashes()
         counts, row = self.words.counts, self.words.row()
         self.place = np.arange(len(self.words)) - self.words.bounds[row]
         self.left = counts[row] - self.place  # words from here to the end of the document
@@ -54,14 +54,14 @@ class Passages:
         length = self.window - self.period + 1
         on_cover = np.isin(np.arange(self.period), COVERS[self.period])[self.place % self.period]
         at = np.flatnonzero(on_cover & self.long & (self.left >= length))
-        return at, self.ranges(at, at + length)
+        return at, windows(self.hashes, length)[at]
 
     def windows(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the windows that hold one of the anchors, and their hashes."""
         reach = self.period  # an anchor is 0 to period - 1 words into the window
         near = covered(np.maximum(anchors - reach + 1, 0), reach, len(self.words))
         at = np.flatnonzero(near & (self.left >= self.window))
-        return at, self.ranges(at, at + self.window)
+        return at, windows(self.hashes, self.window)[at]
 
     def repeated(self, row: dict, ranges: int) -> tuple[np.ndarray, np.ndarray]:
         at, keys = self.anchors()

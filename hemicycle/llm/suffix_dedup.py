@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hemicycle.llm.hashing import CHUNK, U64, Ranges, mix
+from hemicycle.llm.hashing import CHUNK, U64, joined, mix, range_hashes, windows
 from hemicycle.llm.shared_keys import flags, n_ranges, rows, shared, with_answers
 from hemicycle.llm.storage import cut, pack, struct_of, text_bytes, unpack, whole_groups
 from hemicycle.llm.suffix_array import DEPTH, MARGIN, SuffixArray
@@ -49,6 +49,18 @@ def least_within(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
 
 
+def short_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of every string of SHORT bytes, by start."""
+    n = len(data) - SHORT + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    words = np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data).data, strides=(1,))
+    out = mix(words[:n].astype(U64))
+    for at in range(8, SHORT, 8):
+        out = joined(out, words[at : at + n])
+    return out
+
+
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows of the rows of a block: first byte, number of windows, least hash, hash of the run's bytes, and
     whether the least hash lies at more than one place, so that the run may repeat itself.
@@ -58,8 +70,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     ends = np.repeat(offsets[1:], np.diff(offsets))
     for base in range(0, len(data), CHUNK):
         part = data[base : base + CHUNK + DEPTH - 1]
-        ranges = Ranges(part)
-        short = ranges.windows(SHORT)
+        short = short_hashes(part)
         least = least_within(short, DEPTH - SHORT + 1)
         passed = np.append(0, np.cumsum(short[: len(least)] == least))  # windows that begin with their least hash
         at = np.arange(len(least))
@@ -74,7 +85,7 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         first = np.flatnonzero(place % LONGEST == 0)
         n = np.diff(np.append(first, len(at)))
         start = at[first]
-        found.append([start + base, n, least[first], ranges(start, start + n + DEPTH - 1), passed[start + n - 1] > passed[start]])
+        found.append([start + base, n, least[first], range_hashes(part, start, start + n + DEPTH - 1), passed[start + n - 1] > passed[start]])
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -198,7 +209,7 @@ def across(crowds: DataFrame) -> DataFrame:
         data, offsets = text_bytes(table.column("text"))
         least = table.column("least").to_numpy().view(np.uint64)
         at = [np.arange(a, z - DEPTH + 1) for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        keys = Ranges(data).windows(DEPTH)[np.concatenate(at)] ^ np.repeat(mix(least), [len(a) for a in at])
+        keys = windows(data, DEPTH)[np.concatenate(at)] ^ np.repeat(mix(least), [len(a) for a in at])
         return table, keys, np.cumsum([len(a) for a in at])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,11 +19,15 @@ def awkward_texts() -> list[str | None]:
     near = base.split()
     near[60] = "other"
     longest = prose(rng, 6000)
+    # a very regular word, and the same with its two letters swapped
+    regular = "".join("ab"[bin(i).count("1") & 1] for i in range(1024))
+    swapped = regular.translate(str.maketrans("ab", "ba"))
     return [
         None, "", "  \n\t ", "one", "one", "ONE two", base, base, " ".join(near), base.upper(), f"{prose(rng, 40)} {passage} {prose(rng, 30)}",
         f"{passage}\n{prose(rng, 50)}", f"{prose(rng, 10)} {passage} x {passage}", longest, longest + " end", "a" * 5000, "é" * 900 + " ß " + "é" * 900,
         "ab " * 700, prose(rng, 34), prose(rng, 35), "gnu general public license \x00 cc by", "x" * 399, "y" * 400,
         *(f"{prose(rng, rng.randint(1, 200))}" for _ in range(30)),
+        regular, swapped, f"{base[:60]} {regular} {base[60:160]}", f"{base[:60]} {swapped} {base[60:160]}",
     ]
 
 
