@@ -13,6 +13,7 @@ read. An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -152,10 +153,18 @@ def phrases() -> tuple[tuple[str, bytes, bytes], ...]:
 def surviving(found: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
     """Detections that lie in no other of higher priority, or of the same and longer; of equal ones the first by label."""
     order = sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
+    starts = sorted({d[0] for d in found})
+    furthest = [-1] * (len(starts) + 1)  # a tree of the largest ends, by start; containment asks for one prefix
     kept: list[tuple[int, int, Rule]] = []
     for start, end, rule in order:
-        if not any(a <= start and end <= b for a, b, _ in kept):
+        at = place = bisect_left(starts, start) + 1
+        reach = -1
+        while at:
+            reach, at = max(reach, furthest[at]), at & (at - 1)
+        if reach < end:
             kept.append((start, end, rule))
+            while place <= len(starts):
+                furthest[place], place = max(furthest[place], end), place + (place & -place)
     return kept
 
 

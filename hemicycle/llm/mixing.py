@@ -123,9 +123,12 @@ def mixed(docs: DataFrame) -> DataFrame:
     _, found = mix(docs, by_text=True)
     key = ["doc_id", "source", "digest"]
     uses = found.where("size > 0").groupBy(*key).agg((F.sum("taken") / F.sum("size")).alias("uses"))
-    uses = uses.withColumn("uses", F.floor(F.col("uses") + 0.5)).where("uses > 0").select(*(F.col(k).alias(f"_{k}") for k in key), F.col("uses").alias("_uses"))
-    same = F.xxhash64("text") == F.col("_digest")
+    uses = uses.withColumn("uses", F.floor(F.col("uses") + 0.5)).where("uses > 0")
+    # the documents' own columns stay inside one, so their names meet no others
+    doc = F.col("doc")
+    carried = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
+    same = F.xxhash64(doc.getField("text")) == F.col("digest")
     for k in key[:2]:
-        same &= F.col(f"_{k}").eqNullSafe(docs[k])
-    taken = docs.join(uses.hint("shuffle_hash"), same)
-    return taken.withColumn("_uses", F.explode(F.sequence(F.lit(1), F.col("_uses")))).select(*(docs[c] for c in docs.columns))
+        same &= F.col(k).eqNullSafe(doc.getField(k))
+    taken = carried.join(uses.hint("shuffle_hash"), same)
+    return taken.select("doc", F.explode(F.sequence(F.lit(1), F.col("uses")))).select(*(doc.getField(c).alias(c) for c in docs.columns))

@@ -25,6 +25,8 @@ from hemicycle.llm.storage import slices, text_bytes
 
 #: Part of the pooled variances in each covariance, and least variance relative to it.
 SHRINKAGE, FLOOR = 0.5, 1e-3
+#: Added to every variance, so that labelled texts with equal statistics have a density too.
+LEAST_VARIANCE = 1e-6
 #: Scores from here on are accepted.
 ACCEPT = 0.7
 
@@ -128,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     pooled = np.diag(sum(spread) / n.sum())
     classes = []
     for k in (0, 1):
-        covariance = (1 - SHRINKAGE) * spread[k] / n[k] + np.diag(SHRINKAGE * pooled + FLOOR * pooled.max())
+        covariance = (1 - SHRINKAGE) * spread[k] / n[k] + np.diag(SHRINKAGE * pooled + FLOOR * pooled.max() + LEAST_VARIANCE)
         factor = np.linalg.cholesky(covariance)
         classes.append((means[k], np.linalg.inv(factor), float(np.log(np.diag(factor)).sum())))
     return Model(float(np.log(n[1] / n[0])), tuple(classes))

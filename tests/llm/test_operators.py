@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -385,3 +386,54 @@ def test_empty_tables(spark, nothing):
 
 def test_texts_are_awkward():
     assert len(awkward_texts()) > 50
+
+
+@pytest.mark.parametrize("text", ["", "the same words again"])
+def test_labelled_texts_that_are_all_alike(spark, text):
+    docs = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    rows = quality.score(docs, quality.fit(docs, labels)).collect()
+    assert len(rows) == 40 and len({r.score for r in rows}) == 1 and 0 <= rows[0].score <= 1
+
+
+def test_scores_are_those_of_class_densities(spark):
+    """The discriminant against densities worked out from the statistics themselves."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["one", "two", "three,", "4", "#", "|"][: 3 + 3 * (i % 2)]) for _ in range(rng.randint(20, 90))) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id long, quality int")
+    rows = {r.doc_id: r for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    x = quality.statistics(pa.chunked_array([pa.array(texts)]))
+    known = [np.array([i for i in range(120) if 1 - i % 2 == k and not rows[i].held_out]) for k in (0, 1)]
+    pooled = sum(x[i].var(axis=0) * len(i) for i in known) / sum(map(len, known))
+    density = []
+    for i in known:
+        covariance = (1 - quality.SHRINKAGE) * np.cov(x[i].T, bias=True)
+        covariance += np.diag(quality.SHRINKAGE * pooled + quality.FLOOR * pooled.max() + quality.LEAST_VARIANCE)
+        off = x - x[i].mean(axis=0)
+        density.append(-0.5 * (off * np.linalg.solve(covariance, off.T).T).sum(axis=1) - 0.5 * np.linalg.slogdet(covariance)[1] + math.log(len(i)))
+    expected = 1 / (1 + np.exp(-np.clip(density[1] - density[0], -500, 500)))
+    assert np.allclose([rows[i].score for i in range(120)], expected, atol=1e-6)
+
+
+def test_mixed_documents_keep_columns_of_any_name(spark):
+    rows = [(i, f"word {i} and more", f"s{i % 3}", i, "x", "y", "z") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long, _uses string, _digest string, uses string")
+    mixed = mixing.mixed(docs)
+    assert mixed.columns == docs.columns
+    assert {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in docs.collect()} and mixed.count() > 30
+
+
+def test_many_notices_in_one_text():
+    rng = random.Random(2)
+    some = license_scan.rules()[:40]
+    found = [(a, a + rng.randint(1, 60), rng.choice(some)) for a in (rng.randrange(1200) for _ in range(1500))]
+    order = sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
+    kept = []
+    for a, z, rule in order:
+        if not any(x <= a and z <= y for x, y, _ in kept):
+            kept.append((a, z, rule))
+    assert license_scan.surviving(found) == kept
+    notices = b"this work is licensed under the gnu general public license, version 3. " * 70_000
+    _, detections = license_scan.Scanner()(notices)
+    assert len(detections) == 70_000
