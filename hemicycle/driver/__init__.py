@@ -6,6 +6,7 @@ from hemicycle.driver import (  # noqa: F401
     operator_queries,
     page_queries,
     raw_queries,
+    relation_queries,
     store_queries,
 )
 from hemicycle.driver.registry import CHECKS, QUERIES

@@ -297,7 +297,7 @@ add_civic(
 )
 add_civic(
     "string_agg_distinct",
-    lambda t: t["pergunta_autores"].groupBy("Id").agg(aggregates.ordered_text_list("GP").alias("gps")),
+    lambda t: aggregates.text_lists(t["pergunta_autores"], ["Id"], "GP", "gps"),
     "SELECT Id, string_agg(DISTINCT GP, ', ' ORDER BY GP) AS gps FROM pergunta_autores GROUP BY 1",
 )
 add_civic(

@@ -21,6 +21,45 @@ def ordered_text_list(expression: str, separator: str = ", ") -> Column:
     return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
 
 
+def text_lists(df: DataFrame, keys: Sequence[str], expression: str, name: str, separator: str = ", ") -> DataFrame:
+    """`ordered_text_list` per key for keys with very many values: only the finished text of a key is one row.
+
+    Distinct (key, value) pairs are dealt by range, so a hot key's values lie in several partitions, in order. Each
+    partition joins its part of the list, and a key's parts are joined in order of their first values.
+    """
+    pairs = df.select(*keys, F.expr(expression).cast("string").alias("value")).distinct()
+    order = [F.col(k).asc_nulls_last() for k in keys] + [F.col("value").asc_nulls_last()]
+    dealt = pairs.repartitionByRange(*order).withColumn("segment", F.spark_partition_id())
+    values = F.array_sort(F.collect_list("value"))  # of one partition; nulls are left out
+    parts = dealt.groupBy(*keys, "segment").agg(F.array_join(values, separator).alias("text"), F.count("value").alias("n"))
+    parts = parts.groupBy(*keys).agg(F.array_sort(F.collect_list(F.when(F.col("n") > 0, F.struct("segment", "text")))).alias("parts"))
+    text = F.array_join(F.transform("parts", lambda p: p["text"]), separator)
+    return parts.select(*keys, F.when(F.size("parts") > 0, text).alias(name))
+
+
+SUMMARY_ID = "_levels"
+
+
+def summary_levels(df: DataFrame, columns: Sequence[str], levels: Sequence[Sequence[str]], aggregates: Sequence[Column]) -> DataFrame:
+    """Aggregates at several levels from one scan: each level groups by some of the columns, the others are null.
+
+    `_levels` tells levels apart from nulls in the data: bit i, from the last column on, is set where column i is not grouped by.
+    """
+    sets = [[F.col(c) for c in level] for level in levels]
+    grouped = df.groupingSets(sets, *[F.col(c) for c in columns])
+    return grouped.agg(F.grouping_id().alias(SUMMARY_ID), *aggregates)
+
+
+def rollup_levels(columns: Sequence[str]) -> list[list[str]]:
+    """All columns, then without the last one, and so on to the grand total."""
+    return [list(columns[:n]) for n in range(len(columns), -1, -1)]
+
+
+def cube_levels(columns: Sequence[str]) -> list[list[str]]:
+    """Every choice of columns."""
+    return [[c for i, c in enumerate(columns) if choice >> i & 1] for choice in range(1 << len(columns))]
+
+
 def count_by(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     """Rows per non-null value, most frequent first."""
     rows = df.filter(F.col(column).isNotNull())

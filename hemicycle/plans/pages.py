@@ -27,6 +27,7 @@ from hemicycle.operators.aggregates import (
     distinct_counts,
     monthly,
     ordered_text_list,
+    text_lists,
     outcome_rates,
     sum_and_median,
 )
@@ -75,6 +76,12 @@ class _Page:
     def satellite(self, table: DataFrame) -> DataFrame:
         return table if self.ids is None else among(table, self.ids, self.keys)
 
+    def with_text_list(self, rows: DataFrame, table: DataFrame, expression: str, name: str) -> DataFrame:
+        """Adds the distinct texts of a satellite, joined; without a limit the lists of hot keys are built in segments."""
+        if self.ids is None:
+            return rows.join(text_lists(table, self.keys, expression, name), self.keys, "left")
+        return attach(rows, self.satellite(table), self.keys, [ordered_text_list(expression).alias(name)])
+
     def sorted(self, rows: DataFrame) -> DataFrame:
         """Page order after the joins; stating the limit again merges sorted heads instead of a full sort."""
         return rows if self.limit is None else top(rows, self.order, self.limit, self.keys)
@@ -453,11 +460,8 @@ def questions(
     )
     page = _Page.of(matches, ["Id"], ranking, limit)
     full = page.rows(base, matches)
-    for table, cell in (
-        ("pergunta_autores", ordered_text_list("GP").alias("gps")),
-        ("pergunta_destinatarios", ordered_text_list("nomeEntidade").alias("destinatarios")),
-    ):
-        full = attach(full, page.satellite(tables[table]), ["Id"], [cell])
+    full = page.with_text_list(full, tables["pergunta_autores"], "GP", "gps")
+    full = page.with_text_list(full, tables["pergunta_destinatarios"], "nomeEntidade", "destinatarios")
     return page.sorted(full).select(
         F.col("Id").alias("id_p"),
         F.col("Nr").alias("nr"),
@@ -522,8 +526,7 @@ def petitions(
         order,
     )
     page = _Page.of(matches, ["PetId"], ranking, limit)
-    committees_of = page.satellite(tables["peticao_dados_comissao"])
-    full = attach(page.rows(base, matches), committees_of, ["PetId"], [ordered_text_list("Nome").alias("comissoes")])
+    full = page.with_text_list(page.rows(base, matches), tables["peticao_dados_comissao"], "Nome", "comissoes")
     return page.sorted(full).select(
         F.col("PetNr").alias("nr"),
         F.col("PetDataEntrada").alias("data_ent"),
@@ -593,8 +596,7 @@ def approved_acts(
         matches = attach(base, having(published, base, ["Id"]), ["Id"], first_publication()[:1])
     page = _Page.of(matches, ["Id"], ranking, limit)
     full = attach(page.rows(base, base), page.satellite(published), ["Id"], first_publication())
-    origin = [ordered_text_list("IniTipo || ' ' || IniNr").alias("iniciativas_origem")]
-    full = attach(full, page.satellite(tables["diploma_iniciativas"]), ["Id"], origin)
+    full = page.with_text_list(full, tables["diploma_iniciativas"], "IniTipo || ' ' || IniNr", "iniciativas_origem")
     return page.sorted(full).select(
         F.col("Tipo").alias("tipo"),
         F.col("Numero").alias("numero"),
