@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hemicycle.functions.dates import utc_now_text
 from hemicycle.sinks.lineage import stamp
 from hemicycle.sinks.manifest import append
-from hemicycle.sources.store import PARTITION, exists, read_table, some_file
+from hemicycle.sources.store import PARTITION, partition_files, read_table, record_schemas
 
 
 def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = ()) -> set[str]:
@@ -25,7 +25,7 @@ def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = (
     """
     spark = df.sparkSession
     directories = {value: f"{path}/{PARTITION}={value}" for value in legislatures}
-    before = {value: some_file(spark, where) for value, where in directories.items()}
+    before = partition_files(spark, path)
     (
         df.hint("rebalance", PARTITION)
         .write.mode("overwrite")
@@ -34,12 +34,14 @@ def replace_partitions(df: DataFrame, path: str, legislatures: Sequence[str] = (
         .parquet(path)
     )
     emptied = set()
+    after = partition_files(spark, path)
     for value, where in directories.items():
-        old = before[value]
-        if exists(spark, old) if old else some_file(spark, where) is None:
+        if not after[value] - before[value]:
             empty = df.drop(PARTITION).filter(F.lit(False))
             empty.coalesce(1).write.mode("overwrite").parquet(where)
             emptied.add(value)
+    changed = emptied | {value for value, files in after.items() if files - before[value]}
+    record_schemas(spark, path, df.schema, changed)
     return emptied
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import time
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,17 +85,58 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root)
 
 
+#: Folder beside the partitions of a table in which each write leaves the schema of the partitions it wrote.
+SCHEMAS = "_schemas"
+_RECORD = f"{PARTITION} string, schema string, written long"
+
+
+def partition_files(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """Names of the data files of each partition, from one listing."""
+    root, fs = _file_system(spark, path)
+    found: dict[str, set[str]] = defaultdict(set)
+    if not fs.exists(root):
+        return found
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        folder = file.getParent().getName()
+        if folder.startswith(f"{PARTITION}=") and not file.getName().startswith(("_", ".")):
+            found[folder.split("=", 1)[1]].add(file.getName())
+    return found
+
+
+def record_schemas(spark: SparkSession, path: str, schema: T.StructType, values: Iterable[str]) -> None:
+    """Leaves a record that these partitions now have this schema; the latest record of a partition is in force."""
+    own = T.StructType([f for f in schema if f.name != PARTITION]).json()
+    rows = [(value, own, time.time_ns()) for value in sorted(values)]
+    if rows:
+        spark.createDataFrame(rows, _RECORD).coalesce(1).write.mode("append").parquet(f"{path}/{SCHEMAS}")
+
+
+def recorded_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType]:
+    """Partition value -> schema by the records of a table, in one read."""
+    if not exists(spark, f"{path}/{SCHEMAS}"):
+        return {}
+    records = spark.read.schema(_RECORD).parquet(f"{path}/{SCHEMAS}")
+    newest = records.groupBy(PARTITION).agg(F.max_by("schema", "written").alias("schema"))
+    alike = newest.groupBy("schema").agg(F.collect_list(PARTITION).alias("values"))  # as many rows as there are schemas
+    kinds = [(T.StructType.fromJson(json.loads(r["schema"])), r["values"]) for r in alike.collect()]
+    return {value: schema for schema, values in kinds for value in values}
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A partitioned table with its columns matched by name over all partitions.
 
     Partition values stay text (`01`). A column missing from a partition is null there. Where
     partitions disagree on a type, each group of partitions that agree is read on its own and
-    cast to the wider type; otherwise the table is one scan that prunes partitions as usual.
+    cast to the wider type; otherwise the table is one scan that prunes partitions as usual. Schemas
+    come from the records that writes leave, in one read; only a partition written by others is asked itself.
     """
     parts = partition_paths(spark, path)
     if not parts:
         return spark.read.parquet(path)
-    schemas = {value: spark.read.parquet(where).schema for value, where in parts.items()}
+    known = recorded_schemas(spark, path)
+    schemas = {value: known.get(value) or spark.read.parquet(where).schema for value, where in parts.items()}
     merged: dict[str, T.StructField] = {}
     mixed = False
     for schema in schemas.values():

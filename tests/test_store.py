@@ -269,3 +269,20 @@ def test_list_files_over_several_lines_are_read_whole(spark, tmp_path):
     from hemicycle.sources.raw import read_category
 
     assert read_category(spark, str(tmp_path), CATEGORIES["iniciativas"]).count() == 3
+
+
+def test_schemas_of_a_store_come_from_records(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    replace_partitions(spark.createDataFrame([("a", i, str(i)) for i in range(6)], "x string, n int, _legislatura string"), path)
+    replace_partitions(spark.createDataFrame([("b", 2.5, "new", "3"), ("c", 1.0, "new", "9")], "x string, n double, y string, _legislatura string"), path, ["4"])
+    asked = []
+    reader = type(spark.read)
+    parquet = reader.parquet
+    monkeypatch.setattr(reader, "parquet", lambda self, *paths, **options: asked.append(paths) or parquet(self, *paths, **options))
+    rows = {tuple(r) for r in read_table(spark, path).select("x", "n", "y", "_legislatura").collect()}
+    assert rows == {("a", float(i), None, str(i)) for i in (0, 1, 2, 5)} | {("b", 2.5, "new", "3"), ("c", 1.0, "new", "9")}
+    assert len(asked) == 3  # the records, and one scan for each of the two schemas
+    # a partition that others wrote, without a record, is asked itself
+    spark.createDataFrame([("z", "text")], "x string, n string").write.parquet(f"{path}/_legislatura=77")
+    assert read_table(spark, path).schema["n"].dataType.simpleString() == "string"
+    assert read_table(spark, path).filter("_legislatura = '77'").first()["n"] == "text"
