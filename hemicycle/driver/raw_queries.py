@@ -13,6 +13,8 @@ from hemicycle.driver.registry import add, add_civic
 from hemicycle.driver.roles import CivicTables, read_source
 from hemicycle.driver.store_queries import _ACTS, _CALENDAR, _PUBLISHED, _calendar, _stored_acts
 from hemicycle.plans.categories import CATEGORIES
+from hemicycle.plans.dynamic import key_catalogue, wide_form
+from hemicycle.plans.json_explode import long_satellite
 from hemicycle.plans.normalise import normalise, rows_of
 from hemicycle.plans.pipeline import explode_store
 from hemicycle.session import work_dir
@@ -195,3 +197,40 @@ add_civic(
       CASE WHEN json_type(item) <> 'OBJECT' THEN item->>'$' END AS _value, 'registos_votacao' AS _source_table,
       'partes_json' AS _source_col, _legislatura FROM partes""",
 )
+
+
+def _exploded_long(t: CivicTables) -> DataFrame:
+    """The same rows from satellites stored in the long form: named columns of the nested items of one column."""
+    store = work_dir(t.spark)
+    replace_partitions(t["registos"], f"{store}/tables/registos")
+    list(explode_store(t.spark, store, ["registos"], long=True))
+    rows = read_table(t.spark, f"{store}/tables/registos_votacao_nested").filter("in_key = 'partes'")
+    kept = ["IdRegisto", "_legislatura", "in_idx", "_json_idx"]
+    found = wide_form(rows, kept, ["n"], plain="_value")
+    return found.select("IdRegisto", "_json_idx", "n", "_value", "_legislatura")
+
+
+add_civic(
+    "store_explode_long",
+    _exploded_long,
+    f"""WITH {_items('Votacao_json')}, partes AS (SELECT IdRegisto, _legislatura, e.key, e.value AS item
+      FROM (SELECT * FROM items WHERE json_type(item) = 'OBJECT'), json_each(item, '$.partes') e)
+    SELECT IdRegisto, CAST(key AS BIGINT) AS _json_idx, CASE WHEN json_type(item) = 'OBJECT' THEN item->>'$.n' END AS n,
+      CASE WHEN json_type(item) <> 'OBJECT' THEN item->>'$' END AS _value, _legislatura FROM partes""",
+)
+
+
+def _long_keys(t: CivicTables) -> DataFrame:
+    """How often each key stands in the items of a JSON column, from its long form."""
+    return key_catalogue(long_satellite(t["registos"], "registos", "Votacao_json")).select("name", "key", "nested", "n")
+
+
+add_civic(
+    "satellite_key_catalogue",
+    _long_keys,
+    f"""WITH {_items('Votacao_json')}, e AS (SELECT e.key, e.value FROM (SELECT * FROM items WHERE json_type(item) = 'OBJECT'), json_each(item) e),
+    k AS (SELECT key, json_type(value) IN ('OBJECT', 'ARRAY') AS nested, value FROM e
+      WHERE json_type(value) <> 'NULL' AND NOT (json_type(value) IN ('OBJECT', 'ARRAY') AND CAST(value AS VARCHAR) IN ('{{}}', '[]')))
+    SELECT regexp_replace(key, '[^a-zA-Z0-9_]', '_', 'g') || CASE WHEN nested THEN '_json' ELSE '' END AS name, key, nested, count(*) AS n
+    FROM k GROUP BY ALL""",
+)

@@ -1,8 +1,9 @@
 """Tables whose columns are the keys found in the data.
 
-One aggregate job lists the distinct keys, as schema inference does; the list is as long as the
-table is wide, and nothing limits it. The long form (`long_rows`) holds the same content in a
-fixed schema, without a job and without a column per key.
+Items are stored in the long form (`long_form`): one row per entry in a fixed schema, without a job and without a
+column per key. `key_catalogue` lists the keys as a table, and `wide_form` gives the columns that a caller names. The
+wide form with a column for every key (`discover`, `layout`, `spread`) needs one aggregate job, as schema inference does,
+whose list of keys is as long as the table is wide; it is for sources whose keys are known to be few.
 """
 
 from __future__ import annotations
@@ -134,3 +135,46 @@ def long_rows(items: DataFrame, kept: Sequence[str], column: str = "item") -> Da
     return entries.select(
         *kept, F.col("e.key").alias("key"), F.coalesce(scalar_text(value), nested_text(value)).alias("value")
     )
+
+
+def long_form(items: DataFrame, kept: Sequence[str], column: str = "item") -> DataFrame:
+    """The stored form of items with any keys, in one fixed schema and without a job: (kept, name, key, value, nested, clash).
+
+    One row per entry of an object that has a value. `name` is the column the entry has in the wide form, `clash` tells
+    that another key of the same item has that name too. An item that is no object is one row without name and key.
+    """
+    item = F.col(column)
+    own = items.select(*kept, column, F.map_entries(members(item)).alias("__entries"))
+    plain = F.array(F.struct(F.lit(None).cast("string").alias("key"), item.alias("value")))
+    column_of = lambda e: F.lower(F.regexp_replace(e["key"], "[^a-zA-Z0-9_]", "_"))
+    own = own.withColumn("__names", F.transform("__entries", column_of))
+    own = own.withColumn("__several", F.size(F.array_distinct("__names")) < F.size("__names"))
+    alike = lambda e: F.size(F.filter("__names", lambda n: n == column_of(e))) > 1
+    marked = F.transform(
+        F.coalesce("__entries", plain),
+        lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"), F.coalesce(F.col("__several") & alike(e), F.lit(False)).alias("clash")),
+    )
+    rows = own.select(*kept, F.explode(marked).alias("e"))
+    value = F.col("e.value")
+    rows = rows.select(
+        *kept, F.col("e.key").alias("key"), F.coalesce(scalar_text(value), nested_text(value)).alias("value"), is_nested(value).alias("nested"), F.col("e.clash").alias("clash")
+    )
+    name = F.concat(F.regexp_replace("key", "[^a-zA-Z0-9_]", "_"), F.when(F.col("nested"), F.lit("_json")).otherwise(F.lit("")))
+    return rows.filter("value IS NOT NULL").select(*kept, name.alias("name"), "key", "value", "nested", "clash")
+
+
+def key_catalogue(rows: DataFrame) -> DataFrame:
+    """(name, key, nested, clash, n) of rows in the long form: which keys there are, as a table of any length."""
+    return rows.filter("key IS NOT NULL").groupBy("name", "key", "nested").agg(F.max("clash").alias("clash"), F.count("*").alias("n"))
+
+
+def wide_form(rows: DataFrame, kept: Sequence[str], names: Sequence[str], plain: str | None = None) -> DataFrame:
+    """The named columns of rows in the long form, one row per item that has a value in any column at all.
+
+    Names match without regard to case. Of several keys of an item with one name the first in order counts; `key_catalogue`
+    tells where that happens. `plain` names the column for items that are no objects.
+    """
+    cells = [F.min_by(F.when(F.lower("name") == n.lower(), F.col("value")), F.when(F.lower("name") == n.lower(), F.col("key"))).alias(n) for n in names]
+    if plain:
+        cells.append(F.min(F.when(F.col("key").isNull(), F.col("value"))).alias(plain))
+    return rows.groupBy(*kept).agg(*cells)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hemicycle.functions.text import column_name, snake_name
 from hemicycle.functions.variants import canonical_items, is_nested, is_object, members, nested_text, parse, scalar_text
 from hemicycle.operators.ordering import top
-from hemicycle.plans.dynamic import discover, layout, safe_name, spread
+from hemicycle.plans.dynamic import discover, layout, long_form, safe_name, spread
 from hemicycle.sinks.lineage import stamp_satellite
 
 LEGISLATURE = "_legislatura"
@@ -147,6 +147,48 @@ def satellite(df: DataFrame, table: str, column: str, strict: bool = False) -> D
     return stamp_satellite(explode_column(df, column, keys, strict), table, column)
 
 
+def long_satellite(df: DataFrame, table: str, column: str) -> DataFrame:
+    """The satellite of one JSON column in the long form, whatever and however many keys it holds; no job is run for it.
+
+    Rows have the keys of the table, the legislature, `_json_idx`, and (name, key, value, nested, clash). Text that is not
+    JSON is one row without a key.
+    """
+    keys = [LEGISLATURE, *parent_keys(df.columns, table)]
+    rows = long_form(json_items(df, column, keys), [*keys, "_json_idx"])
+    text = F.col(column)
+    unparsed = df.filter((text != "") & parse(text).isNull()).select(
+        *keys, F.lit(0).alias("_json_idx"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("key"),
+        text.alias("value"), F.lit(False).alias("nested"), F.lit(False).alias("clash"),
+    )
+    return stamp_satellite(rows.unionByName(unparsed), table, column)
+
+
+def nested_satellite(rows: DataFrame, table: str) -> DataFrame:
+    """The next level of a satellite in the long form: the items of its nested values, with the path to them in `in_key` and `in_idx`."""
+    own = ("name", "key", "value", "nested", "clash", "in_key", "in_idx")
+    keys = [LEGISLATURE, *parent_keys([c for c in rows.columns if c not in own], table)]
+    path = [F.concat_ws(".", *([c] if c in rows.columns else []), d).alias(c) for c, d in (("in_key", "key"), ("in_idx", "_json_idx"))]
+    own = rows.filter("nested").select(*keys, *path, "value")
+    kept = [*keys, "in_idx", "in_key"]
+    return stamp_satellite(long_form(json_items(own, "value", kept), [*kept, "_json_idx"]), table, "value")
+
+
+def explode_all_long(
+    read: Callable[[str], DataFrame], write: Callable[[str, DataFrame], None], tables: Iterable[str], passes: int = 2
+) -> Iterator[dict]:
+    """Stores every JSON column of the tables in the long form, then the nested values of what was written, pass by pass."""
+    for table in tables:
+        source = read(table)
+        for column in json_columns(source):
+            name = satellite_name(table, column)
+            write(name, long_satellite(source, table, column))
+            yield {"table": table, "column": column, "satellite": name, "level": 0}
+            for level in range(1, passes):
+                rows, name = nested_satellite(read(name), table), f"{name}_nested"
+                write(name, rows)
+                yield {"table": table, "column": column, "satellite": name, "level": level}
+
+
 def dry_run(df: DataFrame, table: str, column: str) -> DataFrame:
     """What the satellite would hold, one row per legislature and one per column.
 

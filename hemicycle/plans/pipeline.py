@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from hemicycle.plans.categories import CATEGORIES
-from hemicycle.plans.json_explode import explode_all
+from hemicycle.plans.json_explode import explode_all, explode_all_long
 from hemicycle.plans.normalise import Category, normalise
 from hemicycle.sinks.tables import finalise, replace_partitions
 from hemicycle.sources.raw import read_category, stage
@@ -55,9 +55,9 @@ def store_raw(
 
 
 def explode_store(
-    spark: SparkSession, store: str, tables: Sequence[str], column: str | None = None, passes: int = 2
+    spark: SparkSession, store: str, tables: Sequence[str], column: str | None = None, passes: int = 2, long: bool = False
 ) -> Iterator[dict]:
-    """Write the satellites of every JSON column of the tables, pass by pass.
+    """Write the satellites of every JSON column of the tables, pass by pass; with `long` in the long form, for any number of keys.
 
     A satellite covers all legislatures of its table, so those that no longer give rows are
     emptied.
@@ -71,4 +71,4 @@ def explode_store(
         before = list(partition_paths(spark, path))
         replace_partitions(rows, path, before)
 
-    return explode_all(read, write, tables, column, passes)
+    return explode_all_long(read, write, tables, passes) if long else explode_all(read, write, tables, column, passes)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from hemicycle.functions.variants import parse
 from hemicycle.plans import json_explode, json_inventory, json_profile
+from hemicycle.plans.dynamic import key_catalogue, wide_form
+from hemicycle.plans.json_explode import long_satellite, nested_satellite
 
 
 @pytest.fixture
@@ -166,3 +168,37 @@ def test_profile_opens_as_many_levels_as_there_are(spark):
     assert json_profile.depth_of(df) == 20
     nodes = json_profile.walk(df, ["Id"]).collect()
     assert max(r.depth for r in nodes) == 20 and len(nodes) == 32
+
+
+def test_long_form_with_very_many_keys(spark):
+    """A fixed schema, a table of keys of any length, and the columns that are asked for; no list of keys on the driver."""
+    rows = spark.range(100_000).select(
+        F.lit("17").alias("_legislatura"), F.col("id").alias("IniId"), F.format_string('{"k%d": %d, "same": "v", "list": [{"a": %d}]}', "id", "id", "id").alias("dados_json")
+    )
+    long = long_satellite(rows, "iniciativas", "dados_json")
+    names = ["_legislatura", "IniId", "_json_idx", "name", "key", "value", "nested", "clash"]
+    assert long.columns[: len(names)] == names and len(long.columns) < 16
+    keys = key_catalogue(long)
+    assert keys.count() == 100_002
+    assert {tuple(r) for r in keys.filter("key IN ('same', 'list', 'k5')").select("name", "key", "nested", "n").collect()} == {
+        ("same", "same", False, 100_000), ("list_json", "list", True, 100_000), ("k5", "k5", False, 1)
+    }
+    wide = wide_form(long, ["IniId", "_json_idx"], ["same", "k5", "list_json", "missing"])
+    assert wide.count() == 100_000
+    assert [tuple(r) for r in wide.filter("IniId = 5").collect()] == [(5, 0, "v", "5", '[{"a":5}]', None)]
+    nested = nested_satellite(long, "iniciativas")
+    assert nested.count() == 100_000 and tuple(nested.filter("IniId = 7").select("in_key", "in_idx", "key", "value").first()) == ("list", "0", "a", "7")
+
+
+def test_long_form_of_clashing_and_plain_items(spark):
+    texts = ['{"a b": 1, "a_b": 2, "A-B": 3, "c": null, "d": [], "e": {"x": 1}}', "[5, {\"a b\": 7}, null, [1]]", "not json", "", None]
+    rows = spark.createDataFrame([("17", i, t) for i, t in enumerate(texts)], "_legislatura string, IniId int, x_json string")
+    long = long_satellite(rows, "iniciativas", "x_json")
+    found = {(r.IniId, r._json_idx, r["name"], r.key, r.value, r.nested, r.clash) for r in long.collect()}
+    assert found == {
+        (0, 0, "a_b", "a b", "1", False, True), (0, 0, "a_b", "a_b", "2", False, True), (0, 0, "A_B", "A-B", "3", False, True),
+        (0, 0, "e_json", "e", '{"x":1}', True, False), (1, 0, None, None, "5", False, False), (1, 1, "a_b", "a b", "7", False, False),
+        (1, 3, None, None, "[1]", True, False), (2, 0, None, None, "not json", False, False),
+    }
+    wide = {(r.IniId, r._json_idx): (r.a_b, r._value) for r in wide_form(long, ["IniId", "_json_idx"], ["a_b"], plain="_value").collect()}
+    assert wide[0, 0] == ("3", None) and wide[1, 0] == (None, "5") and wide[1, 1] == ("7", None) and wide[2, 0] == (None, "not json")
