@@ -10,7 +10,6 @@ orders after a null and a plain value that belong to no row but count in the num
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 from hemicycle.driver.roles import read_source
 from hemicycle.functions.variants import parse
 from hemicycle.plans.normalise import Category, Field, Table
-from hemicycle.sources.store import exists
 
 KEY = "o_orderkey"
 TERM = "CAST(year(o_orderdate) AS STRING)"
@@ -169,22 +167,12 @@ def document_sql(category: Category, extra: dict[tuple, str] | None = None, only
     return tree(list(fields.items()))
 
 
-#: A folder in which documents are kept once built, so that timings leave the building out; None builds them anew.
-STAGED_IN: str | None = None
-
-
 def documents(spark: SparkSession, sf_dir: str, sql: str, category: str) -> DataFrame:
-    """Documents as the engine reads them: origin columns and the VARIANT `v`."""
-    if STAGED_IN is None:
-        return _built(spark, sf_dir, sql, category)
-    path = f"{STAGED_IN}/{category}-{hashlib.sha256((sf_dir + sql).encode()).hexdigest()[:16]}"
-    if not exists(spark, f"{path}/_SUCCESS"):
-        _built(spark, sf_dir, sql, category).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Documents as the engine reads them: origin columns and the VARIANT `v`.
 
-
-def _built(spark: SparkSession, sf_dir: str, sql: str, category: str) -> DataFrame:
-    orders = read_source(spark, sf_dir, "orders")
+    The rows are dealt by key before their documents are built, as a given table may be a single range for its reader.
+    """
+    orders = read_source(spark, sf_dir, "orders").repartition(KEY)
     term = F.expr(TERM)
     return orders.select(
         term.alias("_legislatura"),
