@@ -213,28 +213,25 @@ def forest(sets: list[np.ndarray], side: np.ndarray, alike: Similarity) -> list[
     """Links that connect what similar pairs connect. Members of side 1 and 2 are compared only across, of 0 all."""
     sizes = np.array([len(s) for s in sets])
     points = points_of(sets)
+    groups = (np.flatnonzero(side <= 1), np.flatnonzero(side != 1))  # those that start, and those that they are compared with
+    if not side.any():
+        groups = (groups[0], groups[0])
     across = bool(side.any())
-    ours = np.flatnonzero(side <= 1)
-    theirs = np.flatnonzero(side != 1)
-    tree = CountTree(points[theirs], sizes[theirs], alike)
-    place = np.full(len(sets), -1)
-    place[theirs] = np.arange(len(theirs))
-    links, open_ = [], np.ones(len(theirs), bool)
-    if across:  # each left set against all right ones
-        for i in ours.tolist():
-            links += [(i, int(theirs[j])) for j in similar(sets, sizes, i, theirs, tree.search(points[i], sizes[i], open_), alike)]
-        return links
-    for start in range(len(sets)):
-        if not open_[start]:
+    trees = [CountTree(points[g], sizes[g], alike) for g in groups]
+    open_ = [np.ones(len(g), bool) for g in groups] if across else [np.ones(len(groups[0]), bool)] * 2
+    links: list[tuple[int, int]] = []
+    for at, start in enumerate(groups[0].tolist()):
+        if not open_[0][at]:
             continue
-        open_[start] = False
-        queue = [start]
-        while queue:
-            i = queue.pop()
-            found = similar(sets, sizes, i, theirs, tree.search(points[i], sizes[i], open_), alike)
-            open_[found] = False
-            links += [(i, int(j)) for j in found]
-            queue += found.tolist()
+        open_[0][at] = False
+        queue = [(start, 1)]
+        while queue:  # nobody is found twice, so there are fewer links than members
+            i, other = queue.pop()
+            found = similar(sets, sizes, i, groups[other], trees[other].search(points[i], sizes[i], open_[other]), alike)
+            open_[other][found] = False
+            who = groups[other][found].tolist()
+            links += [(i, j) for j in who]
+            queue += [(j, 1 - other if across else 1) for j in who]
     return links
 
 
