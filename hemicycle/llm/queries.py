@@ -76,7 +76,7 @@ u AS (SELECT doc_id, min(a) AS a, max(z) AS z FROM q GROUP BY doc_id, grp),
 l AS (SELECT doc_id, list(a ORDER BY a) AS las, list(z ORDER BY a) AS lzs, sum(z - a) AS gone, count(*) AS n FROM u GROUP BY doc_id),
 e AS (SELECT doc_id, x, gone, n, list_prepend(0, lzs) AS starts, list_append(las, octet_length(x)) AS ends FROM d LEFT JOIN l USING (doc_id))
 SELECT doc_id, CAST(octet_length(x) AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
-       sha256(CASE WHEN gone IS NULL THEN x ELSE list_reduce(list_transform(range(1, CAST(n + 2 AS BIGINT)),
+       CAST(octet_length(x) - coalesce(gone, 0) AS BIGINT) AS n_kept, sha256(CASE WHEN gone IS NULL THEN x ELSE list_reduce(list_transform(range(1, CAST(n + 2 AS BIGINT)),
          lambda j: CASE WHEN ends[j] > starts[j] THEN x[starts[j] + 1:ends[j]] ELSE ''::BLOB END), lambda left_, right_: left_ || right_) END) AS kept_sha256
 FROM e
 """
@@ -86,7 +86,7 @@ FROM e
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = suffix_dedup.remove_repeats(docs)
-    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return found.select(F.col("doc.doc_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", (F.col("n_bytes") - F.col("n_removed")).alias("n_kept"), "kept_sha256")
 
 
 OP8_SQL = r"""
