@@ -8,6 +8,7 @@ from hemicycle.driver import (  # noqa: F401
     raw_queries,
     relation_queries,
     store_queries,
+    stream_queries,
 )
 from hemicycle.driver.registry import CHECKS, QUERIES
 
