@@ -167,17 +167,25 @@ def document_sql(category: Category, extra: dict[tuple, str] | None = None, only
     return tree(list(fields.items()))
 
 
+def dealt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders, dealt by key before documents are built from them, as the table may be a single range for its reader.
+
+    The number of parts is named, so that adaptive execution keeps it: a row is small beside the document made of it.
+    """
+    return read_source(spark, sf_dir, "orders").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), KEY)
+
+
 def documents(spark: SparkSession, sf_dir: str, sql: str, category: str) -> DataFrame:
     """Documents as the engine reads them: origin columns and the VARIANT `v`.
 
-    The rows are dealt by key before their documents are built, as a given table may be a single range for its reader.
+    A document is the one value of a generator, as filters on values in it would otherwise move below and build it again
+    where the table is read.
     """
-    orders = read_source(spark, sf_dir, "orders").repartition(KEY)
     term = F.expr(TERM)
-    return orders.select(
+    return dealt_orders(spark, sf_dir).select(
         term.alias("_legislatura"),
         F.concat(term, F.lit(f"/{category}.json")).alias("_source_file"),
-        parse(F.expr(sql)).alias("v"),
+        F.explode(F.array(parse(F.expr(sql)))).alias("v"),
     )
 
 

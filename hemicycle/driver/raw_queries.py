@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.driver.documents import KEY, document_sql, table_check
+from hemicycle.driver.documents import KEY, dealt_orders, document_sql, table_check
 from hemicycle.driver.json_queries import _items
 from hemicycle.driver.registry import add, add_civic
 from hemicycle.driver.roles import CivicTables, read_source
@@ -59,7 +59,7 @@ add(
 def _raw_acts(spark: SparkSession, sf_dir: str, legislatures: tuple[str, ...] = ()) -> DataFrame:
     """List files of all legislatures, several each, of which all or some are read."""
     root = work_dir(spark)
-    docs = read_source(spark, sf_dir, "orders").select(F.col(KEY), F.expr("CAST(year(o_orderdate) AS STRING)").alias("_legislatura"),
+    docs = dealt_orders(spark, sf_dir).select(F.col(KEY), F.expr("CAST(year(o_orderdate) AS STRING)").alias("_legislatura"),
                                                       F.expr(document_sql(_ACTS)).alias("item"))
     write_raw(docs, root, _ACTS.name, KEY, per_file=_PER_FILE)
     return rows_of(_PUBLISHED, read_category(spark, root, _ACTS, legislatures))

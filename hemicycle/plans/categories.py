@@ -32,6 +32,7 @@ from hemicycle.plans.normalise import (
     texts,
     under,
 )
+from hemicycle.session import written
 
 LEGISLATURE_COPY = computed("legislatura_ingest", lambda v: F.col("_legislatura"))
 
@@ -470,7 +471,7 @@ def _activity_rows(path: tuple[str, ...]) -> Callable[[DataFrame], DataFrame]:
 
     def build(docs: DataFrame) -> DataFrame:
         items = docs.select(*ORIGIN, F.explode(elements(F.col("v"), *path)).alias("item"))
-        items = items.filter(is_object(F.col("item")))
+        items = written(items.filter(is_object(F.col("item"))))
         columns = layout(discover(items), same_name, plain_key=ACTIVITY_FIELDS.__contains__)
         wide = spread(items, ORIGIN, columns)
         first_date = first_truthy(F.col("item"), *[(k,) for k in ACTIVITY_DATES])
@@ -511,7 +512,7 @@ def organs(docs: DataFrame) -> DataFrame:
 
 
 def _organ_details(docs: DataFrame) -> DataFrame:
-    items = organs(docs).select(*ORIGIN, "tipo_orgao", node(F.col("organ"), "DetalheOrgao").alias("item"))
+    items = written(organs(docs).select(*ORIGIN, "tipo_orgao", node(F.col("organ"), "DetalheOrgao").alias("item")))
     columns = layout(discover(items), same_name, taken=["tipo_orgao"])
     return spread(items, (*ORIGIN, "tipo_orgao"), columns).select("tipo_orgao", *columns, *ORIGIN)
 
@@ -527,7 +528,7 @@ def _organ_members(docs: DataFrame) -> DataFrame:
     every = F.array_compact(F.array(history("HistoricoComposicao", ""), history("HistoricoComposicaoCPC", ".CPC")))
     members_of = organs(docs).select(*ORIGIN, own_id.alias("orgao_id"), F.explode(F.flatten(every)).alias("m"))
     items = members_of.select(*ORIGIN, F.col("m.kind").alias("tipo_orgao"), "orgao_id", F.col("m.item").alias("item"))
-    items = items.filter(is_object(F.col("item")))
+    items = written(items.filter(is_object(F.col("item"))))
     kept = (*ORIGIN, "tipo_orgao", "orgao_id")
     columns = layout(discover(items), same_name, taken=["tipo_orgao", "orgao_id"])
     stamps = [day_first_timestamp(F.col(c)).alias(f"{c}_ts") for c in MEMBER_DATES if c in columns]
