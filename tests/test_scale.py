@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from hemicycle.driver.documents import KEY, documents
+from hemicycle.driver.roles import CivicTables
+from hemicycle.operators import aggregates
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.normalise import normalise
 
@@ -37,3 +40,18 @@ def test_items_with_free_keys_are_built_once_for_their_keys_and_their_rows(spark
     rows = normalise(CATEGORIES["atividades"], docs, ["atividades_audicoes"])["atividades_audicoes"]
     assert "parseJson" not in plan(rows)
     assert sorted(int(r["Nota_json"]) for r in rows.collect()) == list(range(400))
+
+
+def test_levels_with_a_distinct_count_shuffle_rows_without_their_levels(spark):
+    rows = [(i % 5 if i % 4 else None, "ab"[i % 2], None if i % 3 == 0 else "x", i % 2 == 0) for i in range(60)]
+    df, columns = spark.createDataFrame(rows, "v long, a string, b string, c boolean"), ["a", "b", "c"]
+    levels = [*aggregates.cube_levels(columns), ["a"]]  # one level twice
+    expected = aggregates.summary_levels(df, columns, levels, [F.count("*").alias("n"), F.count_distinct("v").alias("values")])
+    found = aggregates.distinct_levels(df, columns, levels, "v", "n", "values")
+    assert found.schema.simpleString() == expected.schema.simpleString()
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert aggregates.distinct_levels(df.limit(0), columns, levels, "v").count() == 0
+    votes = CivicTables(spark, "/root/testdata/sf0.001")
+    cube = entry.queries()["votes_cube"](spark, "/root/testdata/sf0.001")
+    assert "Expand" not in plan(cube)
+    assert {r.n for r in cube.where("_levels = 7").collect()} == {votes["iniciativa_eventos_votacao"].count()}
