@@ -18,7 +18,8 @@ def write_raw(items: DataFrame, root: str, category: str, order: str, head: str
     writes whole files, and files are bounded, so a large legislature takes many tasks.
     """
     sizes = items.groupBy(PARTITION).agg(F.ceil(F.count("*") / per_file).alias("files"))
-    dealt = items.join(sizes, PARTITION).withColumn("part", F.pmod(F.xxhash64(order), "files"))
+    # as few rows as there are legislatures; left to itself, Spark takes the items for the smaller side if they were dealt short
+    dealt = items.join(F.broadcast(sizes), PARTITION).withColumn("part", F.pmod(F.xxhash64(order), "files"))
     file = Window.partitionBy(PARTITION, "part").orderBy(order)
     opening = F.when(F.row_number().over(file) == 1, F.lit(head)).otherwise(F.lit(","))
     closing = F.when(F.lead(F.lit(1)).over(file).isNull(), F.lit(tail)).otherwise(F.lit(""))

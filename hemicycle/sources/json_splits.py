@@ -97,15 +97,17 @@ def _range_states(rows: DataFrame) -> DataFrame:
 
 
 def _tokens(rows: DataFrame, states: DataFrame) -> DataFrame:
-    """(path, block, id, pos, text, token, closes, b, k, db, dk, whole): fragments parted at brackets, with the depth before each part."""
+    """(path, block, id, pos, text, token, closes, b, k, db, dk, whole): fragments, those at the ends of
+    lists and outside of them parted at brackets, with the depth before each part.
+    """
     rows = rows.join(states, RANGE)
     state = (F.col("odd") + F.col("inside")) % 2
     depth = F.col("k0") + F.when(F.col("inside") == 0, F.col("depth_if0")).otherwise(F.col("depth_if1"))
     rows = rows.withColumn("state", state).withColumn("text", F.when(state == 1, F.concat(F.lit('"'), "text")).otherwise(F.col("text")))
     rows = rows.withColumn("ended", ~(F.col("cut_short") & F.col("last")))
     bare = F.regexp_replace("text", STRING, "")
-    # within lists only fragments with brackets are parted; outside all are, to know the keys
-    parted = (F.contains(bare, F.lit("[")) | F.contains(bare, F.lit("]")) | (depth == 0)) & (F.col("text") != "")
+    # within a list only fragments in which it may end are parted; outside all are, to know the keys
+    parted = (depth <= count(bare, "]")) & (F.col("text") != "")
     parts = F.when(parted, F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))).otherwise(F.array("text"))
     keep = [*RANGE, "id", "state", "ended", "quotes", "b0", "k0", "whole", "parts"]
     rows = rows.withColumn("parts", parts).select(*keep, F.posexplode("parts").alias("pos", "token"))
@@ -114,8 +116,9 @@ def _tokens(rows: DataFrame, states: DataFrame) -> DataFrame:
     own = F.when((F.col("pos") == 0) & (F.col("state") == 1), F.expr("substring(token, 2)")).otherwise(token)
     closes = final & F.col("ended") & ((F.col("state") + F.col("quotes")) % 2 == 0)
     rows = rows.withColumn("text", F.concat(own, brace)).withColumn("closes", closes)
-    rows = rows.withColumn("db", count(F.regexp_replace(token, STRING, ""), "{") - F.col("closes").cast("int"))
-    rows = rows.withColumn("dk", F.when(token == "[", 1).when(token == "]", -1).otherwise(0))
+    bare = F.regexp_replace(token, STRING, "")
+    rows = rows.withColumn("db", count(bare, "{") - F.col("closes").cast("int"))
+    rows = rows.withColumn("dk", count(bare, "[") - count(bare, "]"))
     order = before(*RANGE, by=["id", "pos"])
     rows = rows.withColumn("b", F.col("b0") + total(F.col("db"), order)).withColumn("k", F.col("k0") + total(F.col("dk"), order))
     return rows.select(*RANGE, "id", "pos", "text", "token", "closes", "b", "k", "db", "dk", "whole")

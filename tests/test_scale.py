@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -10,6 +12,8 @@ from hemicycle.driver.roles import CivicTables
 from hemicycle.operators import aggregates
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.normalise import normalise
+from hemicycle.sinks.raw import write_raw
+from hemicycle.sources import json_splits
 
 
 def plan(df) -> str:
@@ -55,3 +59,22 @@ def test_levels_with_a_distinct_count_shuffle_rows_without_their_levels(spark):
     cube = entry.queries()["votes_cube"](spark, "/root/testdata/sf0.001")
     assert "Expand" not in plan(cube)
     assert {r.n for r in cube.where("_levels = 7").collect()} == {votes["iniciativa_eventos_votacao"].count()}
+
+
+def test_only_fragments_at_the_ends_of_lists_are_parted(spark, tmp_path):
+    listed = [{"id": i, "b": [{"c": [{"d": "]"}]}, {"e": []}]} for i in range(100)]
+    (tmp_path / "17").mkdir()
+    (tmp_path / "17" / "x.json").write_text(json.dumps(listed))
+    read = json_splits.fragments(spark, str(tmp_path), "x.json")
+    rows = json_splits._with_effects(read)
+    tokens = json_splits._tokens(rows, json_splits._range_states(rows))
+    assert tokens.count() <= read.count() + 30
+    found, _ = json_splits.cut_lists(read, [()])
+    assert sorted((x for r in found.collect() for x in json.loads(f"[{r.text}]")), key=lambda x: x["id"]) == listed
+
+
+def test_items_are_not_broadcast_when_raw_files_are_written(spark, tmp_path):
+    items = spark.range(300).repartition(4, "id").select("id", F.lit("17").alias("_legislatura"), F.format_string('{"id":%s}', "id").alias("item"))
+    write_raw(items, str(tmp_path), "x", "id", per_file=10)
+    files = list(tmp_path.glob("*/17/x.json"))
+    assert len(files) > 20 and sorted(x["id"] for f in files for x in json.loads(f.read_text())) == list(range(300))
