@@ -122,3 +122,14 @@ def test_first_truthy(spark):
     paths = [(k,) for k in "abcdef"]
     assert one(spark, doc, lambda c: variants.first_truthy(variants.parse(c), *paths)) == "0"
     assert one(spark, doc, lambda c: variants.first_truthy(variants.parse(c), ("a",), ("f",))) == "9"
+
+
+@pytest.mark.parametrize(
+    ("value", "an_object", "a_list"),
+    [('{"a":[1]}', True, False), ("{}", True, False), ('[{"a":1},2,null]', False, True), ("[]", False, True), ("null", False, False), ("3", False, False), ('"x"', False, False), (None, False, False)],
+)
+def test_shapes_are_told_without_copying_what_they_hold(spark, value, an_object, a_list):
+    assert one(spark, value, lambda x: variants.is_object(variants.parse(x))) == an_object
+    assert one(spark, value, lambda x: variants.is_list(variants.parse(x))) == a_list
+    shown = spark.sql("SELECT parse_json('1') AS v").select(variants.is_nested(F.col("v")))._jdf.queryExecution().analyzed().toString().lower()
+    assert "map" not in shown and "array<variant>" not in shown and "arraytype(variant" not in shown
