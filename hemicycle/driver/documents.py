@@ -179,14 +179,17 @@ def documents(spark: SparkSession, sf_dir: str, sql: str, category: str) -> Data
     """Documents as the engine reads them: origin columns and the VARIANT `v`.
 
     A document is the one value of a generator, as filters on values in it would otherwise move below and build it again
-    where the table is read.
+    where the table is read. Its text is a column of its own below the generator, which evaluates what it is given tree by
+    tree: a projection is compiled, and builds text that stands in it several times once. The lambda over the one term
+    keeps that projection out of whole-stage code, whose single method for all fields is too long for the JVM to compile.
     """
-    term = F.expr(TERM)
-    return dealt_orders(spark, sf_dir).select(
+    term = F.transform(F.array(F.expr(TERM)), lambda t: t)[0]
+    texts = dealt_orders(spark, sf_dir).select(
         term.alias("_legislatura"),
-        F.concat(term, F.lit(f"/{category}.json")).alias("_source_file"),
-        F.explode(F.array(parse(F.expr(sql)))).alias("v"),
+        F.expr(sql).alias("text"),
     )
+    file = F.concat("_legislatura", F.lit(f"/{category}.json")).alias("_source_file")
+    return texts.select("_legislatura", file, F.explode(F.array(parse(F.col("text")))).alias("v"))
 
 
 def table_check(table: Table, category: str, computed: dict[str, str] | None = None) -> str:

@@ -11,6 +11,7 @@ from hemicycle.driver.documents import KEY, documents
 from hemicycle.driver.roles import CivicTables
 from hemicycle.operators import aggregates
 from hemicycle.plans.categories import CATEGORIES
+from hemicycle.plans.dynamic import key_usage
 from hemicycle.plans.normalise import normalise
 from hemicycle.sinks.raw import write_raw
 from hemicycle.sources import json_splits
@@ -78,3 +79,27 @@ def test_items_are_not_broadcast_when_raw_files_are_written(spark, tmp_path):
     write_raw(items, str(tmp_path), "x", "id", per_file=10)
     files = list(tmp_path.glob("*/17/x.json"))
     assert len(files) > 20 and sorted(x["id"] for f in files for x in json.loads(f.read_text())) == list(range(300))
+
+
+def test_text_of_documents_is_compiled_field_by_field(spark, tmp_path):
+    sf_dir, text = orders(spark, tmp_path), f"concat('{{\"Id\":\"', {KEY}, '\"}}')"
+    docs = documents(spark, sf_dir, text, "intervencoes")
+    (generator,) = [line for line in plan(docs).splitlines() if "parseJson" in line]
+    assert "concat" not in generator  # the generator gets the text and does not build it
+    (project,) = [line for line in docs._jdf.queryExecution().sparkPlan().toString().splitlines() if " AS text#" in line]
+    assert "transform(" in project or "lambdafunction(" in project
+    compiled = docs._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in compiled.splitlines() if " AS text#" in line and "*(" in line]
+
+
+def test_keys_are_named_once_for_each_set_of_keys(spark):
+    items = spark.range(200).selectExpr("""parse_json(CASE id % 5 WHEN 0 THEN '{"k y":1,"K_Y":[2]}' WHEN 1 THEN '{"k y":null,"k_y":' || id || '}'
+      WHEN 2 THEN '[1]' WHEN 3 THEN 'null' ELSE '{}' END) AS item""").repartition(3)
+    found = key_usage(items)
+    shown = plan(found).splitlines()
+    sets = max(i for i, line in enumerate(shown) if "Aggregate [" in line)
+    assert any("lower(" in line for line in shown[: sets + 1])
+    assert not any("lower(" in line for line in shown[sets + 1 :])  # rows are grouped to sets of keys before
+    assert sorted((r["is_object"], r["key"] or "", r["nested"], bool(r["clashes"])) for r in found.collect()) == [
+        (False, "", False, False), (True, "", False, False), (True, "K_Y", True, True), (True, "k y", False, True), (True, "k_y", False, True),
+    ]
