@@ -28,6 +28,8 @@ SEPARATORS = " \t\n\x0b\x0c\r"
 SIGNS = "#*$%&|<>"
 TOKEN = r"[0-9A-Za-z_\x{80}-\x{10FFFF}]+|[\x21-\x2F\x3A-\x40\x5B-\x5E\x60\x7B-\x7F]+"
 UNIT = 1_000_000
+#: The lower half of a number of 64 bits.
+HALF = (1 << 32) - 1
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,7 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, f"[{SEPARATORS}]+", -1), lambda w: w != "")
+    return F.array_remove(F.split(text, f"[{SEPARATORS}]+", -1), "")
 
 
 def heads(words: Column, n: int) -> Column:
@@ -61,32 +63,52 @@ def heads(words: Column, n: int) -> Column:
 def in_repeats(words: Column, n: int) -> Column:
     """How many words lie in windows of ``n`` that stand more than once.
 
-    Windows are sorted by hash, and those whose hash stands more than once by themselves.
+    Upper halves of the windows' hashes are sorted with the windows' places behind them, as single numbers, and the windows
+    whose half stands more than once by themselves.
     """
 
-    def twice(sorted_: Column, field: str) -> Column:
-        alike = lambda s, j: (s[field] == F.get(sorted_, j - 1)[field]) | (s[field] == F.get(sorted_, j + 1)[field])
+    def twice(sorted_: Column, of: Callable[[Column], Column]) -> Column:
+        alike = lambda s, j: (of(s) == of(F.get(sorted_, j - 1))) | (of(s) == of(F.get(sorted_, j + 1)))
         return F.filter(sorted_, alike)
 
     def compared(sorted_: Column) -> Column:
-        window = lambda s: F.struct(F.concat_ws(" ", *[F.get(words, s["i"] + k) for k in range(n)]).alias("w"), s["i"].alias("i"))
-        at = let(F.sort_array(F.transform(twice(sorted_, "h"), window)), lambda x: twice(x, "w"))
+        place = lambda s: s.bitwiseAND(F.lit(HALF)).cast("int")
+        window = lambda i: F.struct(F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)]).alias("w"), i.alias("i"))
+        some = F.transform(twice(sorted_, lambda s: F.shiftright(s, 32)), lambda s: window(place(s)))
+        at = let(F.sort_array(some), lambda x: twice(x, lambda s: s["w"]))
         return F.size(F.array_distinct(F.flatten(F.transform(at, lambda s: F.sequence(s["i"], s["i"] + (n - 1))))))
 
     hashes = F.transform(heads(words, n), lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]))
-    sorted_ = lambda h: F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    sorted_ = lambda h: F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~HALF)).bitwiseOR(i.cast("long"))))
     return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), let(sorted_(h), compared)).otherwise(0))
 
 
-def grams_of(text: Column, buckets: int, use: Callable[[Column, Column], Column]) -> Column:
-    """What ``use`` makes of the buckets of a text's tokens, and of its pairs of neighbouring tokens."""
+def codes_of(text: Column) -> Column:
+    """The checksum of each token of a text."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: F.crc32(t.cast("binary")))
+
+
+def grams_of(text: Column, buckets: int) -> Column:
+    """The buckets of a text's tokens, and of its pairs of neighbouring tokens."""
 
     def both(codes: Column) -> Column:
         pairs = F.transform(heads(codes, 2), lambda c, i: ((c * 31 + F.get(codes, i + 1)) % buckets).cast("int"))
-        return use(F.transform(codes, lambda c: (c % buckets).cast("int")), pairs)
+        return F.concat(F.transform(codes, lambda c: (c % buckets).cast("int")), pairs)
+
+    return let(codes_of(text), both)
+
+
+def summed(text: Column, table: Column, buckets: int) -> Column:
+    """The sum of the ratios of a text's n-grams and their number, in one pass that keeps the token before."""
+    ratio = lambda code: F.get(table, (code % buckets).cast("int"))
+
+    def step(s: Column, code: Column) -> Column:
+        pair = F.coalesce(ratio(s["before"] * 31 + code), F.lit(0).cast("long"))  # the first token has none before it
+        return F.struct((s["sum"] + ratio(code) + pair).alias("sum"), code.alias("before"))
 
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    return let(F.transform(tokens, lambda t: F.crc32(t.cast("binary"))), both)
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("before"))
+    n = lambda codes: (F.size(codes) + F.greatest(F.size(codes) - 1, F.lit(0))).cast("long")
+    return let(codes_of(text), lambda codes: F.struct(F.aggregate(codes, start, step)["sum"].alias("sum"), n(codes).alias("n")))
 
 
 def trusted_ids(labels: DataFrame, rules: Rules = Rules()) -> DataFrame:  # noqa: B008
@@ -101,7 +123,7 @@ def fit(docs: DataFrame, trusted: DataFrame, rules: Rules = Rules()) -> list[int
     ``trusted`` has at most ``rules.trusted`` rows, which bounds the broadcast; the driver gets one row a bucket.
     """
     marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(1).alias("trusted"))), "doc_id", "left")
-    grams = marked.select("trusted", F.explode(grams_of(F.coalesce("text", F.lit("")), rules.buckets, F.concat)).alias("bucket"))
+    grams = marked.select("trusted", F.explode(grams_of(F.coalesce("text", F.lit("")), rules.buckets)).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count("*").alias("n"), F.count("trusted").alias("t"))
     raw, target = [0] * rules.buckets, [0] * rules.buckets
     for row in counted.collect():
@@ -115,8 +137,6 @@ def judge(docs: DataFrame, ratios: list[int], rules: Rules = Rules()) -> DataFra
     table = F.split(F.lit(",".join(map(str, ratios))), ",").cast("array<long>")
     t = F.col("t")
     lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(f"[^{SEPARATORS}]"))
-    ratio = lambda g: F.aggregate(g, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
-    sums = lambda one, two: F.struct((ratio(one) + ratio(two)).alias("sum"), (F.size(one) + F.size(two)).cast("long").alias("n"))
     rows = docs.select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
     rows = rows.select(
         "doc_id",
@@ -127,7 +147,7 @@ def judge(docs: DataFrame, ratios: list[int], rules: Rules = Rules()) -> DataFra
         (F.char_length(t) - F.regexp_count(t, F.lit(f"[{SEPARATORS}]"))).cast("long").alias("word_chars"),
         F.regexp_count(t, F.lit(f"[{SIGNS}]")).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        grams_of(t, rules.buckets, sums).alias("g"),
+        summed(t, table, rules.buckets).alias("g"),
     )
     failed = (F.col("w.n") < rules.words) | (100 * F.col("w.repeated") > rules.repeated * F.col("w.n"))
     return rows.select(

@@ -52,6 +52,25 @@ def awkward_lines(spark, awkward):
     return awkward.unionByName(rows, allowMissingColumns=True)
 
 
+def test_ratios_are_summed_in_one_pass(spark):
+    """A text of so many tokens is gone over twice only: for their checksums, and for the sums of all its n-grams."""
+    plan = quality_rules.judge(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), [0] * 8192)
+    text = plan.select("log_ratio")._jdf.queryExecution().analyzed().toString()
+    assert text.count("aggregate(") == 1
+
+
+def test_repeats_of_windows_with_one_upper_half(spark, monkeypatch):
+    """Windows that look alike by the part of the hash that is sorted are told apart by their words."""
+    texts = ["a b c a b c", "a b c d a b c", "x x x x", "one two three four five six", "a b", None, "p q r s p q r t p q r"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    same_half = lambda *words: F.length(F.concat(*words)).cast("long") * 0 + F.pmod(F.hash(*words), F.lit(1 << 20))
+    found = lambda: docs.select("text", quality_rules.in_repeats(quality_rules.words_of(F.coalesce("text", F.lit(""))), 3).alias("n"))
+    expected = Counter((t, base_of(t)[4]) for t in texts)
+    assert Counter(tuple(r) for r in found().collect()) == expected
+    monkeypatch.setattr(quality_rules.F, "xxhash64", same_half)  # upper halves of all windows are 0
+    assert Counter(tuple(r) for r in found().collect()) == expected
+
+
 def test_rules_and_ratios(spark, awkward):
     docs = awkward_lines(spark, awkward)
     rules = quality_rules.Rules(buckets=64)
