@@ -224,6 +224,37 @@ def test_skipped_blocks_hold_no_best_row(seed, monkeypatch):
     assert np.allclose([s for s, _ in found], [s for s, _ in expected[:7]], atol=5)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_words_of_many_rows_have_columns_and_scores_stay_exact(seed, monkeypatch):
+    monkeypatch.setattr(search, "ROWS", 4)
+    monkeypatch.setattr(search, "GROUP_CELLS", 300)
+    rng = random.Random(seed)
+    frequent, rare = [f"f{i}" for i in range(9)], [f"r{i}" for i in range(400)]
+    texts = [" ".join(rng.choices(frequent, k=rng.randint(0, 12)) + rng.choices(rare, k=rng.randint(0, 5))) for _ in range(120)]
+    index = search.Index(storage.payload_of(pa.table({"doc_id": pa.array(range(120)), "text": texts})), 9.0)
+    names = frequent + rare
+    hashes, idfs = search.hashes_of(names), np.array([rng.random() * 4 for _ in names])
+    # the postings that are walked are those of rare words
+    assert (np.diff(index.start)[index.column < 0] < 16).all() and len(index.dense) == 9 < len(index.hash)
+    queries = [sorted(rng.sample(range(len(names)), rng.randint(1, 60)) + [rng.randrange(9)]) for _ in range(20)]
+    queries = [sorted(set(q)) for q in queries]
+    expected = []
+    for q in queries:
+        found = []
+        for row, text in enumerate(texts):
+            words = text.split()
+            parts = [words.count(names[t]) * 2.2 / (words.count(names[t]) + 1.2 * (0.25 + 0.75 * len(words) / 9.0)) for t in q]
+            score = sum(int(np.floor(p * idfs[t] * search.UNIT + 0.5)) for p, t in zip(parts, q, strict=True))
+            found += [(score, row)] if score else []
+        expected.append(sorted(found, key=lambda x: (-x[0], x[1]))[:10])
+    codes, starts = np.concatenate(queries), np.append(0, np.cumsum([len(q) for q in queries])).tolist()
+    order = np.argsort(hashes)
+    codes = np.argsort(order)[codes]
+    assert index.tops(hashes[order], idfs[order], codes, starts, 10, [0] * 20) == expected
+    least = [found[rng.randrange(len(found))][0] if found else 0 for found in expected]
+    assert index.tops(hashes[order], idfs[order], codes, starts, 10, least) == [[f for f in found if f[0] >= at] for found, at in zip(expected, least, strict=True)]
+
+
 def test_mix_meets_its_targets(awkward):
     slots, found = mixing.mix(awkward)
     rows = found.collect()
