@@ -2,8 +2,8 @@
 
 Shingles are hashed into ``m`` groups. Two sets that are similar enough differ in at most ``d`` shingles, so at least
 ``m - d`` groups hold the same shingles in both. Documents of which so many groups occur elsewhere meet over the
-contents of equal groups, and those that meet, directly or through others, form a cluster; the others are similar to
-nothing. Within a cluster the counts of a set over fixed groups are a point; points are packed into an R-tree whose nodes keep the largest count of each group, and the sum of the smaller
+contents of equal groups, of each the rarest, as a partner must share one of them; those that meet, directly or through
+others, form a cluster; the others are similar to nothing. Within a cluster the counts of a set over fixed groups are a point; points are packed into an R-tree whose nodes keep the largest count of each group, and the sum of the smaller
 counts bounds the overlap. Only pairs that pass the bound are compared shingle by shingle.
 
 Identical sets are one point. A cluster too large for a task is dealt by set size into pieces, and only pieces whose
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from hemicycle.llm.components import components
 from hemicycle.llm.hashing import LOWER, U64, Words, mix, windows
-from hemicycle.llm.shared_keys import flags, n_ranges, rows, shared, with_answers
+from hemicycle.llm.shared_keys import n_ranges, rows, shared, times, with_answers
 from hemicycle.llm.storage import cut, pack, text_bytes, unpack, whole_groups
 
 #: Ratio of the set sizes at the two ends of a size band, and groups for each shingle that similar sets may differ in.
@@ -109,12 +109,11 @@ class Sets:
     def signatures(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(case, key) and the row of each case: for each document and band the contents of its groups, hashed.
 
-        ``needed`` holds how many of a case's keys must occur elsewhere if the document is similar to another, and ``early``
-        which keys belong to its first groups, of which only so many others are left.
+        ``needed`` holds how many of a case's keys must occur elsewhere if the document is similar to another.
         """
         first, least, groups = self.alike.bands(int(self.sizes.max(initial=1)))
         own = np.searchsorted(first, self.sizes, "right") - 1
-        found, rows_, needed, early, cases = [], [], [], [], 0
+        found, rows_, needed, cases = [], [], [], 0
         for shift in range(len(least)):  # its own band, and those of larger partners
             band = own + shift
             ok = (self.sizes > 0) & (band < len(least))
@@ -137,15 +136,14 @@ class Sets:
             keys = mix(sums ^ mix((band[owner].astype(U64) << U64(32)) | group.astype(U64)))
             must = n - self.alike.differ(first[band + 1] - 1) - np.bincount(owner[~full], minlength=len(n))
             use = full | (must <= 0)[owner]  # all equal groups of a similar pair may be empty
-            early.append((group <= (n - np.maximum(must, 1))[owner])[use])
             found.append((owner[use] + cases, keys[use]))
             rows_.append(np.arange(len(n)))
             needed.append(np.maximum(must, 1))
             cases += len(n)
         if not found:
-            self.needed, self.early = np.zeros(0, np.int64), np.zeros(0, bool)
+            self.needed = np.zeros(0, np.int64)
             return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64)
-        self.needed, self.early = np.concatenate(needed), np.concatenate(early)
+        self.needed = np.concatenate(needed)
         case, keys = (np.concatenate(x) for x in zip(*found, strict=True))
         return case, keys, np.concatenate(rows_)
 
@@ -156,15 +154,21 @@ class Sets:
     def met(self, answer: list[dict] | None, ranges: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, key) of the keys that occur elsewhere, of the cases with as many as a similar document asks for.
 
-        As two similar documents share so many of the groups, they share one among the first groups already.
+        As two similar documents share so many keys, they share one already among those of each that come first in any order
+        of all keys, when so many others are left. The order is by count, so documents meet over their rarest contents.
         """
         case, keys, rows_ = self.signatures()
         if not len(keys):
             return case, keys
-        again = flags(keys & UPPER, answer, ranges)
+        count = times(keys & UPPER, answer, ranges)
+        again = count > 1
         passes = np.bincount(case[again], minlength=len(rows_)) >= self.needed
-        again &= passes[case] & self.early
-        return rows_[case[again]], keys[again]
+        some = np.flatnonzero(passes[case])
+        order = some[np.lexsort((keys[some], count[some], case[some]))]
+        held = np.bincount(case[some], minlength=len(rows_))
+        place = np.arange(len(order)) - (np.cumsum(held) - held)[case[order]]
+        order = order[(place <= (held - self.needed)[case[order]]) & again[order]]
+        return rows_[case[order]], keys[order]
 
 
 class CountTree:
@@ -254,7 +258,7 @@ def near_groups(docs: DataFrame, alike: Similarity = Similarity()) -> tuple[Data
     """
     blocks = pack(docs)
     ranges = n_ranges(blocks)
-    met = shared(blocks, lambda r: Sets(r["payload"], alike).counted(), ranges, WIDTH)
+    met = shared(blocks, lambda r: Sets(r["payload"], alike).counted(), ranges, WIDTH, counted=True)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in rows(batches):

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pytest
 from conftest import awkward_texts, prose
 
-from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, storage, substring_dedup, suffix_dedup, url_rules, word_bpe
+from hemicycle.llm import embedding_dedup, jaccard_join, license_scan, mixing, quality, search, shared_keys, storage, substring_dedup, suffix_dedup, url_rules, word_bpe
 from hemicycle.llm.components import components
 from hemicycle.llm.suffix_array import DEPTH, SuffixArray
 
@@ -149,6 +149,37 @@ def test_similar_sets(spark, awkward, monkeypatch, words, percent, piece):
     assert jaccard_join.one_of_each(docs, alike).count() == len(set(member))
 
 
+def test_documents_meet_over_their_rarest_contents():
+    """Families of near copies that take paragraphs from a common stock are not one cluster."""
+    rng = random.Random(3)
+    stock = [prose(rng, 40) for _ in range(24)]
+    texts = []
+    for _ in range(40):
+        own = " ".join([prose(rng, 30), *rng.sample(stock, 4), prose(rng, 30)]).split()
+        texts += [" ".join(own), " ".join([*own[:50], "other", *own[51:]])]
+    alike = jaccard_join.Similarity(5, 80)
+    found = jaccard_join.Sets(storage.payload_of(pa.table({"text": texts})), alike)
+    _, counts = np.unique(found.counted(), return_counts=True)
+    row, keys = found.met([{"part": 0, "bits": np.minimum(counts, 255).astype(np.uint8).tobytes()}], 1)
+    holders: dict[int, set] = {}
+    for r, k in zip(row.tolist(), keys.tolist(), strict=True):
+        holders.setdefault(k, set()).add(r)
+    met = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    assert {(2 * i, 2 * i + 1) for i in range(40)} <= met
+    assert len(met) < 4 * 40
+
+
+def test_counts_of_shared_keys(spark):
+    blocks = spark.createDataFrame([(b, 1000) for b in range(40)], "block_id long, n_bytes long").repartition(4)
+    own = lambda b: jaccard_join.mix(np.array([0, 0, *range(1, 2 + b), *range(100 * b, 100 * b + 9 * b)], np.uint64)) & jaccard_join.UPPER
+    every = Counter(k for b in range(40) for k in own(b).tolist())
+    answers = shared_keys.shared(blocks, lambda row: own(row["block_id"]), 7, jaccard_join.WIDTH, counted=True).collect()
+    assert len(answers) == 40
+    for r in answers:
+        keys = own(r["block_id"])
+        assert shared_keys.times(keys, r["answer"], 7).tolist() == [min(every[k], 255) for k in keys.tolist()]
+
+
 def test_vectors(spark, monkeypatch):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(60, 8))
