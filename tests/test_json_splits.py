@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from hemicycle.plans.categories import CATEGORIES
 from hemicycle.plans.normalise import normalise
+from hemicycle.sources import json_splits
 from hemicycle.sources.json_splits import cut_lists, fragments
 from hemicycle.sources.raw import list_files, object_parts, read_category
 
@@ -72,6 +73,37 @@ def test_elements_of_lists_and_the_rest(spark, tmp_path, ranges):
     assert left.whole and json.loads(left.text) == {**whole, "Item": [], "first": {**whole["first"], "Inner": []}}
 
 
+def test_text_is_shuffled_by_nobody(spark, tmp_path, ranges, monkeypatch):
+    """Both passes work on text where it is read; what is shuffled is one row a range."""
+    plans = []
+    keep = json_splits.written
+    monkeypatch.setattr(json_splits, "written", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df))[1])
+    write(tmp_path / "17" / "list.json", json.dumps(elements(4, 40)))
+    found, _ = cut_lists(fragments(spark, str(tmp_path), "list.json"), [()])
+    assert same([x for r in found.collect() for x in json.loads(f"[{r.text}]")], elements(4, 40))
+    reads = 0
+    for plan in plans:
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "FileScan text" in line:
+                reads += 1
+                above = next(x for x in reversed(lines[:i]) if "Exchange" in x or "MapInArrow" in x)
+                assert "MapInArrow" in above, plan
+    assert reads == 2
+
+
+def test_keys_and_lists_that_look_like_named_ones(spark, tmp_path, ranges):
+    pad = [{"p": "x}" * 40}] * 12
+    whole = {"x}Item": [{"a": 1}], "Pad": pad, '"Item': [{"b": 1}], "Item": [{"c": [{"Item": [{"d": 1}]}]}] * 20, "In": {"x}Item": [{"e": 1}], "Item": [{"f": "}"}, 3], "Pad": pad}}
+    write(tmp_path / "17" / "object.json", json.dumps(whole))
+    found, rest = cut_lists(fragments(spark, str(tmp_path), "object.json"), [("Item",), ("In", "Item")])
+    rows = found.collect()
+    for keys, wanted in ((["Item"], whole["Item"]), (["In", "Item"], whole["In"]["Item"])):
+        assert same([x for r in rows if r["keys"] == keys for x in json.loads(f"[{r.text}]")], wanted)
+    (left,) = rest.collect()
+    assert left.whole and json.loads(left.text) == {**whole, "Item": [], "In": {**whole["In"], "Item": []}}
+
+
 def test_files_that_are_not_whole_stop_the_query(spark, tmp_path):
     good = json.dumps([{"a": {"b": "}"}}] * 50)
     broken = [good[:-1], good[:-2], good[:-5], good[:-7], good + "]", '{"a": 1}', "5", '"x"', "  ", "[[1, 2]", good.replace("}}, {", "}} {", 1), "[{]}", "[{},]", "[,{}]", "[{}, ,{}]"]
