@@ -14,6 +14,7 @@ for comes back as one text a file, the list empty in it.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator, Sequence
 from itertools import pairwise
@@ -70,17 +71,18 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarra
     for batch in batches:
         if not batch.num_rows:
             continue
-        path, block = batch.column("path"), batch.column("block")
-        change = pc.or_(pc.not_equal(path[1:], path[:-1]), pc.not_equal(block[1:], block[:-1])).to_numpy(zero_copy_only=False)
+        columns = [n for n in batch.schema.names if n != "text"]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for n in columns:
+            change |= pc.not_equal(batch.column(n)[1:], batch.column(n)[:-1]).to_numpy(zero_copy_only=False)
         text = batch.column("text").cast(pa.large_binary())
         _, offsets, data = text.buffers()
         at = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1]
         data = np.frombuffer(data, np.uint8)
-        columns = [n for n in batch.schema.names if n != "text"]
         for a, z in pairwise([0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]):
             row = {n: batch.column(n)[a].as_py() for n in columns}
             if held is not None:
-                yield *held, any(held[0][n] != row[n] for n in RANGE)
+                yield *held, held[0] != row
             held = row, data[at[a] : at[z]]
     if held is not None:
         yield *held, True
@@ -197,11 +199,11 @@ class Cutter:
 
     def __init__(self, row: dict, wanted: set[tuple[str, ...]]):
         self.row, self.wanted, self.depths = row, wanted, sorted({len(keys) for keys in wanted})
-        self.b, self.k, self.odd, self.base, self.up = row["b0"], row["k0"], 0, 0, row["up"]
+        self.b, self.k, self.odd, self.base, self.up = row["b0"], row["k0"], 0, 0, row.get("up")
         self.list, self.pending, self.rest, self.n = None, [], [], 0
-        was = row["open"]
+        was = row.get("open")
         if was is not None and self.k > 0:
-            self.begin(was["block"], was["pos"], was["b"], was["key"], was["parent"])
+            self.begin(was["block"], was["pos"], was["b"], was.get("key"), was.get("parent"))
 
     def begin(self, block: int, pos: int, b: int, key: str | None, parent: str | None) -> bool:
         """Enters a list if it is wanted."""
@@ -312,15 +314,15 @@ def cut_lists(rows: DataFrame, lists: Sequence[Sequence[str]]) -> tuple[DataFram
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now = None
         for row, data, last in _chunks(batches):
-            now = now or Cutter(row, wanted)
-            yield from now.add(data[:-1] if last and row["cut_short"] else data)
+            now = now or Cutter(json.loads(row["state"]), wanted)
+            yield from now.add(data[:-1] if last and now.row["cut_short"] else data)
             if last:
                 yield from now.end()
                 now = None
 
     # the one join keeps rows in their order, as the smaller side, one row a range, is sent to all
-    states = _range_states(rows.mapInArrow(_effects, _EFFECTS_SQL))
-    pieces = written(rows.drop("size").join(F.broadcast(states), RANGE).mapInArrow(cut, _PIECES_SQL))
+    states = _range_states(rows.mapInArrow(_effects, _EFFECTS_SQL)).select(*RANGE, F.to_json(F.struct("*")).alias("state"))
+    pieces = written(rows.select(*RANGE, "text").join(F.broadcast(states), RANGE).select("state", "text").mapInArrow(cut, _PIECES_SQL))
     rest = pieces.where("from_block IS NULL").groupBy("path").agg(_joined(F.collect_list(F.struct("block", "text"))).alias("text"), F.min("whole").alias("whole"))
     alone = pieces.where("closed AND NOT continued").select("path", "keys", "text", "opens")
     parted = pieces.where("continued OR NOT closed").withColumn("chain", total(F.col("closed").cast("int"), before("path", "from_block", "from_pos", by=["block", "n"])))

@@ -19,10 +19,12 @@ _TAIL = r"([^/]+)/([^/]+)\.jsonl?$"
 
 def origin(path: Column) -> list[Column]:
     """Legislature, category and short path of a raw file."""
+    short = F.substring_index(path, "/", -2)  # by rows and not by files, so no regular expressions but for the rarer column
+    named = short.endswith(".json") | short.endswith(".jsonl")
     return [
-        F.regexp_extract(path, _TAIL, 1).alias("_legislatura"),
+        F.when(named, F.substring_index(short, "/", 1)).otherwise("").alias("_legislatura"),
         F.regexp_extract(path, _TAIL, 2).alias("_categoria"),
-        F.regexp_extract(path, r"[^/]+/[^/]+$", 0).alias("_source_file"),
+        short.alias("_source_file"),
     ]
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,23 +62,57 @@ def some_file(spark: SparkSession, directory: str) -> str | None:
     return None
 
 
+#: Files that are renamed at the same time: a rename waits for the file system far longer than it works.
+RENAMES = 16
+
+
 def rename_data_files(spark: SparkSession, path: str, target: Callable[[dict[str, str]], str]) -> None:
-    """Give each data file below a folder its place under another name, by the partition values of its folder."""
+    """Give each data file below a folder its place under another name, by the partition values of its folder.
+
+    A folder with one data file moves whole where its new place is free, as making folders is slower than moving them.
+    """
     root, fs = _file_system(spark, path)
-    files, found = fs.listFiles(root, True), {}
-    while files.hasNext():
-        file = files.next().getPath()
-        if file.getName().startswith("part-"):
-            folders = file.getParent().toString().split("/")
-            to = target(dict(f.split("=", 1) for f in folders if "=" in f))
-            if to in found:
-                raise ValueError(f"{found[to]} and {file} would both be {to}")
-            found[to] = file
-    for to, file in found.items():
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
-        fs.mkdirs(place.getParent())
-        if not fs.rename(file, place):
-            raise OSError(f"cannot move {file} to {to}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+
+    def listed(folder: str) -> tuple[list[str], list[str]]:
+        """The folders and the data files in a folder, without the permissions that other listings ask for one by one."""
+        folders, files = [], []
+        for status in fs.listStatus(at(folder)):
+            name = status.getPath().getName()
+            if status.isDirectory():
+                folders.append(f"{folder}/{name}")
+            elif name.startswith("part-"):
+                files.append(name)
+        return folders, files
+
+    with ThreadPoolExecutor(RENAMES) as several:
+        found, moves, folders = {}, [], [root.toString()]
+        while folders:
+            deeper = []
+            for folder, (below, files) in zip(folders, several.map(listed, folders), strict=True):
+                deeper += below
+                for name in files:
+                    to = target(dict(f.split("=", 1) for f in folder.split("/") if "=" in f))
+                    if to in found:
+                        raise ValueError(f"{found[to]} and {folder}/{name} would both be {to}")
+                    found[to] = f"{folder}/{name}"
+                    moves.append((folder, name, to, len(files) == 1))
+            folders = deeper
+        places = [to.rsplit("/", 1)[0] for _, _, to, _ in moves]
+        for parent in sorted({place.rsplit("/", 1)[0] for place in places}):
+            fs.mkdirs(at(parent))
+        shared = {place for place, n in Counter(places).items() if n > 1}
+
+        def move(folder: str, name: str, to: str, alone: bool) -> None:
+            place = to.rsplit("/", 1)[0]
+            if alone and place not in shared and not fs.exists(at(place)) and fs.rename(at(folder), at(place)):
+                folder = place
+            else:
+                fs.mkdirs(at(place))
+            if not fs.rename(at(f"{folder}/{name}"), at(to)):
+                raise OSError(f"cannot move {folder}/{name} to {to}")
+
+        list(several.map(move, *zip(*moves, strict=True)) if moves else ())
 
 
 def exists(spark: SparkSession, path: str) -> bool:
