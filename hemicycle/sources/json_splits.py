@@ -59,10 +59,15 @@ def total(value: Column, window) -> Column:
 
 
 def fragments(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """(path, block, size, text): what ends at a closing brace, in file order within a range. The last of a file may lack its brace there."""
+    """(path, block, size, text): what lies between closing braces, in file order within a range."""
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).option("lineSep", "}")
     meta = [F.col(f"_metadata.{m}").alias(a) for m, a in (("file_path", "path"), ("file_block_start", "block"), ("file_size", "size"))]
-    return reader.text(root).select(*meta, F.concat("value", F.lit("}")).cast("binary").alias("text"))
+    return reader.text(root).select(*meta, F.col("value").alias("text"))
+
+
+def _with_effects(rows: DataFrame) -> DataFrame:
+    """Fragments with all their signs that change the depth: the brace that ends one is put back. The last of a file may lack it there."""
+    return rows.withColumn("text", F.concat("text", F.lit("}")).cast("binary"))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, bool]]:
@@ -158,7 +163,7 @@ class Effect:
         return {"braces": self.b, "brackets": self.k, "low": self.low, "list": self.list, "opened": opened}
 
 
-def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _effects_of_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a range: its bytes, whether its quotes are odd, and its effect for either state."""
     states, base, odd = (Effect(0), Effect(1)), 0, 0
     for row, data, last in _chunks(batches):
@@ -172,12 +177,13 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             states, base, odd = (Effect(0), Effect(1)), 0, 0
 
 
-def _range_states(ranges: DataFrame) -> DataFrame:
+def _range_states(rows: DataFrame) -> DataFrame:
     """(path, block, inside, b0, k0, up, open, cut_short, whole): the state in which a range begins, the last key of an object
     in the root before it and the outermost list that was opened last before it, whether its last fragment ends the file without a
     brace, and whether the file ends outside of all.
     """
     so_far, file = before("path", by=["block"]), Window.partitionBy("path")
+    ranges = rows.mapInArrow(_effects_of_ranges, _EFFECTS_SQL)
     ranges = ranges.withColumn("inside", total(F.col("odd"), so_far) % 2)
     ranges = ranges.withColumn("own", F.when(F.col("inside") == 0, F.col("if0")).otherwise(F.col("if1"))).drop("if0", "if1")
     ranges = ranges.withColumn("b0", total(F.col("own.braces"), so_far)).withColumn("k0", total(F.col("own.brackets"), so_far))
@@ -298,16 +304,11 @@ def text_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.string(), len(offsets) - 1, buffers)
 
 
-def _joined(parts: Column) -> Column:
-    return F.array_join(F.transform(F.array_sort(parts), lambda p: p["text"]), "")
-
-
-def cut_lists(rows: DataFrame, lists: Sequence[Sequence[str]]) -> tuple[DataFrame, DataFrame]:
-    """From fragments, the elements of the named lists and the rest of each file.
+def _tokens(rows: DataFrame, states: DataFrame, lists: Sequence[Sequence[str]] = ((),)) -> DataFrame:
+    """(path, block, from_block, from_pos, keys, n, text, closed, continued, opens, whole): ranges cut where elements of the named lists end.
 
-    The first frame is (path, keys, text): a text of one element that is an object, with what else stands between it and
-    the element before, or of the others at the end of a list. The second is (path, text, whole), one row a file; `whole`
-    is false where a file ends within a string, list or object.
+    `from_block` and `from_pos` say where the list begins, and are null for what lies outside of all, one row a range; `n`
+    numbers the pieces of a list in a range.
     """
     wanted = {tuple(keys) for keys in lists}
 
@@ -320,9 +321,24 @@ def cut_lists(rows: DataFrame, lists: Sequence[Sequence[str]]) -> tuple[DataFram
                 yield from now.end()
                 now = None
 
-    # the one join keeps rows in their order, as the smaller side, one row a range, is sent to all
-    states = _range_states(rows.mapInArrow(_effects, _EFFECTS_SQL)).select(*RANGE, F.to_json(F.struct("*")).alias("state"))
-    pieces = written(rows.select(*RANGE, "text").join(F.broadcast(states), RANGE).select("state", "text").mapInArrow(cut, _PIECES_SQL))
+    # the join keeps rows in their order, as the smaller side, one row a range, is sent to all
+    states = states.select(*RANGE, F.to_json(F.struct("*")).alias("state"))
+    return rows.select(*RANGE, "text").join(F.broadcast(states), RANGE).select("state", "text").mapInArrow(cut, _PIECES_SQL)
+
+
+def _joined(parts: Column) -> Column:
+    return F.array_join(F.transform(F.array_sort(parts), lambda p: p["text"]), "")
+
+
+def cut_lists(rows: DataFrame, lists: Sequence[Sequence[str]]) -> tuple[DataFrame, DataFrame]:
+    """From fragments, the elements of the named lists and the rest of each file.
+
+    The first frame is (path, keys, text): a text of one element that is an object, with what else stands between it and
+    the element before, or of the others at the end of a list. The second is (path, text, whole), one row a file; `whole`
+    is false where a file ends within a string, list or object.
+    """
+    rows = _with_effects(rows)
+    pieces = written(_tokens(rows, _range_states(rows), lists))
     rest = pieces.where("from_block IS NULL").groupBy("path").agg(_joined(F.collect_list(F.struct("block", "text"))).alias("text"), F.min("whole").alias("whole"))
     alone = pieces.where("closed AND NOT continued").select("path", "keys", "text", "opens")
     parted = pieces.where("continued OR NOT closed").withColumn("chain", total(F.col("closed").cast("int"), before("path", "from_block", "from_pos", by=["block", "n"])))
